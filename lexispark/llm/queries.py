@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.llm.leak import leaked_items
+from lexispark.llm.survivor import survivors, surviving_records
+from lexispark.llm.truncation import truncated, truncation_report
 from lexispark.llm.visual import consistent_texts, inconsistent_rows
 from lexispark.session import load
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survivors(load(spark, sf_dir, "v2_entry")).select("group_id", "definicao_from", "conf_from")
+
+
+def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving record of every duplicated article."""
+    return surviving_records(load(spark, sf_dir, "v2_entry"))
+
+
 def _form_arrays(spark: SparkSession, sf_dir: str):
     yield load(spark, sf_dir, "v2_entry"), "entry_id", F.array("lemma"), "v2_entry"
     yield load(spark, sf_dir, "v2_form"), "form_id", F.array("form"), "v2_form"
@@ -26,5 +38,29 @@ def p4_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_texts(texts[0].unionByName(texts[1]).unionByName(texts[2]))
 
 
-QUERIES = {"p4_found": p4_found, "p4_spellings": p4_spellings}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
+
+
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per test item: in how many documents it leaks, and how much of it at most."""
+    found = leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_item"))
+    per_item = found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("share").alias("largest_share"))
+    items = load(spark, sf_dir, "eval_item").select("item_id", "task").distinct()
+    return items.join(per_item, "item_id", "left").select("item_id", "task", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "largest_share")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncated(load(spark, sf_dir, "documents")).where("cut").select(F.col("id").alias("doc_id")).distinct()
+
+
+def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of cut texts per source, with the evidence that found them."""
+    return truncation_report(truncated(load(spark, sf_dir, "documents")))
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_records": p1_records, "p4_found": p4_found, "p4_spellings": p4_spellings,
+    "p8_found": p8_found, "p8_leaks": p8_leaks, "p10_found": p10_found, "p10_report": p10_report,
+}
 ORACLE: dict[str, str] = {}
