@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,15 +39,25 @@ def bare_form(form: Column) -> Column:
     return F.regexp_replace(F.get(F.split(x, ALTERNATIVE), F.lit(0)), r"[^a-z]+", "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, also where ``use`` needs it inside lambda functions."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def single_consonants(bare: Column) -> Column:
+    """Doubled consonants written once."""
+    return F.regexp_replace(bare, r"([bcdfglmnprst])\1", "$1")
+
+
 def skeleton(bare: Column) -> Column:
     """Stroke skeleton: letters that scanning confuses fall together.
 
     i and r are one stroke, n and u two, m three, so rn = m, in = m, ri = n, ii = u; d is cl; e is c, h is b, f is t,
-    o is a, q is g. Doubled consonants count once; i, j, y and u, v are the same letter. The confusable forms of one
-    word always share the skeleton; different words rarely do.
+    q is g; i, j, y and u, v are the same letter. The confusable forms of one word always share the skeleton; different
+    words rarely do.
     """
-    x = F.translate(F.regexp_replace(bare, r"([bcdfglmnprst])\1", "$1"), "jvy", "iui")
-    x = F.replace(F.translate(x, "ehfoqir", "cbtag||"), F.lit("d"), F.lit("cl"))
+    x = F.translate(bare, "jvy", "iui")
+    x = F.replace(F.translate(x, "ehfqir", "cbtg||"), F.lit("d"), F.lit("cl"))
     return F.replace(F.replace(F.replace(x, F.lit("m"), F.lit("|||")), F.lit("n"), F.lit("||")), F.lit("u"), F.lit("||"))
 
 

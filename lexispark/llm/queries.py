@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm.leak import leaked_items
+from lexispark.llm.matching import matches
 from lexispark.llm.survivor import survivors, surviving_records
 from lexispark.llm.truncation import truncated, truncation_report
 from lexispark.llm.visual import consistent_texts, inconsistent_rows
@@ -38,6 +39,15 @@ def p4_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consistent_texts(texts[0].unionByName(texts[1]).unionByName(texts[2]))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_matches(spark, sf_dir).select("entry_id", "ls_id")
+
+
+def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched articles of the two dictionaries with score and calibrated confidence."""
+    return matches(load(spark, sf_dir, "v2_entry"), load(spark, sf_dir, "ls_entries"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
 
@@ -61,6 +71,6 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_records": p1_records, "p4_found": p4_found, "p4_spellings": p4_spellings,
-    "p8_found": p8_found, "p8_leaks": p8_leaks, "p10_found": p10_found, "p10_report": p10_report,
+    "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p10_found": p10_found, "p10_report": p10_report,
 }
 ORACLE: dict[str, str] = {}
