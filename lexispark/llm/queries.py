@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexispark.llm.leak import leaked_items
 from lexispark.llm.matching import matches
+from lexispark.llm.scanned import PageText, noise, repaired
 from lexispark.llm.survivor import survivors, surviving_records
 from lexispark.llm.truncation import truncated, truncation_report
 from lexispark.llm.visual import consistent_texts, inconsistent_rows
@@ -22,6 +23,22 @@ def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surviving_records(load(spark, sf_dir, "v2_entry"))
 
 
+def _page_texts(spark: SparkSession, sf_dir: str) -> list[PageText]:
+    pages, entries = load(spark, sf_dir, "ocr_page"), load(spark, sf_dir, "entry")
+    page_key = F.concat_ws(":", "doc_name", "page_num")
+    page = [PageText(pages, "ocr_page", page_key, field, F.col("page_num"), F.col("doc_name"), True) for field in ("raw_text", "extracted_text")]
+    return [*page, PageText(entries, "entry", F.col("id").cast("string"), "raw_text", F.col("page_num"), F.col("doc_name"), False)]
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return noise(_page_texts(spark, sf_dir), load(spark, sf_dir, "v2_sense"), "gloss")
+
+
+def p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and articles as continuous, readable paragraphs."""
+    return repaired(_page_texts(spark, sf_dir), load(spark, sf_dir, "v2_sense"), "gloss")
+
+
 def _form_arrays(spark: SparkSession, sf_dir: str):
     yield load(spark, sf_dir, "v2_entry"), "entry_id", F.array("lemma"), "v2_entry"
     yield load(spark, sf_dir, "v2_form"), "form_id", F.array("form"), "v2_form"
@@ -70,7 +87,7 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_records": p1_records, "p4_found": p4_found, "p4_spellings": p4_spellings,
+    "p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_texts": p3_texts, "p4_found": p4_found, "p4_spellings": p4_spellings,
     "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p10_found": p10_found, "p10_report": p10_report,
 }
 ORACLE: dict[str, str] = {}
