@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexispark.llm.leak import leaked_items
 from lexispark.llm.matching import matches
+from lexispark.llm.mixing import Mix
 from lexispark.llm.scanned import PageText, noise, repaired
 from lexispark.llm.survivor import survivors, surviving_records
 from lexispark.llm.truncation import truncated, truncation_report
@@ -77,6 +78,16 @@ def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(per_item, "item_id", "left").select("item_id", "task", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "largest_share")
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the mix with their number of copies."""
+    return Mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_target")).copies()
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of every source."""
+    return Mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_target")).report()
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncated(load(spark, sf_dir, "documents")).where("cut").select(F.col("id").alias("doc_id")).distinct()
 
@@ -88,6 +99,7 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_texts": p3_texts, "p4_found": p4_found, "p4_spellings": p4_spellings,
-    "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p10_found": p10_found, "p10_report": p10_report,
+    "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_mix": p9_mix, "p9_shares": p9_shares,
+    "p10_found": p10_found, "p10_report": p10_report,
 }
 ORACLE: dict[str, str] = {}

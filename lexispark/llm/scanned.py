@@ -5,7 +5,8 @@ shuffle. Misread words are found with anagram hashes: the hash of a word is the
 letters' codes, so a confusion of letters always changes it by the same difference. The differences of the known
 confusions, alone and in pairs, join rare words to frequent ones in SQL; candidates are verified by edit distance and
 ranked by frequency. Hyphens at line ends are judged by the corpus: where the two halves occur elsewhere as a hyphened
-word more often than as one word, the hyphen belongs to the word.
+word more often than as one word, the hyphen belongs to the word. A word broken without any mark is found where its halves
+make a known word and hardly occur alone.
 """
 
 from __future__ import annotations
@@ -196,6 +197,14 @@ def examine(pages: list[PageText], language: DataFrame, column: str) -> Repair:
     own = evidence.where(F.col("uses") > F.coalesce("joined_uses", F.lit(0))).select(F.col("word").alias("hyphened"), F.lit(True).alias("own"))
     hyphens = ends.join(own, "hyphened", "left").where(F.col("own").isNull()).select("tab", "rec_key", "field", "line_no")
 
+    # breaks without a mark: the halves make a word of the corpus and at least one of them hardly occurs alone
+    tail = F.regexp_extract(F.lower("line"), r"(?:^|[ («])([\p{L}\p{M}]+)$", 1)
+    bare = lines.where(~F.col("broken") & F.col("line").rlike(r"\p{Ll}$") & F.col("next_line").rlike(r"^\p{Ll}")).select("tab", "rec_key", "field", "line_no", tail.alias("left"), F.lower(F.regexp_extract("next_line", r"^([\p{L}\p{M}]+)", 1)).alias("right")).where("left != ''")
+    uses = lambda name: counts.where("uses >= 2").select(F.col("word").alias(name), F.col("uses").alias(f"{name}_uses"))
+    bare = bare.withColumn("joined", F.concat("left", "right")).join(uses("joined"), "joined").join(uses("left"), "left", "left").join(uses("right"), "right", "left")
+    silent = bare.where(2 * F.least(F.coalesce("left_uses", F.lit(0)), F.coalesce("right_uses", F.lit(0))) <= F.col("joined_uses")).select("tab", "rec_key", "field", "line_no")
+    hyphens = hyphens.unionByName(silent)
+
     misread = misread_words(counts, lexicon_of(language, column))
     common = counts.join(misread, "word", "left_anti").orderBy(F.desc("uses"), "word").limit(COMMON_WORDS).agg(F.collect_list("word").alias("common"))
     rare = plain.crossJoin(F.broadcast(common)).select("tab", "rec_key", "field", "line_no", F.explode(F.array_except("words", "common")).alias("word"))
