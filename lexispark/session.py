@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +21,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Raises on a cluster without the setting: a machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
@@ -31,10 +30,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_WRITTEN: list[tuple[object, str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder: the plan is cut and the rows survive lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a compressed table in the shared folder and read it back.
+
+    The plan is cut, later stages read columns they need, and the rows survive lost executors. Tables are removed when
+    the program ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/lexispark-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _remove_written() -> None:
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session is gone; the folder is the cluster's to clean
+            return
 
 
 def ship_package(spark: SparkSession) -> None:
