@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.session import cut
+
 # What scanning makes of letters (true text, misread text).
 CONFUSIONS = (
     ("a", "o"), ("e", "c"), ("o", "0"), ("i", "!"), ("t", "f"), ("l", "1"), ("n", "u"), ("s", "5"), ("v", "y"), ("p", "þ"),
@@ -78,27 +80,42 @@ def classed_lines(p: PageText) -> DataFrame:
     return base.select("tab", "rec_key", "field", "doc", "page", split.alias("lines"))
 
 
-def with_breaks(classed: DataFrame, whole_page: bool) -> DataFrame:
-    """Article lines with what surrounds them: ``..., line_no, line, next_line, broken, carried``.
+def _ends_broken(line: Column) -> Column:
+    return F.coalesce(line.rlike(rf"\p{{L}}{BREAK_MARKS} *$"), F.lit(False))
+
+
+def _goes_on(line: Column) -> Column:
+    return line.isNull() | line.rlike(r"^ *[\p{Ll}!\d]")
+
+
+def judged_lines(p: PageText) -> DataFrame:
+    """Every line that is not blank, judged: ``tab, rec_key, field, line_no, kind, words, left, right, marked``.
 
-    ``next_line`` is the next article line, on the next page where the page ends; ``broken``: the last word goes on
-    there; ``carried``: the first word is the rest of one broken before.
+    ``words`` are the unbroken words of an article line. ``left`` and ``right`` are its last word and the first letters
+    of the next article line (on the next page where the page ends); ``marked``: a break mark stands between them.
     """
-    text = classed.withColumn("art", F.filter("lines", lambda x: x["kind"] == "text")).where(F.size("art") > 0)
-    if whole_page:
-        follow = text.select("tab", "field", F.col("doc").alias("n_doc"), (F.col("page") - 1).alias("n_page"), F.col("art")[0]["line"].alias("after")).dropDuplicates(["tab", "field", "n_doc", "n_page"])
-        before = text.select("tab", "field", F.col("doc").alias("n_doc"), (F.col("page") + 1).alias("n_page"), F.element_at("art", -1)["line"].alias("before")).dropDuplicates(["tab", "field", "n_doc", "n_page"])
-        same = lambda o: [text["tab"] == o["tab"], text["field"] == o["field"], text["doc"] == o["n_doc"], text["page"] == o["n_page"]]
-        text = text.join(follow, same(follow), "left").select(text["*"], "after")
-        text = text.join(before, [text["tab"] == before["tab"], text["field"] == before["field"], text["doc"] == before["n_doc"], text["page"] == before["n_page"]], "left").select(text["*"], "before")
+    classed = classed_lines(p).withColumn("art", F.filter("lines", lambda x: x["kind"] == "text"))
+    none = F.lit(None).cast("string")
+    if p.whole_page:
+        # first and last article line of every page, for the pages before and after it: two short lines a page
+        edges = cut(classed.where((F.size("art") > 0) & F.col("page").isNotNull()).select("doc", "page", F.col("art")[0]["line"].alias("first"), F.element_at("art", -1)["line"].alias("last")).dropDuplicates(["doc", "page"]))
+        after = edges.select(F.col("doc").alias("a_doc"), F.col("page").alias("a_page"), F.col("first").alias("after"))
+        before = edges.select(F.col("doc").alias("b_doc"), F.col("page").alias("b_page"), F.col("last").alias("before"))
+        classed = classed.join(after, (F.col("doc") == F.col("a_doc")) & (F.col("page") + 1 == F.col("a_page")), "left").join(before, (F.col("doc") == F.col("b_doc")) & (F.col("page") - 1 == F.col("b_page")), "left")
     else:
-        text = text.withColumn("after", F.lit(None).cast("string")).withColumn("before", F.lit(None).cast("string"))
+        classed = classed.withColumn("after", none).withColumn("before", none)
     n = F.size("art")
-    around = F.transform("art", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), F.when(i + 1 < n, F.get("art", i + 1)["line"]).otherwise(F.col("after")).alias("next_line"), F.when(i > 0, F.get("art", i - 1)["line"]).otherwise(F.col("before")).alias("last_line")))
-    rows = text.select("tab", "rec_key", "field", F.explode(around).alias("a")).select("tab", "rec_key", "field", "a.*")
-    ends = lambda c: F.coalesce(c.rlike(rf"\p{{L}}{BREAK_MARKS} *$"), F.lit(False))
-    starts = lambda c: c.isNull() | c.rlike(r"^ *[\p{Ll}!\d]")
-    return rows.select("tab", "rec_key", "field", "line_no", "line", "next_line", (ends(F.col("line")) & starts(F.col("next_line"))).alias("broken"), (ends(F.col("last_line")) & starts(F.col("line"))).alias("carried"))
+    around = F.transform("art", lambda x, i: F.struct(x["line_no"].alias("line_no"), F.lit("text").alias("kind"), x["line"].alias("line"), F.when(i + 1 < n, F.get("art", i + 1)["line"]).otherwise(F.col("after")).alias("next"), F.when(i > 0, F.get("art", i - 1)["line"]).otherwise(F.col("before")).alias("prior")))
+    rest = F.transform(F.filter("lines", lambda x: x["kind"].isin("header", "pagenum")), lambda x: F.struct(x["line_no"].alias("line_no"), x["kind"].alias("kind"), none.alias("line"), none.alias("next"), none.alias("prior")))
+    rows = classed.select("tab", "rec_key", "field", F.explode(F.concat(around, rest)).alias("a")).select("tab", "rec_key", "field", "a.*")
+    line, nxt, prior = F.col("line"), F.col("next"), F.col("prior")
+    rows = rows.select("tab", "rec_key", "field", "line_no", "kind", line, nxt, (_ends_broken(line) & _goes_on(nxt)).alias("marked"), (_ends_broken(prior) & _goes_on(line)).alias("carried"), words_of(line).alias("w"))
+    w = F.when(F.col("carried"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1)))).otherwise(F.col("w"))
+    rows = rows.withColumn("w", w)
+    w = F.when(F.col("marked"), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))).otherwise(F.col("w"))
+    low = F.lower("line")
+    left = F.when(F.col("marked"), F.regexp_extract(low, rf"([\p{{L}}\p{{M}}]+){BREAK_MARKS} *$", 1)).when(line.rlike(r"\p{Ll}$") & nxt.rlike(r"^\p{Ll}"), F.regexp_extract(low, r"(?:^|[ («])([\p{L}\p{M}]+)$", 1))
+    return rows.select("tab", "rec_key", "field", "line_no", "kind", w.alias("words"), left.alias("left"), F.when(left.isNotNull(), F.lower(F.regexp_extract(nxt, r"^ *([\p{L}\p{M}]+)", 1))).alias("right"), F.coalesce("marked", F.lit(False)).alias("marked"))
 
 
 def words_of(line: Column) -> Column:
@@ -106,13 +123,6 @@ def words_of(line: Column) -> Column:
     return F.filter(F.transform(F.split(F.lower(line), r"(?U)\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{M}\d!]+|[^\p{L}\p{M}\d!¬=­-]+$", "")), lambda w: w != "")
 
 
-def unbroken_words(rows: DataFrame) -> Column:
-    """Words of a line without the halves of broken words at its ends."""
-    w = words_of(F.col("line"))
-    w = F.when(F.col("carried"), F.slice(w, 2, F.greatest(F.size(w), F.lit(1)))).otherwise(w)
-    return F.when(F.col("broken"), F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))).otherwise(w)
-
-
 def anagram_hash(word: Column) -> Column:
     """Sum of the fifth powers of the code points of a word: equal for anagrams, shifted by a constant for a confusion."""
     return F.aggregate(F.split(word, ""), F.lit(0).cast("bigint"), lambda a, c: a + F.when(c == "", F.lit(0).cast("bigint")).otherwise(_fifth(F.ascii(c).cast("bigint"))))
@@ -170,46 +180,42 @@ def lexicon_of(texts: DataFrame, column: str) -> DataFrame:
 class Repair:
     """Everything found in the texts, before it is reported or applied."""
 
-    classed: list[tuple[DataFrame, bool]]
-    lines: DataFrame
+    lines: DataFrame  # judged lines, written once
     hyphens: DataFrame
-    misread: DataFrame
     wrong: DataFrame
 
 
-def examine(pages: list[PageText], language: DataFrame, column: str) -> Repair:
-    """Class lines, judge breaks, and find misread words of the language of ``language.column``."""
-    classed = [(classed_lines(p), p.whole_page) for p in pages]
-    lines = None
-    for c, whole in classed:
-        part = with_breaks(c, whole)
-        lines = part if lines is None else lines.unionByName(part)
-    plain = lines.select("tab", "rec_key", "field", "line_no", unbroken_words(lines).alias("words"))
-    counts = plain.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("uses"))
-
+def broken_words(lines: DataFrame, counts: DataFrame) -> DataFrame:
+    """Keys of the lines whose last word goes on in the next line and has no hyphen of its own there."""
+    key = ["tab", "rec_key", "field", "line_no"]
+    uses = lambda name: counts.where("uses >= 2").select(F.col("word").alias(name), F.col("uses").alias(f"{name}_uses"))
     # hyphens of their own: hyphened words seen within lines, against the joined form
-    left = F.regexp_extract("line", rf"([\p{{L}}\p{{M}}]+){BREAK_MARKS} *$", 1)
-    right = F.regexp_extract("next_line", r"^ *([\p{L}\p{M}]+)", 1)
-    ends = lines.where("broken").select("tab", "rec_key", "field", "line_no", F.lower(left).alias("left"), F.lower(right).alias("right"))
-    ends = ends.select("*", F.concat_ws("-", "left", "right").alias("hyphened"), F.concat("left", "right").alias("joined"))
-    compound = counts.where(F.col("word").rlike(r"^\p{L}+-\p{L}+$"))
-    evidence = compound.join(counts.select(F.col("word").alias("joined"), F.col("uses").alias("joined_uses")), F.regexp_replace(compound["word"], "-", "") == F.col("joined"), "left")
-    own = evidence.where(F.col("uses") > F.coalesce("joined_uses", F.lit(0))).select(F.col("word").alias("hyphened"), F.lit(True).alias("own"))
-    hyphens = ends.join(own, "hyphened", "left").where(F.col("own").isNull()).select("tab", "rec_key", "field", "line_no")
-
+    compound = counts.where(F.col("word").rlike(r"^\p{L}+-\p{L}+$")).select(F.col("word").alias("hyphened"), F.col("uses").alias("h_uses"), F.regexp_replace("word", "-", "").alias("joined"))
+    own = compound.join(uses("joined"), "joined", "left").where(F.col("h_uses") > F.coalesce("joined_uses", F.lit(0))).select("hyphened", F.lit(True).alias("own"))
+    marked = lines.where("marked").select(*key, F.concat_ws("-", "left", "right").alias("hyphened")).join(own, "hyphened", "left").where(F.col("own").isNull()).select(*key)
     # breaks without a mark: the halves make a word of the corpus and at least one of them hardly occurs alone
-    tail = F.regexp_extract(F.lower("line"), r"(?:^|[ («])([\p{L}\p{M}]+)$", 1)
-    bare = lines.where(~F.col("broken") & F.col("line").rlike(r"\p{Ll}$") & F.col("next_line").rlike(r"^\p{Ll}")).select("tab", "rec_key", "field", "line_no", tail.alias("left"), F.lower(F.regexp_extract("next_line", r"^([\p{L}\p{M}]+)", 1)).alias("right")).where("left != ''")
-    uses = lambda name: counts.where("uses >= 2").select(F.col("word").alias(name), F.col("uses").alias(f"{name}_uses"))
-    bare = bare.withColumn("joined", F.concat("left", "right")).join(uses("joined"), "joined").join(uses("left"), "left", "left").join(uses("right"), "right", "left")
-    silent = bare.where(2 * F.least(F.coalesce("left_uses", F.lit(0)), F.coalesce("right_uses", F.lit(0))) <= F.col("joined_uses")).select("tab", "rec_key", "field", "line_no")
-    hyphens = hyphens.unionByName(silent)
+    bare = lines.where("NOT marked AND left != '' AND right != ''").select(*key, "left", "right", F.concat("left", "right").alias("joined"))
+    bare = bare.join(uses("joined"), "joined").join(uses("left"), "left", "left").join(uses("right"), "right", "left")
+    silent = bare.where(2 * F.least(F.coalesce("left_uses", F.lit(0)), F.coalesce("right_uses", F.lit(0))) <= F.col("joined_uses")).select(*key)
+    return marked.unionByName(silent)
 
-    misread = misread_words(counts, lexicon_of(language, column))
-    common = counts.join(misread, "word", "left_anti").orderBy(F.desc("uses"), "word").limit(COMMON_WORDS).agg(F.collect_list("word").alias("common"))
-    rare = plain.crossJoin(F.broadcast(common)).select("tab", "rec_key", "field", "line_no", F.explode(F.array_except("words", "common")).alias("word"))
+
+def examine(pages: list[PageText], language: DataFrame, column: str) -> Repair:
+    """Judge lines, find broken words, and misread words of the language of ``language.column``.
+
+    The texts are read once: judged lines and the word counts are written to the shared folder and reused.
+    """
+    parts = [judged_lines(p) for p in pages]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    lines = cut(every)
+    counts = cut(lines.where("kind = 'text'").select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("uses")))
+    misread = cut(misread_words(counts, lexicon_of(language, column)))
+    common = counts.join(misread, "word", "left_anti").orderBy(F.desc("uses"), "word").limit(COMMON_WORDS).select("word")
+    rare = lines.where("kind = 'text'").select("tab", "rec_key", "field", "line_no", F.explode("words").alias("word")).join(F.broadcast(common), "word", "left_anti")
     wrong = rare.join(misread, "word").select("tab", "rec_key", "field", "line_no", "word", "correction")
-    return Repair(classed, lines, hyphens, misread, wrong)
+    return Repair(lines, broken_words(lines, counts), wrong)
 
 
 def noise(pages: list[PageText], language: DataFrame, column: str) -> DataFrame:
@@ -219,13 +225,10 @@ def noise(pages: list[PageText], language: DataFrame, column: str) -> DataFrame:
     a line end are judged as broken, not as misread. Without texts of the language nothing counts as misread.
     """
     r = examine(pages, language, column)
-    out = None
-    for c, _ in r.classed:
-        part = c.select("tab", "rec_key", "field", F.explode(F.filter("lines", lambda x: x["kind"].isin("header", "pagenum"))).alias("l")).select("tab", "rec_key", "field", F.col("l.line_no").alias("line_no"), F.col("l.kind").alias("kind"))
-        out = part if out is None else out.unionByName(part)
+    furniture = r.lines.where("kind != 'text'").select("tab", "rec_key", "field", "line_no", "kind")
     hyphen = r.hyphens.withColumn("kind", F.lit("hyphen"))
-    misread = r.wrong.select("tab", "rec_key", "field", "line_no", F.lit("misread").alias("kind"))
-    return out.unionByName(hyphen).unionByName(misread).distinct()
+    misread = r.wrong.select("tab", "rec_key", "field", "line_no", F.lit("misread").alias("kind")).distinct()
+    return furniture.unionByName(hyphen).unionByName(misread)
 
 
 def repaired(pages: list[PageText], language: DataFrame, column: str) -> DataFrame:
@@ -238,8 +241,8 @@ def repaired(pages: list[PageText], language: DataFrame, column: str) -> DataFra
     fixes = r.wrong.groupBy("tab", "rec_key", "field", "line_no").agg(F.map_from_entries(F.collect_set(F.struct("word", "correction"))).alias("fix"))
     joins = r.hyphens.select("tab", "rec_key", "field", "line_no", F.lit(True).alias("join_next"))
     every = None
-    for c, _ in r.classed:
-        part = c.select("tab", "rec_key", "field", F.explode("lines").alias("l")).select("tab", "rec_key", "field", "l.*")
+    for p in pages:
+        part = classed_lines(p).select("tab", "rec_key", "field", F.explode("lines").alias("l")).select("tab", "rec_key", "field", "l.*")
         every = part if every is None else every.unionByName(part)
     key = ["tab", "rec_key", "field", "line_no"]
     every = every.where(F.col("kind").isin("text", "blank")).join(fixes, key, "left").join(joins, key, "left")
