@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from lexispark.functions.fold import collapse_space, fold, split_ligatures
 BLANK = r" \"'\n"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often ``use`` mentions it, also inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def non_blank(*columns: Column) -> Column:
     """First value that is neither null nor blank."""
     return F.coalesce(*[F.when(F.trim(c) != "", c) for c in columns])

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.functions.strings import let
 from lexispark.session import ship_package
 
 NODE_SCHEMA = "rec_key string, node_kind string, node_path string, parent_path string, depth int, position int, body string"
@@ -221,10 +222,13 @@ def flatten_batch(batch: pa.RecordBatch, spec: TreeSpec) -> pa.Table:
 
 def unwrap(c, rounds: int = 2):
     """Take JSON out of its wrappings: code fences around it, and JSON text stored inside a JSON string."""
+    def once(x):
+        bare = F.regexp_replace(F.regexp_replace(x, r"^\s*```[A-Za-z]*\s*|\s*```\s*$", ""), r"^\s+|\s+$", "")
+        inner = lambda t: F.coalesce(F.get(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>"), 0), t)
+        return let(bare, lambda t: F.when(t.startswith('"') & t.endswith('"'), inner(t)).otherwise(t))
+
     for _ in range(rounds):
-        c = F.regexp_replace(F.trim(F.regexp_replace(c, r"^\s*```[A-Za-z]*\s*|\s*```\s*$", "")), r"^\s+|\s+$", "")
-        inner = F.get(F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>"), 0)
-        c = F.when(c.startswith('"') & c.endswith('"'), F.coalesce(inner, c)).otherwise(c)
+        c = once(c)
     return c
 
 

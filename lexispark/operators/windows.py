@@ -34,10 +34,15 @@ def neighbours(df: DataFrame, order: list[str], value: str, width: int = 2) -> D
     return out.withColumn("prev", F.coalesce(pick(lambda x: x["k"] < 0), empty)).withColumn("next", F.coalesce(pick(lambda x: x["k"] > 0), empty)).drop("__near")
 
 
-def group_neighbours(df: DataFrame, group: list[str], order: list[str], value: str, width: int = 1) -> DataFrame:
-    """Values before and after within a group of bounded size (rows of a page, senses of an entry)."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("prev", F.collect_list(value).over(w.rowsBetween(-width, -1))).withColumn("next", F.collect_list(value).over(w.rowsBetween(1, width)))
+def group_neighbours(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
+    """Value before and after within the group, ``prev`` and ``next``.
+
+    Rows are numbered over range partitions and joined to the rows beside them, so a group of any size is spread.
+    """
+    rn = numbered(df, [group, *order])
+    side = lambda k, name: rn.select((F.col("rn") + k).alias("rn"), F.col(group).alias(f"__g_{name}"), F.col(value).alias(f"__v_{name}"))
+    j = rn.join(side(1, "p"), "rn", "left").join(side(-1, "n"), "rn", "left")
+    return j.withColumn("prev", F.when(F.col("__g_p") == F.col(group), F.col("__v_p"))).withColumn("next", F.when(F.col("__g_n") == F.col(group), F.col("__v_n"))).drop("__g_p", "__g_n", "__v_p", "__v_n", "rn")
 
 
 def page_gaps(df: DataFrame, group: str, page: str, start: int = 1) -> DataFrame:

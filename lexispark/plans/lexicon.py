@@ -328,8 +328,7 @@ def alpha_neighbours(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH s AS (SELECT DISTINCT sense_id, entry_id FROM v2_sense) SELECT sense_id, lag(sense_id) OVER w AS prev, lead(sense_id) OVER w AS next FROM s WINDOW w AS (PARTITION BY entry_id ORDER BY sense_id)""")
 def group_neighbours(spark: SparkSession, d: str) -> DataFrame:
     s = load(spark, d, "v2_sense").select("sense_id", "entry_id").distinct()
-    w = windows.group_neighbours(s, ["entry_id"], ["sense_id"], "sense_id")
-    return w.select("sense_id", F.get("prev", F.lit(0)).alias("prev"), F.get("next", F.lit(0)).alias("next"))
+    return windows.group_neighbours(s, "entry_id", ["sense_id"], "sense_id").select("sense_id", "prev", "next")
 
 
 @query("""WITH p AS (SELECT DISTINCT doc_name, page_num FROM ocr_page WHERE page_num >= 1), m AS (SELECT doc_name, max(page_num) AS hi FROM p GROUP BY 1), a AS (SELECT doc_name, unnest(range(1, hi + 1))::INTEGER AS page_num FROM m)

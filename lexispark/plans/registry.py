@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexispark.plans import core_problems
+from lexispark.plans import core_problems, extensions, lexicon
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (core_problems,)
+MODULES = (lexicon, extensions, core_problems)
 
 
 def core_queries() -> dict[str, Query]:
