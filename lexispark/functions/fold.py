@@ -19,12 +19,12 @@ LOOKALIKE_PAIRS = (
     ("–", "-"), ("—", "-"), ("‐", "-"), ("‑", "-"), ("−", "-"), ("’", "'"), ("‘", "'"),
 )
 SOFT_HYPHEN = "­"
-FOLD_RANGES = ((0x00C0, 0x0250), (0x1E00, 0x1F00))
+FOLD_RANGES = ((0x00C0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000))
 
 
 @lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str]:
-    """Precomposed letters whose canonical decomposition is one ASCII letter plus marks, and those letters."""
+    """Precomposed letters whose canonical decomposition is one letter plus marks, and those letters."""
     source, target = [], []
     for lo, hi in FOLD_RANGES:
         for code in range(lo, hi):

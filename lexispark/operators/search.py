@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions.fold import fold
+from lexispark.functions.strings import let
 
 K1, B = 1.2, 0.75
 
@@ -177,17 +178,29 @@ def occurrences(node: Node, columns: dict[str, Column]) -> Column:
             first = _starts(toks, Node("phrase", words=node.words[:1]))
             ok = first
             for w in node.words[1:]:
-                other = _starts(toks, Node("phrase", words=[w]))
-                ok = F.filter(ok, lambda i, other=other: F.exists(other, lambda j: (F.abs(i - j) <= node.distance + 1) & (i != j)))
-            n = F.size(ok)
+                ok = _beside(ok, _starts(toks, Node("phrase", words=[w])), node.distance)
+            n = F.when(_all_there(toks, node.words), F.size(ok)).otherwise(0)
         elif len(node.words) == 1 and not node.prefix and not node.initial:
             n = F.size(F.filter(toks, lambda t: t == node.words[0]))
         else:
-            n = F.size(_starts(toks, node))
+            n = F.when(_all_there(toks, node.words[:-1] if node.prefix else node.words), F.size(_starts(toks, node))).otherwise(0)
         total = total + n
     return total
 
 
+def _all_there(toks: Column, words: list[str]) -> Column:
+    """Cheap test before positions are compared."""
+    ok = F.lit(True)
+    for w in words:
+        ok = ok & F.array_contains(toks, w)
+    return ok
+
+
+def _beside(spots: Column, others: Column, distance: int) -> Column:
+    """Positions with another position at most ``distance`` words between."""
+    return F.filter(spots, lambda i: F.exists(others, lambda j: (F.abs(i - j) <= distance + 1) & (i != j)))
+
+
 def matches(node: Node, columns: dict[str, Column]) -> Column:
     if node.op in ("phrase", "near"):
         if node.op == "phrase" and len(node.words) == 1 and not node.prefix and not node.initial:
@@ -216,11 +229,15 @@ def search(df: DataFrame, query: str, columns: list[str], keep: list[str]) -> Da
     One aggregation gathers row count, mean length and document frequencies; it joins back as a single row.
     """
     node = parse_query(query)
-    base = df.select(*keep, *[tokens(F.col(c)).alias(f"__t_{c}") for c in columns])
-    toks = {c: F.col(f"__t_{c}") for c in columns}
-    size = sum((F.size(t) for t in toks.values()), F.lit(0))
     terms = leaves(node)
-    counted = base.select(*keep, size.alias("__size"), matches(node, toks).alias("__hit"), *[occurrences(t, toks).alias(f"__f{i}") for i, t in enumerate(terms)])
+
+    def judge(row: Column) -> Column:
+        toks = {c: row[f"t_{c}"] for c in columns}
+        size = sum((F.size(t) for t in toks.values()), F.lit(0))
+        return F.struct(size.alias("__size"), matches(node, toks).alias("__hit"), *[occurrences(t, toks).alias(f"__f{i}") for i, t in enumerate(terms)])
+
+    # tokens are made once a row, however often the query mentions them
+    counted = df.select(*keep, let(F.struct(*[tokens(F.col(c)).alias(f"t_{c}") for c in columns]), judge).alias("__j")).select(*keep, "__j.*")
     stats = counted.agg(F.count("*").alias("__n"), F.avg("__size").alias("__avg"), *[F.count_if(F.col(f"__f{i}") > 0).alias(f"__d{i}") for i in range(len(terms))])
     both = counted.where("__hit").crossJoin(F.broadcast(stats))
     score = F.lit(0.0)
@@ -235,12 +252,18 @@ def search(df: DataFrame, query: str, columns: list[str], keep: list[str]) -> Da
 def snippet(text: Column, words: list[str], size: int = 12, start: str = "[", end: str = "]") -> Column:
     """``size`` words round the first hit, hits marked; without a hit the first words."""
     raw = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: x != "")
-    folded = F.transform(raw, lambda x: F.regexp_replace(F.lower(fold(x)), r"[^\p{L}\p{N}]+", ""))
     hits = F.array(*[F.lit(plain(w)) for w in words])
-    first = F.coalesce(F.array_min(F.filter(F.transform(hits, lambda h: F.array_position(folded, h).cast("int")), lambda p: p > 0)), F.lit(1))
-    begin = F.greatest(F.lit(1), F.least(first - size // 2, F.size(raw) - size + 1))
-    part = F.transform(F.slice(F.arrays_zip(raw.alias("r"), folded.alias("f")), begin, F.lit(size)), lambda x: F.when(F.array_contains(hits, x["f"]), F.concat(F.lit(start), x["r"], F.lit(end))).otherwise(x["r"]))
-    return F.concat(F.when(begin > 1, F.lit("…")).otherwise(F.lit("")), F.array_join(part, " "), F.when(begin + size <= F.size(raw), F.lit("…")).otherwise(F.lit("")))
+    pairs = F.transform(raw, lambda x: F.struct(x.alias("r"), F.regexp_replace(F.lower(fold(x)), r"[^\p{L}\p{N}]+", "").alias("f")))
+
+    def show(p: Column) -> Column:
+        folded = F.transform(p, lambda x: x["f"])
+        n = F.size(p)
+        first = F.coalesce(F.array_min(F.filter(F.transform(hits, lambda h: F.array_position(folded, h).cast("int")), lambda i: i > 0)), F.lit(1))
+        begin = F.greatest(F.lit(1), F.least(first - size // 2, n - size + 1))
+        part = F.transform(F.slice(p, begin, F.lit(size)), lambda x: F.when(F.array_contains(hits, x["f"]), F.concat(F.lit(start), x["r"], F.lit(end))).otherwise(x["r"]))
+        return F.concat(F.when(begin > 1, F.lit("…")).otherwise(F.lit("")), F.array_join(part, " "), F.when(begin + size <= n, F.lit("…")).otherwise(F.lit("")))
+
+    return let(pairs, show)
 
 
 def postings(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

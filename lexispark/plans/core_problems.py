@@ -90,7 +90,44 @@ k AS (
   FROM c WHERE k IS NOT NULL)
 """
 
+# JSON documents out of code fences and JSON strings, then one recursive step per level of nesting
+_NODES = """
+WITH RECURSIVE w AS (
+  SELECT 'v2_entry' AS tab, entry_id::VARCHAR AS rec_key, trim(regexp_replace(regexp_replace(raw_json, '^\\s*```[a-zA-Z]*\\s*', ''), '\\s*```\\s*$', '')) AS t FROM v2_entry
+  UNION SELECT 'ls_entries', id, trim(definition) FROM ls_entries WHERE definition LIKE '{%' OR definition LIKE '[%'),
+p AS (SELECT tab, rec_key, CASE WHEN json_valid(t) AND json_type(t::JSON) = 'VARCHAR' THEN json_extract_string(t::JSON, '$') ELSE t END AS t FROM w),
+d AS (SELECT tab, rec_key, t::JSON AS j FROM p WHERE json_valid(t)),
+r AS (SELECT tab, rec_key, unnest(CASE json_type(j) WHEN 'ARRAY' THEN j::JSON[] WHEN 'OBJECT' THEN [j] ELSE [] END) AS j FROM d),
+lists AS (SELECT tab, rec_key, json_extract(j, CASE tab WHEN 'v2_entry' THEN '$.sentidos' ELSE '$.sense' END) AS a FROM r),
+many AS (SELECT tab, rec_key, CASE json_type(a) WHEN 'ARRAY' THEN a::JSON[] WHEN 'OBJECT' THEN [a] WHEN 'VARCHAR' THEN CASE WHEN a::VARCHAR = '""' THEN [] ELSE [a] END ELSE [] END AS a FROM lists),
+s(tab, rec_key, path, j) AS (
+  SELECT tab, rec_key, i::VARCHAR, a[i] FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM many)
+  UNION ALL
+  SELECT tab, rec_key, path || '.' || i, a[i] FROM (SELECT tab, rec_key, path, a, unnest(range(1, len(a) + 1)) AS i FROM (
+    SELECT s.tab, s.rec_key, s.path, CASE json_type(x) WHEN 'ARRAY' THEN x::JSON[] WHEN 'OBJECT' THEN [x] WHEN 'VARCHAR' THEN CASE WHEN x::VARCHAR = '""' THEN [] ELSE [x] END ELSE [] END AS a
+    FROM (SELECT tab, rec_key, path, unnest([json_extract(j, '$.sentidos'), json_extract(j, '$.subsentidos'), json_extract(j, '$.sub'), json_extract(j, '$.sense')]) AS x FROM s WHERE json_type(j) = 'OBJECT') s))),
+e AS (SELECT tab, rec_key, path, CASE json_type(x) WHEN 'ARRAY' THEN x::JSON[] WHEN 'OBJECT' THEN [x] WHEN 'VARCHAR' THEN CASE WHEN x::VARCHAR = '""' THEN [] ELSE [x] END ELSE [] END AS a
+  FROM (SELECT tab, rec_key, path, unnest([json_extract(j, '$.exemplos'), json_extract(j, '$.ex'), json_extract(j, '$.cit')]) AS x FROM s WHERE json_type(j) = 'OBJECT'))
+SELECT tab, rec_key, 'sense' AS node_kind, path AS node_path FROM s
+UNION ALL SELECT tab, rec_key, 'example', path || '#' || i FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e)
+"""
+
+_TREES = """
+WITH RECURSIVE n AS (SELECT DISTINCT sense_id, parent_id FROM v2_sense), top AS (SELECT n.sense_id FROM n LEFT JOIN n p ON p.sense_id = n.parent_id WHERE p.sense_id IS NULL),
+t(sense_id, root_id, depth, path) AS (
+  SELECT sense_id, sense_id, 1, sense_id::VARCHAR FROM top
+  UNION ALL SELECT n.sense_id, t.root_id, t.depth + 1, t.path || '/' || n.sense_id FROM t JOIN n ON n.parent_id = t.sense_id),
+c AS (SELECT n.* FROM n ANTI JOIN t ON t.sense_id = n.sense_id),
+r(s, x) AS (SELECT sense_id, parent_id FROM c UNION SELECT r.s, c.parent_id FROM r JOIN c ON c.sense_id = r.x),
+l AS (SELECT r.s, min(r.x) AS root_id FROM r JOIN r o ON o.s = r.x AND o.x = r.x GROUP BY r.s),
+f AS (SELECT sense_id, root_id, depth, path FROM t UNION ALL SELECT s, root_id, -1, NULL FROM l)
+"""
+
 ORACLE = {
+    "p2_found": _NODES,
+    "p6_found": _TREES + "SELECT sense_id, root_id, depth FROM f",
+    "p6_hierarchy": _TREES + """, b AS (SELECT a.sense_id, count(*) AS n FROM t a JOIN t d ON starts_with(d.path, a.path || '/') AND a.root_id = d.root_id GROUP BY 1)
+SELECT f.sense_id, f.root_id, f.depth, f.path, CASE WHEN f.depth > 0 THEN coalesce(b.n, 0) END AS n_below FROM f LEFT JOIN b ON b.sense_id = f.sense_id""",
     "p5_found": _BROKEN + "SELECT DISTINCT tab, row_id, kind FROM k WHERE kind IS NOT NULL",
     "p5_report": _BROKEN + "SELECT tab, period, kind, COUNT(*) AS n_rows FROM (SELECT DISTINCT tab, row_id, period, kind FROM k WHERE kind IS NOT NULL) GROUP BY tab, period, kind",
 }
