@@ -11,7 +11,7 @@ from lexispark.llm.mixing import Mix
 from lexispark.llm.scanned import PageText, noise, repaired
 from lexispark.llm.survivor import survivors, surviving_records
 from lexispark.llm.truncation import truncated, truncation_report
-from lexispark.llm.visual import consistent_texts, inconsistent_rows
+from lexispark.llm.visual import DASHES, LATIN_LOOKALIKES, consistent_texts, inconsistent_rows
 from lexispark.session import load
 
 
@@ -102,4 +102,21 @@ QUERIES = {
     "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_mix": p9_mix, "p9_shares": p9_shares,
     "p10_found": p10_found, "p10_report": p10_report,
 }
-ORACLE: dict[str, str] = {}
+
+
+def _consistent_sql(text: str) -> str:
+    wide = "".join(chr(x) for x in range(0xFF01, 0xFF5F))
+    plain = "".join(chr(x - 0xFEE0) for x in range(0xFF01, 0xFF5F)).replace("'", "''")
+    letters, latin = "".join(LATIN_LOOKALIKES), "".join(LATIN_LOOKALIKES.values())
+    x = f"regexp_replace({text}, '[\\p{{Cf}}]', '', 'g')"
+    x = f"translate({x}, '{wide}{DASHES}', '{plain}{'-' * len(DASHES)}')"
+    x = f"replace(replace({x}, 'ﬁ', 'fi'), 'ﬂ', 'fl')"
+    x = f"trim(regexp_replace({x}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
+    word = f"CASE WHEN regexp_matches(w, '^[\\p{{Greek}}\\p{{Mn}}]*\\p{{Greek}}[\\p{{Greek}}\\p{{Mn}}]+$') THEN w ELSE translate(w, '{letters}', '{latin}') END"
+    return f"nfc_normalize(array_to_string(list_transform(string_split({x}, ' '), lambda w: {word}), ' '))"
+
+
+ORACLE = {
+    "p4_found": f"""WITH t AS (SELECT 'v2_entry' AS tab, entry_id::VARCHAR AS rec_key, lemma AS x FROM v2_entry UNION ALL SELECT 'v2_form', form_id::VARCHAR, form FROM v2_form
+UNION ALL SELECT 'ls_entries', id, unnest(CAST(json(orths) AS VARCHAR[])) FROM ls_entries) SELECT DISTINCT tab, rec_key FROM t WHERE x IS NOT NULL AND x <> {_consistent_sql("x")}""",
+}

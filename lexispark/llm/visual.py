@@ -24,8 +24,23 @@ LATIN_LOOKALIKES = {
 }
 DASHES = "‐‑‒–—―−﹘﹣－"
 GREEK_WORD = r"^[\p{IsGreek}\p{Mn}]*\p{IsGreek}[\p{IsGreek}\p{Mn}]+$"
-# a text of these characters and single inner blanks is consistent as it stands
-PLAIN = r"^(?:[\x21-\x7EªºÀ-ÖØ-öø-ıĴ-žƠ-ưǍ-ǰǴ-ȳẀ-ẕẠ-ỹ]+(?: [\x21-\x7EªºÀ-ÖØ-öø-ıĴ-žƠ-ưǍ-ǰǴ-ȳẀ-ẕẠ-ỹ]+)*)?$"
+
+def _plain_pattern() -> str:
+    """Pattern of the texts that are consistent as they stand: ASCII signs, composed Latin letters, single inner blanks."""
+
+    def fits(code: int) -> bool:
+        c = chr(code)
+        latin = unicodedata.category(c)[0] == "L" and unicodedata.name(c, "").startswith("LATIN") and unicodedata.normalize("NFKC", c) == c
+        return 0x21 <= code <= 0x7E or c in "ªº" or (latin and c not in LATIN_LOOKALIKES)
+
+    codes = [x for x in range(0x21, 0x1F00) if fits(x)]
+    starts = [x for x in codes if x - 1 not in set(codes)]
+    ends = [x for x in codes if x + 1 not in set(codes)]
+    some = "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]+"
+    return f"^(?:{some}(?: {some})*)?$"
+
+
+PLAIN = _plain_pattern()
 
 
 @lru_cache(maxsize=1)
