@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexispark.functions.strings import let
 from lexispark.session import cut, ship_package
 
 MIN_LETTERS = 12
 MIN_PREFIX = 40
+MIN_SHAPE_USES = 2  # texts whose complete list lines end in the same shape
 LIMIT_NEIGHBOURS = 20
 LIMIT_FACTOR = 8
 LIMIT_LEAST = 4
@@ -38,28 +40,47 @@ def _share(lines: Column, test) -> Column:
     return F.when(F.size(lines) > 0, F.size(F.filter(lines, test)) / F.size(lines)).otherwise(F.lit(0.0))
 
 
+def _text(body: Column) -> Column:
+    return F.regexp_replace(body, r"(?U)\s+$", "")
+
+
+def _norm(body: Column) -> Column:
+    """Form in which copies are compared: lower case, single blanks."""
+    return F.lower(F.trim(F.regexp_replace(body, r"(?U)\s+", " ")))
+
+
+def _shape(line: Column) -> Column:
+    """What follows the headword of a list line, digits made equal."""
+    return F.regexp_replace(F.regexp_extract(line, r"^[^,]*(,.*)$", 1), r"\d+", "9")
+
+
 def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
-    """What the ends of the texts show: ``id, source, body, finished, kind, last, shape, n_chars, n_bytes``."""
-    raw = F.col("body")
+    """What the ends of the texts show, without the texts: ``id, source, copy, start, kind, last, shape, inner_shapes,
+    n_chars, n_bytes, finished``. copy and start are hashes of the whole compared text and of its first MIN_PREFIX
+    characters; inner_shapes are the shapes of a list's complete lines."""
     base = df.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    t = F.regexp_replace(raw, r"(?U)\s+$", "")
-    lines = F.filter(F.split(t, r"\r?\n"), lambda x: F.trim(x) != "")
-    last = F.coalesce(F.trim(F.element_at(F.when(F.size(lines) > 0, lines), -1)), F.lit(""))
-    inner = F.when(F.size(lines) > 1, F.slice(lines, 1, F.size(lines) - 1)).otherwise(F.array().cast("array<string>"))
-    f = base.select("*", last.alias("last"), inner.alias("inner"), F.length(raw).alias("n_chars"), F.octet_length(raw).alias("n_bytes"), F.length(F.regexp_replace(raw, r"\P{L}+", "")).alias("letters"))
+
+    def look(lines: Column) -> Column:
+        last = F.coalesce(F.trim(F.element_at(F.when(F.size(lines) > 0, lines), -1)), F.lit(""))
+        inner = F.when(F.size(lines) > 1, F.slice(lines, 1, F.size(lines) - 1)).otherwise(F.array().cast("array<string>"))
+        listed = _share(inner, lambda x: F.trim(x).rlike(LIST_LINE)) >= 0.6
+        verse = _share(inner, lambda x: _verse_line(F.trim(x))) >= 0.6
+        shapes = F.when(listed, F.array_distinct(F.transform(inner, lambda x: _shape(F.trim(x))))).otherwise(F.array().cast("array<string>"))
+        return F.struct(last.alias("last"), F.size(inner).alias("n_inner"), listed.alias("listed"), verse.alias("verse"), shapes.alias("shapes"))
+
+    split = let(F.filter(F.split(_text(F.col("body")), r"\r?\n"), lambda x: F.trim(x) != ""), look)
+    f = base.select(
+        "id", "source", F.length("body").alias("n_chars"), F.octet_length("body").alias("n_bytes"), F.length(F.regexp_replace("body", r"\P{L}+", "")).alias("letters"),
+        let(_norm(F.col("body")), lambda n: F.struct(F.md5(n).alias("copy"), F.when(F.length(n) >= MIN_PREFIX, F.xxhash64(F.substring(n, 1, MIN_PREFIX))).alias("start"))).alias("h"), split.alias("s"),
+    ).select("*", "h.*", "s.*")
     upper = F.col("last").rlike(r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$")
-    closing = (F.size("inner") > 0) & (upper | F.col("last").rlike(r"^[—–-] ?\p{L}") | F.col("last").rlike(REFERENCE))
+    closing = (F.col("n_inner") > 0) & (upper | F.col("last").rlike(r"^[—–-] ?\p{L}") | F.col("last").rlike(REFERENCE))
     kind = (
-        F.when(F.col("letters") < MIN_LETTERS, "junk")
-        .when(closing, "closing")
-        .when(_share(F.col("inner"), lambda x: F.trim(x).rlike(LIST_LINE)) >= 0.6, "list")
-        .when((_share(F.col("inner"), lambda x: _verse_line(F.trim(x))) >= 0.6) & (_verse_line(F.col("last")) | (F.size("inner") >= 2)), "verse")
-        .when((F.size("inner") == 0) & upper, "heading")
-        .otherwise("prose")
-    )
-    shape = F.regexp_replace(F.regexp_extract("last", r"^[^,]*(,.*)$", 1), r"\d+", "9")
+        F.when(F.col("letters") < MIN_LETTERS, "junk").when(closing, "closing").when(F.col("listed"), "list")
+        .when(F.col("verse") & (_verse_line(F.col("last")) | (F.col("n_inner") >= 2)), "verse").when((F.col("n_inner") == 0) & upper, "heading").otherwise("prose")
+    )
     finished = F.col("last").rlike(FINISHED) & ~F.col("last").rlike(OPEN_BRACKET)
-    return f.select("id", "source", "body", "inner", "last", "n_chars", "n_bytes", kind.alias("kind"), shape.alias("shape"), finished.alias("finished"))
+    return f.select("id", "source", "copy", "start", kind.alias("kind"), "last", _shape(F.col("last")).alias("shape"), F.col("shapes").alias("inner_shapes"), "n_chars", "n_bytes", finished.alias("finished"))
 
 
 def field_limits(f: DataFrame) -> DataFrame:
@@ -109,21 +130,23 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
     other closing lines need no final stop. Copies of a cut text are cut as well. A null source has no field limit.
     Repeated rows are all judged; columns of ``df`` beside the three named play no part.
     """
-    f = features(df, key, text, source)
-    norm = F.lower(F.trim(F.regexp_replace("body", r"(?U)\s+", " ")))
-    f = f.withColumn("norm", norm)
-    prefixes = strict_prefixes(f.where("kind != 'junk'"), "norm")
-    marked = f.join(prefixes.select(F.col("t").alias("norm"), F.lit(True).alias("continued")), "norm", "left")
+    f = cut(features(df, key, text, source))
+    unfinished = ~F.col("finished") & ~F.col("kind").isin("junk", "closing")
+    # only texts whose beginning an unfinished text shares with a different one are sorted and compared
+    begun = f.where("start IS NOT NULL").groupBy("start").agg(F.min("copy").alias("lo"), F.max("copy").alias("hi"), F.max(unfinished).alias("open")).where("lo != hi AND open").select("start")
+    norm = df.select(_norm(F.coalesce(F.col(text), F.lit(""))).alias("norm")).where(F.length("norm") >= MIN_PREFIX)
+    shared = norm.withColumn("start", F.xxhash64(F.substring("norm", 1, MIN_PREFIX))).join(begun, "start", "left_semi")
+    prefixes = strict_prefixes(shared, "norm").select(F.md5("t").alias("copy"), F.lit(True).alias("continued"))
+    marked = f.join(prefixes, "copy", "left")
     limits = field_limits(f)
     per_source = limits.groupBy("source").agg(F.collect_set(F.when(F.col("unit") == "chars", F.col("n"))).alias("by_chars"), F.collect_set(F.when(F.col("unit") == "bytes", F.col("n"))).alias("by_bytes"))
     marked = marked.join(per_source, "source", "left")
-    shapes = f.where("kind = 'list'").select(F.explode("inner").alias("line")).select(F.regexp_replace(F.regexp_extract(F.trim("line"), r"^[^,]*(,.*)$", 1), r"\d+", "9").alias("shape"))
-    shapes = shapes.where("shape != ''").groupBy("shape").agg(F.count("*").alias("uses")).where("uses >= 3").select("shape", F.lit(True).alias("whole_line"))
-    marked = marked.join(shapes, "shape", "left")
-    unfinished = ~F.col("finished") & (F.col("kind") != "junk")
-    by_limit = unfinished & (F.coalesce(F.array_contains("by_chars", F.col("n_chars")), F.lit(False)) | F.coalesce(F.array_contains("by_bytes", F.col("n_bytes")), F.lit(False))) & (F.col("kind") != "closing")
+    shapes = f.where("kind = 'list'").select(F.explode("inner_shapes").alias("shape")).where("shape != ''").groupBy("shape").agg(F.count("*").alias("uses"))
+    marked = marked.join(shapes.where(F.col("uses") >= MIN_SHAPE_USES).select("shape", F.lit(True).alias("whole_line")), "shape", "left")
+    at_limit = F.coalesce(F.array_contains("by_chars", F.col("n_chars")), F.lit(False)) | F.coalesce(F.array_contains("by_bytes", F.col("n_bytes")), F.lit(False))
+    by_limit = unfinished & at_limit
     by_tail = unfinished & ((F.col("kind") == "prose") | ((F.col("kind") == "list") & F.col("whole_line").isNull()))
-    by_prefix = F.coalesce("continued", F.lit(False)) & unfinished & (F.col("kind") != "closing")
+    by_prefix = unfinished & F.coalesce("continued", F.lit(False))
     return marked.select("id", "source", "kind", by_prefix.alias("by_prefix"), by_limit.alias("by_limit"), by_tail.alias("by_tail"), (by_prefix | by_limit | by_tail).alias("cut"))
 
 
