@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,11 +37,6 @@ def bare_form(form: Column) -> Column:
     return F.regexp_replace(F.get(F.split(x, ALTERNATIVE), F.lit(0)), r"[^a-z]+", "")
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once a row, also where ``use`` needs it inside lambda functions."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def single_consonants(bare: Column) -> Column:
     """Doubled consonants written once."""
     return F.regexp_replace(bare, r"([bcdfglmnprst])\1", "$1")

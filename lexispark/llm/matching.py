@@ -13,7 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispark.llm.headwords import bare_form, clean_form, homograph, let, single_consonants, skeleton
+from lexispark.functions.strings import let
+from lexispark.llm.headwords import bare_form, clean_form, homograph, single_consonants, skeleton
 from lexispark.llm.survivor import word_class
 
 BANDS = 8

@@ -19,12 +19,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.functions.strings import let
 from lexispark.llm.headwords import bare_form, clean_form, skeleton, utc_time
 from lexispark.operators.nested import unwrap
 from lexispark.session import ship_package
 
 MAX_MISREAD_DISTANCE = 4  # two misreadings of up to two letters each
 TEXT_KEYS = r'"(?:glosa|definicao|def|gloss|lat|quote|remissao|texto)"\s*:\s*"((?:[^"\\]|\\.)*)"'
+GLOSS_KEYS = r'"(?:glosa|definicao|def|gloss)"\s*:\s*"((?:[^"\\]|\\.)*)"'
+LOOSE_TEXTS = r'[\[,:]\s*"((?:[^"\\]|\\.)*)"(?=\s*[,\]\}])'
 # Word classes as they are written.
 CLASS_OF_POS = {"NOUN": "N", "PROPN": "N", "VERB": "V", "ADJ": "A", "ADV": "D", "PREP": "P", "CONJ": "C", "INTERJ": "I", "PRON": "R", "NUM": "M"}
 CLASS_OF_LABEL = (("^s\\.|^subst", "N"), ("^v\\.|^verb", "V"), ("^adj", "A"), ("^adv", "D"), ("^prep", "P"), ("^conj", "C"), ("^interj", "I"), ("^pron", "R"), ("^num", "M"))
@@ -73,19 +76,25 @@ def definition_state(definition: Column, record: Column) -> Column:
     The definition is held against the record it was rendered from: every word outside citations must occur in the
     record's texts, every gloss of the record must be in the definition, and the text must end where a sentence ends.
     """
-    json = unwrap(record)
-    plain = F.regexp_replace(definition, r"\([^()]*\)", " ")
-    texts = F.transform(F.regexp_extract_all(json, F.lit(TEXT_KEYS), 1), lambda x: F.coalesce(F.get(F.from_json(F.concat(F.lit('["'), x, F.lit('"]')), "array<string>"), 0), x))
-    # senses given as bare strings in lists
-    loose = F.transform(F.regexp_extract_all(json, F.lit(r'[\[,:]\s*"((?:[^"\\]|\\.)*)"(?=\s*[,\]\}])'), 1), lambda x: F.coalesce(F.get(F.from_json(F.concat(F.lit('["'), x, F.lit('"]')), "array<string>"), 0), x))
-    expected = F.array_distinct(F.flatten(F.transform(F.concat(texts, loose), lambda x: _tokens(F.regexp_replace(x, r"\([^()]*\)", " ")))))
-    glosses = F.transform(F.regexp_extract_all(json, F.lit(r'"(?:glosa|definicao|def|gloss)"\s*:\s*"((?:[^"\\]|\\.)*)"'), 1), lambda x: F.coalesce(F.get(F.from_json(F.concat(F.lit('["'), x, F.lit('"]')), "array<string>"), 0), x))
-    said = _tokens(plain)
-    readable = F.from_json(F.when(json.startswith("["), F.get_json_object(json, "$[0]")).otherwise(json), "map<string,string>").isNotNull() & json.rlike(r"[\}\]]$")
+    strings = lambda json, pattern: F.transform(F.regexp_extract_all(json, F.lit(pattern), 1), lambda x: F.coalesce(F.get(F.from_json(F.concat(F.lit('["'), x, F.lit('"]')), "array<string>"), 0), x))
+    bare = lambda x: F.regexp_replace(x, r"\([^()]*\)", " ")
     ends = definition.rlike(r"[.!?]\s*$") & ~definition.rlike(r"\([^()]*$")
-    sound = ends & (F.size(F.array_except(said, expected)) == 0) & (F.size(F.array_except(F.flatten(F.transform(glosses, _tokens)), said)) == 0)
+
+    def against(json: Column) -> Column:
+        # texts under their keys, and senses given as bare strings in lists
+        texts = F.concat(strings(json, TEXT_KEYS), strings(json, LOOSE_TEXTS))
+        glosses = F.flatten(F.transform(strings(json, GLOSS_KEYS), _tokens))
+        readable = F.from_json(F.when(json.startswith("["), F.get_json_object(json, "$[0]")).otherwise(json), "map<string,string>").isNotNull() & json.rlike(r"[\}\]]$")
+
+        def judge(expected: Column) -> Column:
+            sound = lambda said: ends & (F.size(F.array_except(said, expected)) == 0) & (F.size(F.array_except(glosses, said)) == 0)
+            known = readable & (F.size(expected) > 0)
+            return F.when(known, F.when(let(_tokens(bare(definition)), sound), 2).otherwise(0)).when(ends, 1).otherwise(0)
+
+        return let(F.array_distinct(F.flatten(F.transform(texts, lambda x: _tokens(bare(x))))), judge)
+
     blank = definition.isNull() | (F.trim(definition) == "")
-    return F.when(blank, 0).when(readable & (F.size(expected) > 0), F.when(sound, 2).otherwise(0)).when(ends, 1).otherwise(0)
+    return F.when(blank, 0).otherwise(let(F.coalesce(unwrap(record), F.lit("")), against))
 
 
 def confidence_rank(conf: Column) -> Column:
