@@ -35,6 +35,7 @@ class Node:
     column: str | None = None
     distance: int = 10
     parts: list["Node"] = field(default_factory=list)
+    member: int | None = None  # of a NEAR group: the word that is counted
 
 
 TOKEN = re.compile(r'\s*(?:(NEAR)\s*(?:/(\d+))?\s*\(|(AND|OR|NOT)\b|("(?:[^"])*")|([()+:,^*])|([^\s()"+:,^*]+))')
@@ -175,9 +176,9 @@ def occurrences(node: Node, columns: dict[str, Column]) -> Column:
     total = F.lit(0)
     for toks in use.values():
         if node.op == "near":
-            first = _starts(toks, Node("phrase", words=node.words[:1]))
-            ok = first
-            for w in node.words[1:]:
+            at = node.member or 0
+            ok = _starts(toks, Node("phrase", words=[node.words[at]]))
+            for w in node.words[:at] + node.words[at + 1 :]:
                 ok = _beside(ok, _starts(toks, Node("phrase", words=[w])), node.distance)
             n = F.when(_all_there(toks, node.words), F.size(ok)).otherwise(0)
         elif len(node.words) == 1 and not node.prefix and not node.initial:
@@ -188,6 +189,13 @@ def occurrences(node: Node, columns: dict[str, Column]) -> Column:
     return total
 
 
+def present(node: Node, columns: dict[str, Column]) -> Column:
+    """Whether a row counts for a term's document frequency; a word of a NEAR group counts wherever it occurs."""
+    if node.op == "near":
+        return occurrences(Node("phrase", words=[node.words[node.member or 0]], column=node.column), columns) > 0
+    return occurrences(node, columns) > 0
+
+
 def _all_there(toks: Column, words: list[str]) -> Column:
     """Cheap test before positions are compared."""
     ok = F.lit(True)
@@ -217,15 +225,21 @@ def matches(node: Node, columns: dict[str, Column]) -> Column:
 
 
 def leaves(node: Node, negated: bool = False) -> list[Node]:
-    if node.op in ("phrase", "near"):
-        return [] if negated else [node]
+    """Scored terms: phrases, and every word of a NEAR group on its own."""
+    if negated:
+        return []
+    if node.op == "near":
+        return [Node("near", words=node.words, column=node.column, distance=node.distance, member=i) for i in range(len(node.words))]
+    if node.op == "phrase":
+        return [node]
     return [x for i, p in enumerate(node.parts) for x in leaves(p, negated or (node.op == "not" and i > 0))]
 
 
 def search(df: DataFrame, query: str, columns: list[str], keep: list[str]) -> DataFrame:
     """Rows that match, with their BM25 ``score`` (the smaller, the better), unordered and unlimited.
 
-    A row's length is the number of its tokens over all columns; a phrase, prefix or NEAR group counts as one term.
+    A row's length is the number of its tokens over all columns; a phrase or prefix counts as one term, a NEAR group as
+    one term per word.
     One aggregation gathers row count, mean length and document frequencies; it joins back as a single row.
     """
     node = parse_query(query)
@@ -234,11 +248,11 @@ def search(df: DataFrame, query: str, columns: list[str], keep: list[str]) -> Da
     def judge(row: Column) -> Column:
         toks = {c: row[f"t_{c}"] for c in columns}
         size = sum((F.size(t) for t in toks.values()), F.lit(0))
-        return F.struct(size.alias("__size"), matches(node, toks).alias("__hit"), *[occurrences(t, toks).alias(f"__f{i}") for i, t in enumerate(terms)])
+        return F.struct(size.alias("__size"), matches(node, toks).alias("__hit"), *[occurrences(t, toks).alias(f"__f{i}") for i, t in enumerate(terms)], *[present(t, toks).alias(f"__c{i}") for i, t in enumerate(terms)])
 
     # tokens are made once a row, however often the query mentions them
     counted = df.select(*keep, let(F.struct(*[tokens(F.col(c)).alias(f"t_{c}") for c in columns]), judge).alias("__j")).select(*keep, "__j.*")
-    stats = counted.agg(F.count("*").alias("__n"), F.avg("__size").alias("__avg"), *[F.count_if(F.col(f"__f{i}") > 0).alias(f"__d{i}") for i in range(len(terms))])
+    stats = counted.agg(F.count("*").alias("__n"), F.avg("__size").alias("__avg"), *[F.count_if(F.col(f"__c{i}")).alias(f"__d{i}") for i in range(len(terms))])
     both = counted.where("__hit").crossJoin(F.broadcast(stats))
     score = F.lit(0.0)
     for i in range(len(terms)):

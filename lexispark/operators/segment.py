@@ -32,13 +32,17 @@ def strip_head(text: Column) -> Column:
     return text
 
 
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def cut_footnotes(text: Column, markers: list[str]) -> Column:
     """Text up to the first of each marker, then without page-number lines and everything from '(*)'."""
     for m in markers:
         at = F.instr(text, m)
-        text = F.when(at > 0, F.trim(F.substring_index(text, m, 1))).otherwise(text)
+        text = F.when(at > 0, _strip(F.substring_index(text, m, 1))).otherwise(text)
     text = F.regexp_replace(text, r"\n *(?:Página|p\.) *\d+ *(?=\n|$)", "\n")
-    return F.when(F.instr(text, "(*)") > 0, F.trim(F.substring_index(text, "(*)", 1))).otherwise(text)
+    return F.when(F.instr(text, "(*)") > 0, _strip(F.substring_index(text, "(*)", 1))).otherwise(text)
 
 
 def mend_lines(text: Column) -> Column:
