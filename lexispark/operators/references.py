@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.operators.skew import spread_join
+
 MAX_BLOOM_BITS = 1 << 26
 BITS_PER_KEY = 12
 
@@ -82,11 +84,11 @@ def orphans(ref: Reference) -> DataFrame:
 
     own = ref.parent_time if ref.parent_time is not None else F.lit(None).cast("timestamp")
     removed = ref.parent_removed if ref.parent_removed is not None else F.lit(False)
-    parent = ref.parent.select(F.col(ref.parent_key).cast("bigint").alias("pk"), own.alias("p_time"), removed.alias("p_removed")).where(F.col("pk").isNotNull())
-    parent = parent.groupBy("pk").agg(F.min("p_time").alias("p_time"), F.max("p_removed").alias("p_removed"), F.lit(True).alias("known"))
+    parent = ref.parent.select(F.col(ref.parent_key).cast("bigint").alias("k"), own.alias("p_time"), removed.alias("p_removed")).where(F.col("k").isNotNull())
+    parent = parent.groupBy("k").agg(F.min("p_time").alias("p_time"), F.max("p_removed").alias("p_removed"), F.lit(True).alias("known"))
 
     definite = child.where(~maybe).select("row_id", "k", "period", F.lit("missing").alias("kind"))
-    verified = child.where(maybe).join(parent, F.col("k") == F.col("pk"), "left")
+    verified = spread_join(child.where(maybe), parent, "k")
     verdict = (
         F.when(F.col("known").isNull(), F.lit("missing"))
         .when(F.col("p_removed"), F.lit("deleted"))
@@ -95,8 +97,8 @@ def orphans(ref: Reference) -> DataFrame:
     checked = verified.select("row_id", "k", "period", verdict.alias("kind")).where(F.col("kind").isNotNull())
     found = definite.unionByName(checked).distinct()
     if ref.deleted is not None:
-        gone = ref.deleted.select(F.col("key_id").cast("bigint").alias("gone")).distinct()
-        found = found.join(gone, F.col("k") == F.col("gone"), "left")
+        gone = ref.deleted.select(F.col("key_id").cast("bigint").alias("k")).where("k IS NOT NULL").distinct().withColumn("gone", F.lit(True))
+        found = spread_join(found, gone, "k")
         kind = F.when((F.col("kind") == "missing") & F.col("gone").isNotNull(), F.lit("deleted")).otherwise(F.col("kind"))
         found = found.withColumn("kind", kind)
     return found.select(F.lit(ref.tab).alias("tab"), "row_id", "kind", "period")
