@@ -14,6 +14,9 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.operators.skew import spread_join
+from lexispark.session import cut
+
 # Letters of other scripts that look like Latin ones.
 LATIN_LOOKALIKES = {
     "А": "A", "В": "B", "Е": "E", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Ѕ": "S", "Т": "T", "Х": "X", "Ү": "Y",
@@ -36,8 +39,9 @@ def _plain_pattern() -> str:
     codes = [x for x in range(0x21, 0x1F00) if fits(x)]
     starts = [x for x in codes if x - 1 not in set(codes)]
     ends = [x for x in codes if x + 1 not in set(codes)]
-    some = "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]+"
-    return f"^(?:{some}(?: {some})*)?$"
+    some = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends))
+    # a class with possessive repetition: texts of any length, no recursion
+    return f"^(?! )(?!.*  )(?!.* $)[ {some}]*+$"
 
 
 PLAIN = _plain_pattern()
@@ -74,12 +78,14 @@ def character_rows() -> tuple[list[tuple[str, int, str, int]], list[tuple[str, s
     return parts, composed
 
 
-def _tables(spark: SparkSession) -> tuple[DataFrame, Column, Column]:
+def _tables(spark: SparkSession) -> tuple[DataFrame, Column, Column, Column]:
     parts, composed = character_rows()
     table = spark.createDataFrame(parts, "ch string, n int, part string, ccc int")
     pairs = F.create_map(*[F.lit(x) for a, b, c in composed if b != "" for x in (a + b, c)])
     alike = F.create_map(*[F.lit(x) for a, b in LATIN_LOOKALIKES.items() for x in (a, b)])
-    return table, pairs, alike
+    marks = {p: ccc for _, _, p, ccc in parts if ccc}
+    classes = F.create_map(*[F.lit(x) for m, c in marks.items() for x in (m, c)])
+    return table, pairs, alike, classes
 
 
 def consistent_texts(texts: DataFrame, column: str = "text") -> DataFrame:
@@ -91,53 +97,44 @@ def consistent_texts(texts: DataFrame, column: str = "text") -> DataFrame:
     invisible characters or blanks alone becomes the empty text. Case and vowel marks are kept.
     """
     spark = texts.sparkSession
-    table, pairs, alike = _tables(spark)
-    suspects = texts.select(F.col(column).alias("text")).where(F.col("text").isNotNull() & ~F.col("text").rlike(PLAIN)).distinct()
-    points = suspects.select("text", F.posexplode(F.split("text", "")).alias("pos", "ch"))
-    parts = points.join(F.broadcast(table), "ch", "left").select("text", "pos", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("part", "ch").alias("part"), F.coalesce("ccc", F.lit(0)).alias("ccc"))
-    spelt = parts.where("part != ''").groupBy("text").agg(F.array_sort(F.collect_list(F.struct("pos", "n", "part", "ccc"))).alias("seq"))
-    spelt = suspects.join(spelt, "text", "left").select("text", F.coalesce("seq", F.array().cast("array<struct<pos:int,n:int,part:string,ccc:int>>")).alias("seq"))
-
-    # letters carry the marks that follow them; marks are ordered by class, then by place
-    start = F.struct(F.array().cast("array<struct<base:string,marks:array<struct<ccc:int,k:int,part:string>>>>").alias("done"))
-
-    def attach(acc: Column, x: Column) -> Column:
-        done = acc["done"]
-        last = F.element_at(done, -1)
-        grown = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["base"].alias("base"), F.concat(last["marks"], F.array(F.struct(x["ccc"].alias("ccc"), F.size(last["marks"]).alias("k"), x["part"].alias("part")))).alias("marks"))))
-        fresh = F.concat(done, F.array(F.struct(x["part"].alias("base"), F.array().cast("array<struct<ccc:int,k:int,part:string>>").alias("marks"))))
-        return F.struct(F.when((x["ccc"] > 0) & (F.size(done) > 0), grown).otherwise(fresh).alias("done"))
-
-    clusters = F.aggregate("seq", start, attach)["done"]
-    spelt = spelt.select("text", F.transform(clusters, lambda c: F.struct(c["base"].alias("base"), F.array_sort(c["marks"]).alias("marks"))).alias("clusters"))
-    # words: a word in Greek letters alone stays as it is, elsewhere look-alikes become Latin
-    flat = F.array_join(F.transform("clusters", lambda c: F.concat(c["base"], F.array_join(F.transform(c["marks"], lambda m: m["part"]), ""))), "")
-    words = F.split(F.trim(F.regexp_replace(flat, " +", " ")), " ")
+    table, pairs, alike, classes = _tables(spark)
+    suspects = texts.select(F.col(column).alias("text")).where(F.col("text").isNotNull() & ~F.col("text").rlike(PLAIN)).distinct().withColumn("key", F.md5("text"))
+    points = suspects.select("key", F.posexplode(F.split("text", "")).alias("pos", "ch"))
+    parts = points.join(F.broadcast(table), "ch", "left").select("key", "pos", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("part", "ch").alias("part"))
+    # one row a code point, so a text is rebuilt from no more rows than it has letters
+    spelt = parts.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "n", "part"))).alias("seq"))
+
+    flat = F.array_join(F.transform("seq", lambda x: x["part"]), "")
+    spelt = spelt.select("key", F.trim(F.regexp_replace(flat, " +", " ")).alias("flat"))
 
     def latin(word: Column) -> Column:
+        """A word in Greek letters alone stays as it is, elsewhere look-alikes become Latin."""
         return F.when(word.rlike(GREEK_WORD), word).otherwise(F.array_join(F.transform(F.split(word, ""), lambda ch: F.coalesce(alike[ch], ch)), ""))
 
-    def compose(word: Column) -> Column:
-        empty = F.struct(F.lit("").alias("out"), F.lit("").alias("last"))
+    def composed(cluster: Column) -> Column:
+        """A letter and its marks: marks ordered by class, then composed with the letter unless a mark between blocks them."""
+        chars = F.split(cluster, "")
+        marks = F.array_sort(F.transform(F.slice(chars, 2, F.size(chars)), lambda m, i: F.struct(F.coalesce(classes[m], F.lit(0)).alias("c"), i.alias("i"), m.alias("m"))))
+        state = lambda base, rest, c: F.struct(base.alias("base"), rest.alias("rest"), c.alias("c"))
 
-        def step(acc: Column, ch: Column) -> Column:
-            joined = pairs[F.concat(acc["last"], ch)]
-            return F.when(joined.isNotNull(), F.struct(acc["out"].alias("out"), joined.alias("last"))).otherwise(
-                F.when(ch.rlike(r"^\p{Mn}$"), F.struct(F.concat(acc["out"], acc["last"]).alias("out"), ch.alias("last"))).otherwise(F.struct(F.concat(acc["out"], acc["last"]).alias("out"), ch.alias("last")))
-            )
+        def step(acc: Column, x: Column) -> Column:
+            joined = F.when((acc["rest"] == "") | (acc["c"] < x["c"]), pairs[F.concat(acc["base"], x["m"])])
+            return F.when(joined.isNotNull(), state(joined, acc["rest"], acc["c"])).otherwise(state(acc["base"], F.concat(acc["rest"], x["m"]), x["c"]))
 
-        end = F.aggregate(F.split(word, ""), empty, step)
-        return F.concat(end["out"], end["last"])
+        end = F.aggregate(marks, state(F.get(chars, F.lit(0)), F.lit(""), F.lit(0)), step)
+        return F.concat(end["base"], end["rest"])
 
-    result = F.array_join(F.transform(words, lambda w: compose(latin(w))), " ")
-    return spelt.select("text", result.alias("consistent")).where(F.col("text") != F.col("consistent"))
+    words = F.array_join(F.transform(F.split("flat", " "), latin), " ")
+    clusters = F.regexp_extract_all(words, F.lit(r"(\P{Mn}\p{Mn}*+|\p{Mn}++)"), 1)
+    result = F.array_join(F.transform(clusters, lambda c: F.when(F.length(c) > 1, composed(c)).otherwise(c)), "")
+    return suspects.join(spelt.select("key", result.alias("consistent")), "key").select("text", "consistent").where(F.col("text") != F.col("consistent"))
 
 
 def make_consistent(df: DataFrame, column: str, output: str = "consistent") -> DataFrame:
     """``df`` with the consistent spelling of ``column`` in ``output``; nulls stay null, all rows and columns are kept."""
-    fixes = consistent_texts(df, column).select(F.col("text").alias("__text"), F.col("consistent").alias("__consistent"))
-    joined = df.join(fixes, df[column] == F.col("__text"), "left")
-    return joined.select(*[df[c] for c in df.columns if c != output], F.coalesce("__consistent", df[column]).alias(output))
+    fixes = cut(consistent_texts(df, column)).select(F.col("text").alias(column), F.col("consistent").alias("__consistent"))
+    joined = spread_join(df.drop(output) if output != column else df, fixes, column)
+    return joined.withColumn(output, F.coalesce("__consistent", F.col(column))).drop("__consistent")
 
 
 def inconsistent_rows(df: DataFrame, key: str, texts: Column, tab: str) -> DataFrame:
@@ -147,4 +144,4 @@ def inconsistent_rows(df: DataFrame, key: str, texts: Column, tab: str) -> DataF
     """
     single = df.select(F.col(key).cast("string").alias("rec_key"), F.explode(texts).alias("text")).where(F.col("rec_key").isNotNull() & ~F.col("text").rlike(PLAIN))
     fixes = consistent_texts(single)
-    return single.join(fixes.select("text"), "text", "left_semi").select(F.lit(tab).alias("tab"), "rec_key").distinct()
+    return spread_join(single, fixes.select("text"), "text", "left_semi").select(F.lit(tab).alias("tab"), "rec_key").distinct()

@@ -33,5 +33,11 @@ def test_rows_with_clashing_names_nulls_and_repeats(spark):
 
 
 def test_long_text(spark):
-    t = "ａ" * 50_000
-    assert consistent_texts(spark.createDataFrame([(t,)], "text string")).first().consistent == "a" * 50_000
+    t = "ａb " * 20_000 + "ā̆"
+    assert consistent_texts(spark.createDataFrame([(t,), ("ab " * 20_000 + "a",)], "text string")).first().consistent == "ab " * 20_000 + "ā̆"
+
+
+def test_marks_compose_unless_blocked(spark):
+    texts = ["a\u0330\u0301", "a\u0323\u0302", "a\u0302\u0323", "a\u0301\u0301", "\u0301a", "e\u0327\u0306"]
+    got = {r.text: r.consistent for r in consistent_texts(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert {t: got.get(t, t) for t in texts} == {t: unicodedata.normalize("NFC", t) for t in texts}
