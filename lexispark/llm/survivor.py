@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 from lexispark.functions.strings import let
 from lexispark.llm.headwords import bare_form, clean_form, skeleton, utc_time
 from lexispark.operators.nested import unwrap
-from lexispark.session import ship_package
+from lexispark.operators.skew import spread_join
+from lexispark.session import cut, ship_package
 
 MAX_MISREAD_DISTANCE = 4  # two misreadings of up to two letters each
-TEXT_KEYS = r'"(?:glosa|definicao|def|gloss|lat|quote|remissao|texto)"\s*:\s*"((?:[^"\\]|\\.)*)"'
-GLOSS_KEYS = r'"(?:glosa|definicao|def|gloss)"\s*:\s*"((?:[^"\\]|\\.)*)"'
-LOOSE_TEXTS = r'[\[,:]\s*"((?:[^"\\]|\\.)*)"(?=\s*[,\]\}])'
+TEXT_KEYS = r'"(?:glosa|definicao|def|gloss|lat|quote|remissao|texto)"\s*:\s*"([^"]*+)"'
+# senses: texts under these keys, and bare texts in lists that hold neither headwords nor examples
+GLOSS_KEYS = r'"(?:glosa|definicao|def|gloss|sentidos|subsentidos|sub)"\s*:\s*"([^"]*+)"'
+OTHER_LISTS = r'"(?:lemas|exemplos|ex|cit|notas)"\s*:\s*\[[^\[\]]*\]'
+LOOSE_SENSES = r'[\[,]\s*"([^"]*+)"(?=\s*[,\]])'
+LOOSE_TEXTS = r'[\[,:]\s*"([^"]*+)"(?=\s*[,\]\}])'
 # Word classes as they are written.
 CLASS_OF_POS = {"NOUN": "N", "PROPN": "N", "VERB": "V", "ADJ": "A", "ADV": "D", "PREP": "P", "CONJ": "C", "INTERJ": "I", "PRON": "R", "NUM": "M"}
 CLASS_OF_LABEL = (("^s\\.|^subst", "N"), ("^v\\.|^verb", "V"), ("^adj", "A"), ("^adv", "D"), ("^prep", "P"), ("^conj", "C"), ("^interj", "I"), ("^pron", "R"), ("^num", "M"))
@@ -41,28 +45,35 @@ def word_class(pos: Column, label: Column, verb: Column, decl: Column, adj: Colu
     return F.coalesce(by_pos, by_label, F.when(verb.isNotNull(), F.lit("V")), F.when(adj.isNotNull(), F.lit("A")), F.when(decl.isNotNull(), F.lit("N")))
 
 
-def article_keys(df: DataFrame) -> DataFrame:
-    """Canonical headword of every row: ``entry_id, canonical, homograph_no, cls`` and the row's other columns.
+def article_keys(rows: DataFrame) -> DataFrame:
+    """Rows with the column ``canonical``, the spelling of their headword that is trusted most.
 
+    ``rows`` has ``bare`` (its own spelling), ``head`` (the spelling of head_raw where its strokes agree) and ``skel``.
     Spellings that share a stroke skeleton belong to one word when they are few misreadings apart; the spelling of
-    head_raw is trusted before that of lemma, and frequent spellings before rare ones. Rows without entry_id or
-    headword are left out; a row delivered twice counts once.
+    head_raw is trusted before that of lemma, and frequent spellings before rare ones.
     """
-    form = bare_form(clean_form(F.col("lemma")))
-    head = F.nullif(bare_form(clean_form(F.regexp_extract("head_raw", r"^([^,]*)", 1))), F.lit(""))
-    rows = df.where(F.col("entry_id").isNotNull()).dropDuplicates(["entry_id"])
-    rows = rows.withColumn("bare", form).withColumn("head", head).withColumn("bare", F.coalesce(F.nullif("bare", F.lit("")), "head")).where(F.col("bare").isNotNull())
-    rows = rows.withColumn("skel", skeleton(F.col("bare")))
-    rows = rows.withColumn("head", F.when(skeleton(F.col("head")) == F.col("skel"), F.col("head")))
-    rows = rows.withColumn("cls", word_class(F.col("pos"), F.col("morph_render"), F.col("verb_class"), F.col("decl_class"), F.col("adj_class")))
-    rows = rows.withColumn("cls", F.coalesce("cls", F.when(F.lower("definicao").startswith("de modo "), F.lit("D"))))
     spelt = rows.groupBy("skel", F.coalesce("head", "bare").alias("spelling")).agg(F.count("*").alias("uses"), F.max(F.col("head").isNotNull()).alias("trusted"))
+    # as many spellings as misreadings make of one word, whatever the number of its copies
     known = spelt.groupBy("skel").agg(F.max("trusted").alias("any"), F.collect_list(F.struct("trusted", "uses", "spelling")).alias("all"))
     only = F.when(F.col("any"), F.filter("all", lambda x: x["trusted"])).otherwise(F.slice(F.sort_array("all", asc=False), 1, 1))
-    rows = rows.join(known.select("skel", only.alias("spellings")), "skel")
-    near = F.array_min(F.transform("spellings", lambda x: F.struct(F.levenshtein(F.col("bare"), x["spelling"]).alias("d"), (-x["uses"]).alias("u"), x["spelling"].alias("s"))))
-    canonical = F.when(F.col("head").isNotNull(), F.col("head")).when(near["d"] <= MAX_MISREAD_DISTANCE, near["s"]).otherwise(F.col("bare"))
-    return rows.withColumn("canonical", canonical).drop("spellings")
+    rows = spread_join(rows, known.select("skel", only.alias("spellings")), "skel", "inner")
+    near = lambda own: F.array_min(F.transform("spellings", lambda x: F.struct(F.levenshtein(own, x["spelling"]).alias("d"), (-x["uses"]).alias("u"), x["spelling"].alias("s"))))
+    nearest = let(near(F.col("bare")), lambda n: F.when(n["d"] <= MAX_MISREAD_DISTANCE, n["s"]))
+    return rows.withColumn("canonical", F.coalesce("head", nearest, "bare")).drop("spellings")
+
+
+def headwords(df: DataFrame) -> DataFrame:
+    """``df`` with its headword as compared (bare, head, skel) and word class (cls); one row per entry_id.
+
+    Rows without entry_id or headword are left out; a row delivered twice counts once.
+    """
+    rows = df.where(F.col("entry_id").isNotNull()).dropDuplicates(["entry_id"])
+    rows = rows.select("*", bare_form(clean_form(F.col("lemma"))).alias("__b"), bare_form(clean_form(F.regexp_extract("head_raw", r"^([^,]*)", 1))).alias("__h"))
+    rows = rows.select(*[c for c in rows.columns if c not in ("bare", "head", "skel", "cls")], F.coalesce(F.nullif("__b", F.lit("")), F.nullif("__h", F.lit(""))).alias("bare")).where(F.col("bare").isNotNull())
+    rows = rows.withColumn("skel", skeleton(F.col("bare")))
+    rows = rows.withColumn("head", F.when((F.col("__h") != "") & (skeleton(F.col("__h")) == F.col("skel")), F.col("__h"))).drop("__b", "__h")
+    cls = word_class(F.col("pos"), F.col("morph_render"), F.col("verb_class"), F.col("decl_class"), F.col("adj_class"))
+    return rows.withColumn("cls", F.coalesce(cls, F.when(F.lower("definicao").startswith("de modo "), F.lit("D"))))
 
 
 def _tokens(c: Column) -> Column:
@@ -76,15 +87,21 @@ def definition_state(definition: Column, record: Column) -> Column:
     The definition is held against the record it was rendered from: every word outside citations must occur in the
     record's texts, every gloss of the record must be in the definition, and the text must end where a sentence ends.
     """
-    strings = lambda json, pattern: F.transform(F.regexp_extract_all(json, F.lit(pattern), 1), lambda x: F.coalesce(F.get(F.from_json(F.concat(F.lit('["'), x, F.lit('"]')), "array<string>"), 0), x))
+    # escaped quotes and backslashes stand as private characters, so that patterns for strings need no alternatives
+    hidden = lambda c: F.replace(F.replace(c, F.lit("\\\\"), F.lit("\ue000")), F.lit('\\"'), F.lit("\ue001"))
+    shown = lambda c: F.replace(F.replace(c, F.lit("\ue001"), F.lit('\\"')), F.lit("\ue000"), F.lit("\\\\"))
+    decoded = lambda x: F.coalesce(F.get(F.from_json(F.concat(F.lit('["'), shown(x), F.lit('"]')), "array<string>"), 0), x)
+    strings = lambda text, pattern: F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), decoded)
     bare = lambda x: F.regexp_replace(x, r"\([^()]*\)", " ")
     ends = definition.rlike(r"[.!?]\s*$") & ~definition.rlike(r"\([^()]*$")
 
     def against(json: Column) -> Column:
         # texts under their keys, and senses given as bare strings in lists
         texts = F.concat(strings(json, TEXT_KEYS), strings(json, LOOSE_TEXTS))
-        glosses = F.flatten(F.transform(strings(json, GLOSS_KEYS), _tokens))
-        readable = F.from_json(F.when(json.startswith("["), F.get_json_object(json, "$[0]")).otherwise(json), "map<string,string>").isNotNull() & json.rlike(r"[\}\]]$")
+        loose = strings(F.regexp_replace(json, OTHER_LISTS, '"_": 0'), LOOSE_SENSES)
+        glosses = F.flatten(F.transform(F.concat(strings(json, GLOSS_KEYS), loose), _tokens))
+        whole = let(shown(json), lambda j: F.from_json(F.when(j.startswith("["), F.get_json_object(j, "$[0]")).otherwise(j), "map<string,string>").isNotNull())
+        readable = whole & json.rlike(r"[\}\]]$")
 
         def judge(expected: Column) -> Column:
             sound = lambda said: ends & (F.size(F.array_except(said, expected)) == 0) & (F.size(F.array_except(glosses, said)) == 0)
@@ -94,7 +111,7 @@ def definition_state(definition: Column, record: Column) -> Column:
         return let(F.array_distinct(F.flatten(F.transform(texts, lambda x: _tokens(bare(x))))), judge)
 
     blank = definition.isNull() | (F.trim(definition) == "")
-    return F.when(blank, 0).otherwise(let(F.coalesce(unwrap(record), F.lit("")), against))
+    return F.when(blank, 0).otherwise(let(hidden(F.coalesce(unwrap(record), F.lit(""))), against))
 
 
 def confidence_rank(conf: Column) -> Column:
@@ -141,16 +158,18 @@ def survivors(df: DataFrame) -> DataFrame:
     their headword when it has only one. Empty input gives no rows.
     """
     ship_package(df.sparkSession)
-    rows = article_keys(df)
+    rows = headwords(df)
     updated = F.coalesce(F.unix_micros(utc_time(F.col("updated_at"))), F.lit(-1))
     morph_known = sum((F.col(c).isNotNull().cast("int") for c in ("pos", "gender", "decl_class", "verb_class", "adj_class", "morph_render")), F.lit(0))
     state = definition_state(F.col("definicao"), F.col("raw_json"))
     review = F.when(F.col("needs_review") == 0, 1).otherwise(0)
-    scored = rows.select(
-        "entry_id", "canonical", "homograph_no", "cls", updated.alias("updated"), state.alias("state"),
+    # what is compared and judged, without the texts, written once
+    narrow = cut(rows.select(
+        "entry_id", "bare", "head", "skel", "homograph_no", "cls", updated.alias("updated"), state.alias("state"),
         F.xxhash64(F.regexp_replace(F.lower("definicao"), r"\s+", " ")).alias("text_hash"),
         F.length("definicao").alias("size"), confidence_rank(F.col("conf")).alias("rank"), review.alias("review"), morph_known.alias("morph"),
-    )
+    ))
+    scored = article_keys(narrow)
     # first by article, class and text: equal texts share what is known of one of them
     latest = F.struct("updated", (-F.col("entry_id")).alias("id"))
     by_text = scored.groupBy("canonical", "homograph_no", "cls", "text_hash").agg(

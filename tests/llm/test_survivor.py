@@ -23,7 +23,7 @@ def test_whole_clean_text_and_best_rating(spark):
         row(1, text="1. navio do r"), row(2, text=GOOD.replace("navio", "nayio"), conf=" HIGH ", review=1), row(3, text=GOOD + " FIRNUS — 12 — GARMUS", conf="High"),
         row(4, conf="low", at="2023-01-01 00:00:00"), row(5, conf="med", at="2023-05-01T00:00:00+00:00"), row(6, text="Navio do rio.", conf=None), row(7, text=None, conf="none"),
     ]
-    assert run(spark, rows) == {1: (7, 5, 3)}
+    assert run(spark, rows) == {1: (7, 5, 1)}
 
 
 def test_misread_headwords_homographs_and_classes(spark):
