@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from lexispark.functions.strings import let
 from lexispark.llm.headwords import bare_form, clean_form, homograph, single_consonants, skeleton
 from lexispark.llm.survivor import MAX_MISREAD_DISTANCE, word_class
+from lexispark.operators.skew import spread_join
+from lexispark.session import cut
 
 BANDS = 16
 BAND_ROWS = 6  # words of 80 % common trigrams meet with 99 %, words of 20 % once in a thousand
@@ -25,7 +27,8 @@ THRESHOLD = 0.5
 LATIN_WORD = r"\p{L}{7,}"
 # Abbreviations of word classes in the second dictionary.
 CLASS_OF_ABBREVIATION = {"n": "N", "noun": "N", "subst": "N", "n pr": "N", "prop n": "N", "s": "N", "adj": "A", "a": "A", "p a": "A", "v": "V", "v a": "V", "v n": "V", "v dep": "V", "verb": "V", "adv": "D", "prep": "P", "conj": "C", "interj": "I"}
-FEATURES = ("same_skeleton", "distance", "tail_distance", "edits", "class_agree", "class_conflict", "guess_agree", "guess_conflict", "number_agree", "number_conflict", "number_missing")
+FORM_FEATURES = ("same_skeleton", "distance", "tail_distance", "edits")
+FEATURES = (*FORM_FEATURES, "class_agree", "class_conflict", "guess_agree", "guess_conflict", "number_agree", "number_conflict", "number_missing")
 
 
 def _runs(skel: Column) -> Column:
@@ -120,7 +123,9 @@ def pair_features(left: DataFrame, right: DataFrame) -> DataFrame:
     """All candidate pairs of articles with features and the weak label (null where nothing labels the pair)."""
     forms = candidate_forms(left, right)
     r = right.select(F.col("ls_id"), F.col("form").alias("ls_form"), F.col("number").alias("ls_number"), F.col("cls").alias("ls_cls"), F.col("guess").alias("ls_guess"), F.col("quotes").alias("ls_quotes"))
-    rows = left.join(forms, "form").join(r, "ls_form")
+    # the forms an article may match, as one row a form: a form many articles share is spread
+    mine = forms.groupBy("form").agg(F.collect_list(F.struct("ls_form", *FORM_FEATURES)).alias("near"))
+    rows = spread_join(left, mine, "form", "inner").select(*left.columns, F.explode("near").alias("n")).select(*left.columns, "n.*").join(r, "ls_form")
     known, other = F.col("cls").isNotNull() & F.col("ls_cls").isNotNull(), F.col("cls").isNotNull() & F.col("ls_guess").isNotNull()
     common = F.size(F.array_intersect("quotes", "ls_quotes"))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
@@ -175,7 +180,7 @@ def matches(left_table: DataFrame, right_table: DataFrame, threshold: float = TH
     are matches. Null fields count as unknown, never as equal. Copies of an article match each on their own. Empty
     tables give no rows; without weak labels of both kinds fixed prior weights are used.
     """
-    pairs = pair_features(left_side(left_table), right_side(right_table))
+    pairs = cut(pair_features(cut(left_side(left_table)), cut(right_side(right_table))))
     labelled = pairs.where(F.col("label").isNotNull()).withColumn("draw", F.xxhash64("entry_id", "ls_id"))
     sample = labelled.orderBy("draw").limit(TRAIN_ROWS).select(*FEATURES, "label").toPandas()
     x, y = sample[list(FEATURES)].to_numpy(float), sample["label"].to_numpy(float)
