@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.functions.strings import let
+from lexispark.operators.skew import spread_join
 from lexispark.session import cut, ship_package
 
 MIN_LETTERS = 12
@@ -136,13 +137,15 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
     begun = f.where("start IS NOT NULL").groupBy("start").agg(F.min("copy").alias("lo"), F.max("copy").alias("hi"), F.max(unfinished).alias("open")).where("lo != hi AND open").select("start")
     norm = df.select(_norm(F.coalesce(F.col(text), F.lit(""))).alias("norm")).where(F.length("norm") >= MIN_PREFIX)
     shared = norm.withColumn("start", F.xxhash64(F.substring("norm", 1, MIN_PREFIX))).join(begun, "start", "left_semi")
-    prefixes = strict_prefixes(shared, "norm").select(F.md5("t").alias("copy"), F.lit(True).alias("continued"))
-    marked = f.join(prefixes, "copy", "left")
+    prefixes = cut(strict_prefixes(shared, "norm").select(F.md5("t").alias("copy"), F.lit(True).alias("continued")))
+    marked = spread_join(f, prefixes, "copy")
     limits = field_limits(f)
     per_source = limits.groupBy("source").agg(F.collect_set(F.when(F.col("unit") == "chars", F.col("n"))).alias("by_chars"), F.collect_set(F.when(F.col("unit") == "bytes", F.col("n"))).alias("by_bytes"))
-    marked = marked.join(per_source, "source", "left")
-    shapes = f.where("kind = 'list'").select(F.explode("inner_shapes").alias("shape")).where("shape != ''").groupBy("shape").agg(F.count("*").alias("uses"))
-    marked = marked.join(shapes.where(F.col("uses") >= MIN_SHAPE_USES).select("shape", F.lit(True).alias("whole_line")), "shape", "left")
+    marked = spread_join(marked, per_source, "source")
+    # only unfinished lists are held against the shapes of complete lines
+    shapes = f.where("kind = 'list'").select(F.explode("inner_shapes").alias("shape")).where("shape != ''").groupBy("shape").agg(F.count("*").alias("uses")).where(F.col("uses") >= MIN_SHAPE_USES)
+    asked = F.when((F.col("kind") == "list") & unfinished, F.col("shape"))
+    marked = spread_join(marked.withColumn("shape", asked), shapes.select("shape", F.lit(True).alias("whole_line")), "shape")
     at_limit = F.coalesce(F.array_contains("by_chars", F.col("n_chars")), F.lit(False)) | F.coalesce(F.array_contains("by_bytes", F.col("n_bytes")), F.lit(False))
     by_limit = unfinished & at_limit
     by_tail = unfinished & ((F.col("kind") == "prose") | ((F.col("kind") == "list") & F.col("whole_line").isNull()))
