@@ -1,0 +1,29 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
+from oracle import DATA, compare, connect  # noqa: E402
+
+from lexispark.llm.queries import ORACLE, QUERIES  # noqa: E402
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+COLUMNS = {
+    "p1_found": ["group_id", "definicao_from", "conf_from"], "p3_found": ["tab", "rec_key", "field", "line_no", "kind"], "p4_found": ["tab", "rec_key"], "p7_found": ["entry_id", "ls_id"],
+    "p8_found": ["doc_id", "item_id"], "p10_found": ["doc_id"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_runs_with_the_agreed_columns(spark, name):
+    df = QUERIES[name](spark, DATA)
+    assert df.columns == COLUMNS.get(name, df.columns)
+    n = df.count()
+    assert n >= 0
+    assert df.distinct().count() == n
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, name):
+    compare(spark, connect(), QUERIES[name], ORACLE[name])
