@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexispark.functions.strings import let
+
 # Literal clean-up steps and letter classes, in the order they apply.
 REPLACEMENTS = (("—", "-"), ("–", "-"), ("•", ""), ("·", "."), ("..", "."), (" ,", ","), (" , ", ", "), (" .", "."), ("cit. LS", ""), ("(cit. LS)", ""))
 AUTHOR_ALIASES = ((r"\b1 Ped\.", "1 Pet."), (r"\bApp\. M\.", "Apul. M."))
@@ -18,31 +20,41 @@ def split_reference(c: Column) -> Column:
     Empty text is invalid with confidence 0; a text without author and place is invalid (at most 0.2); a missing work
     makes it partial (at most 0.6); a place without digits makes it partial (at most 0.4); odd characters cost 0.2.
     """
-    raw = F.coalesce(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))
-    x = raw
-    for wrong, right in REPLACEMENTS:
-        x = F.replace(x, F.lit(wrong), F.lit(right))
-    x = F.trim(F.regexp_replace(F.regexp_replace(x, r"[;,.)\]]+$", ""), r"(?U)\s+", " "))
-    for wrong, right in AUTHOR_ALIASES:
-        x = F.regexp_replace(x, wrong, right)
-    odd = x.rlike(r"(?U)[^\w.,\-\s()]")
     full = rf"^([{UPPER}][A-Za-z{UPPER}. ]+?)\s+([A-Za-z{UPPER}][A-Za-z{UPPER}. ]+?)\s+(.+)$"
     short = rf"^([{UPPER}][A-Za-z{UPPER}. ]+?)\s+(.+)$"
-    has_full, has_short = x.rlike(full), x.rlike(short)
-    fonte = F.when(has_full, F.regexp_extract(x, full, 1)).when(has_short, F.regexp_extract(x, short, 1))
-    obra = F.when(has_full, F.regexp_extract(x, full, 2))
-    loc = F.when(has_full, F.regexp_extract(x, full, 3)).when(has_short, F.regexp_extract(x, short, 2))
-    empty, none = raw == "", ~has_full & ~has_short
-    no_digits = loc.isNotNull() & ~loc.rlike(r"\d")
-    note = loc.isNotNull() & ~loc.rlike(PLACE)
-    issues = F.concat_ws(",", F.when(empty, "vazio"), F.when(~empty & odd, "caracteres_estranhos"), F.when(~empty & none, "nao_casou"), F.when(~empty & ~has_full & has_short, "obra_ausente"), F.when(no_digits, "sem_numeros_em_loc"))
-    notes = F.when(note, F.lit("loc_formato_atipico")).otherwise(F.lit(""))
-    base = F.when(empty, 0.0).when(none, 0.2).when(~has_full, 0.6).otherwise(0.9)
-    less = F.when(~empty & odd, base - 0.2).otherwise(base)
-    conf = F.when(no_digits, F.least(less, F.lit(0.4))).otherwise(less)
-    status = F.when(empty | none, "invalido").when(no_digits | ~has_full, "parcial").otherwise("ok")
-    message = F.nullif(F.concat_ws("; ", F.when(issues != "", F.concat(F.lit("issues="), issues)), F.when(notes != "", F.concat(F.lit("notes="), notes))), F.lit(""))
-    return F.struct(fonte.alias("fonte"), obra.alias("obra"), loc.alias("loc"), status.alias("status"), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf)), 6).alias("confidence"), message.alias("err_msg"))
+
+    def clean(raw: Column) -> Column:
+        x = raw
+        for wrong, right in REPLACEMENTS:
+            x = F.replace(x, F.lit(wrong), F.lit(right))
+        x = F.trim(F.regexp_replace(F.regexp_replace(x, r"[;,.)\]]+$", ""), r"(?U)\s+", " "))
+        for wrong, right in AUTHOR_ALIASES:
+            x = F.regexp_replace(x, wrong, right)
+        return x
+
+    def parts(x: Column, raw: Column) -> Column:
+        has_full, has_short = x.rlike(full), x.rlike(short)
+        fonte = F.when(has_full, F.regexp_extract(x, full, 1)).when(has_short, F.regexp_extract(x, short, 1))
+        loc = F.when(has_full, F.regexp_extract(x, full, 3)).when(has_short, F.regexp_extract(x, short, 2))
+        return F.struct((raw == "").alias("blank"), x.rlike(r"(?U)[^\w.,\-\s()]").alias("odd"), fonte.alias("fonte"), F.when(has_full, F.regexp_extract(x, full, 2)).alias("obra"), loc.alias("loc"))
+
+    def judged(p: Column) -> Column:
+        empty, odd = p["blank"], ~p["blank"] & p["odd"]
+        none = ~p["blank"] & p["fonte"].isNull()
+        alone = p["fonte"].isNotNull() & p["obra"].isNull()
+        no_digits = p["loc"].isNotNull() & ~p["loc"].rlike(r"\d")
+        note = p["loc"].isNotNull() & ~p["loc"].rlike(PLACE)
+        issues = F.concat_ws(",", F.when(empty, "vazio"), F.when(odd, "caracteres_estranhos"), F.when(none, "nao_casou"), F.when(alone, "obra_ausente"), F.when(no_digits, "sem_numeros_em_loc"))
+        base = F.when(empty, 0.0).when(none, 0.2).when(alone, 0.6).otherwise(0.9)
+        less = F.when(odd, base - 0.2).otherwise(base)
+        conf = F.when(no_digits, F.least(less, F.lit(0.4))).otherwise(less)
+        status = F.when(empty | none, "invalido").when(no_digits | alone, "parcial").otherwise("ok")
+        message = F.nullif(F.concat_ws("; ", F.when(issues != "", F.concat(F.lit("issues="), issues)), F.when(note, F.lit("notes=loc_formato_atipico"))), F.lit(""))
+        return F.struct(p["fonte"].alias("fonte"), p["obra"].alias("obra"), p["loc"].alias("loc"), status.alias("status"), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf)), 6).alias("confidence"), message.alias("err_msg"))
+
+    raw = F.coalesce(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    both = F.struct(raw.alias("raw"), clean(raw).alias("x"))
+    return let(let(both, lambda s: parts(s["x"], s["raw"])), judged)
 
 
 def reference_text(fonte: Column, obra: Column, loc: Column, raw: Column) -> Column:

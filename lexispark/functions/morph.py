@@ -82,3 +82,53 @@ def vote(g: Column, latin: Column, d: Column) -> Column:
 def compatible(a: Column, b: Column) -> Column:
     """Whether two word classes may describe one word: unknown passes, noun and adjective interchange for names."""
     return (a == "UNK") | (b == "UNK") | (a == b)
+
+
+# ---- labels of other dictionaries --------------------------------------------------------------------------------
+def pos_matches(label: Column, wanted: Column) -> Column:
+    """Whether a label is of the wanted word class; an unknown or missing wish is always met."""
+    return wanted.isNull() | (wanted == "UNK") | (pos_bucket(label) == wanted)
+
+
+def pos_of_code(code: Column) -> Column:
+    """Word class of a short grammar code, null for codes not known."""
+    table = F.create_map(*[F.lit(x) for k, v in POS_OF_CODE.items() for x in (k, v)])
+    return table[F.regexp_replace(F.lower(F.trim(code)), r"\.$", "")]
+
+
+def foreign_class(grammar: Column) -> Column:
+    """(kind, class, extra) of a German grammar text: conjugation, declension or adjective class, and 'dep.'."""
+    g = F.lower(F.trim(F.coalesce(grammar, F.lit(""))))
+    number = F.nullif(F.regexp_extract(g, r"(\d)\. ?(?:konj|dekl|decl|conj)", 1), F.lit(""))
+    kind = F.when(g.rlike(r"konj|conj|verb"), "verb").when(g.rlike(r"adj"), "adj").when(g.rlike(r"dekl|decl|subst"), "noun")
+    table = lambda d: F.coalesce(*[F.when(number == k[0], v) for k, v in d.items()])
+    cls = F.when(kind == "verb", table(CONJUGATIONS)).when(kind == "noun", table(DECLENSIONS)).when(kind == "adj", F.when(g.rlike("3"), "3ª").otherwise("1ª/2ª"))
+    return F.struct(kind.alias("kind"), cls.alias("cls"), F.when(g.rlike("depon"), "dep.").alias("extra"))
+
+
+def foreign_hints(text: Column) -> Column:
+    """Signals in a German article: gender, infinitive, genitive ending, adjective of three endings."""
+    t = F.coalesce(text, F.lit(""))
+    get = lambda pattern: F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
+    return F.struct(
+        F.lower(get(r"(?:^|[ ,;(])([mfnMFN])(?:\.|\)|$)")).alias("gender"), get(r"(?i)infinitiv:? ([\p{L}āēīō]+re)\b").alias("infinitive"), get(r",\s*-?(ae|ei|is|us|i)\b").alias("genitive"),
+        t.rlike(r",\s*-?a,\s*-?um\b").alias("three_endings"),
+    )
+
+
+def inflection_set(*lists: Column) -> Column:
+    """Sorted distinct inflection signs of lists such as ['a, um'], conjugation endings as numbers."""
+    numbers = {"are": "1", "ere": "3", "ire": "4", "āre": "1", "ēre": "2", "īre": "4"}
+    parts = F.flatten(F.transform(F.concat(*lists), lambda x: F.split(F.lower(x), r"\s*,\s*")))
+    table = F.create_map(*[F.lit(x) for k, v in numbers.items() for x in (k, v)])
+    bare = F.transform(parts, lambda x: F.regexp_replace(F.trim(x), r"^-", ""))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(bare, lambda x: F.coalesce(table[x], x)), lambda x: x != "")))
+
+
+def ladder(g: Column, latin: Column, d: Column, sources: Column, old: Column, label: Column) -> Column:
+    """Decision of a label correction: skip for too few sources, no agreement or no label; noop; else update."""
+    v = vote(g, latin, d)
+    return (
+        F.when(sources < 2, "skip:not_enough_unique_sources").when(v["votes"] < 2, "skip:no_pos_consensus").when(label.isNull(), "skip:no_mapping")
+        .when(label == old, "noop:same").otherwise("update")
+    )

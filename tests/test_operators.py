@@ -1,3 +1,4 @@
+import json
 import random
 from difflib import SequenceMatcher
 
@@ -123,3 +124,48 @@ def test_suggestion_targets(spark):
     assert take("all") == base | {(4, 10, "TAKE"), (4, 11, "TAKE")}
     assert take("safe") == take("one") == base | {(4, 10, "TAKE")}
 
+
+
+def test_dictionary_assembly(spark):
+    from lexispark.operators import dictionary
+
+    e = spark.createDataFrame([(1, "a (Cic. Div. 1, 2) b (Cald. 3)"), (2, None), (3, "x")], "id int, t string")
+    x = dictionary.examples(e, "id", "t")
+    assert {(r.entry_id, r.n, r.status) for r in x.collect()} == {(1, 1, "ok"), (1, 2, "parcial")}
+    assert [r.n for r in dictionary.search_examples(x, status="parcial").collect()] == [2]
+    assert [r.n for r in dictionary.search_examples(x, "div").collect()] == [1]
+    kids = dictionary.with_children(e.select("id"), "id", x, "entry_id", "n", ["raw_ref"])
+    assert {r.id: len(r.children) for r in kids.collect()} == {1: 2, 2: 0, 3: 0}
+
+
+def test_suggestions_payloads_and_decisions(spark):
+    from lexispark.operators import dictionary
+
+    e = spark.createDataFrame([(1, "cornua"), (2, "comua"), (3, "zzz"), (4, None)], "id int, l string")
+    trusted = spark.createDataFrame([("cornua",)], "l string")
+    none = trusted.limit(0)
+    got = dictionary.suggest_fixes(e, "id", "l", trusted, "l", none, "l", accept=0.2).collect()
+    assert [(r.key, r.suggestion, r.conf) for r in got] == [(2, "cornua", "med")]
+    lines = [json.dumps({"custom_id": "dedupe::g", "parsed": {"results": [{"id": "a", "action": "keep"}]}}), json.dumps({"custom_id": "dedupe::h", "content": json.dumps({"results": [{"id": "b", "action": "redirect", "redirect_to": "c"}]})}), "junk", json.dumps({"custom_id": "x", "content": "{"})]
+    d = dictionary.parse_decisions(spark.createDataFrame([(x,) for x in lines], "v string"), "v")
+    assert {(r.group_id, r.id, r.error) for r in d.collect()} == {("g", "a", None), ("h", "b", None), (None, None, "bad_custom_id"), ("x", None, "bad_custom_id")}
+    rows = spark.createDataFrame([("g", 2, "b"), ("g", 1, "a")], "g string, i int, t string")
+    p = dictionary.group_payload(rows, "g", "i", ["t"], spark.createDataFrame([("g", "LS — x")], "g string, line string")).first()
+    assert [x["i"] for x in json.loads(p.payload)["items"]] == [1, 2] and json.loads(p.payload)["evidence"] == "LS — x"
+    n = dictionary.narrowed(spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "g string, v int"), "g", F.col("v") == 2)
+    assert {(r.g, r.v) for r in n.collect()} == {("a", 2), ("b", 1)}
+    o = dictionary.best_overlap(spark.createDataFrame([("a", ["x", "y"]), ("a", ["x"]), ("b", ["q"]), ("b", ["x", "z"])], "g string, h array<string>"), "g", F.array(F.lit("x"), F.lit("y")), F.col("h"))
+    assert {(r.g, tuple(r.h)) for r in o.collect()} == {("a", ("x", "y")), ("b", ("x", "z"))}
+
+
+def test_spread_join_equals_a_join(spark, monkeypatch):
+    from lexispark.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    big = spark.createDataFrame([(i, i % 3 if i < 90 else (None if i % 2 else i)) for i in range(120)], "x int, k int")
+    small = spark.createDataFrame([(0, "a"), (2, "b"), (94, "c"), (7, "d")], "k int, v string")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        want = sorted(map(str, (tuple(r) for r in big.join(small, "k", how).select(*(["x", "k"] + (["v"] if how in ("left", "inner") else []))).collect())))
+        got = skew.spread_join(big, small, "k", how)
+        assert sorted(map(str, (tuple(r) for r in got.select(*(["x", "k"] + (["v"] if how in ("left", "inner") else []))).collect()))) == want
+    assert sorted(skew.hot_keys(big, "k")) == [0, 1, 2]
