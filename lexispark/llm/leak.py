@@ -217,11 +217,12 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     schema = "doc_id bigint, item_id bigint, share double"
     result = None
     for block in blocks:
-        sent = spark.sparkContext.broadcast(block)
+        sent = spark.sparkContext.broadcast(tuple(vars(block).values()))  # plain arrays: workers need not know this module
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            block = ItemBlock(*sent.value)
             for batch in batches:
-                d, i, s = search_batch(batch.column("doc_id").to_numpy(), batch.column("words"), sent.value)
+                d, i, s = search_batch(batch.column("doc_id").to_numpy(), batch.column("words"), block)
                 yield pa.record_batch({"doc_id": pa.array(d, pa.int64()), "item_id": pa.array(i, pa.int64()), "share": pa.array(s, pa.float64())})
 
         part = source.mapInArrow(run, schema)
