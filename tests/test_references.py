@@ -35,8 +35,8 @@ def test_filter_too_small_for_the_parents_changes_nothing(spark, monkeypatch):
     child = [(i, i % 700, None, "", "") for i in range(1500)]
     parent = [(i, None, None) for i in range(0, 700, 2)]
     whole = {(r.row_id, r.kind) for r in orphans(make(spark, child, parent)).collect()}
-    real = references.bloom_bytes
-    monkeypatch.setattr(references, "bloom_bytes", lambda keys, column: real(keys, column, 1024))
+    real = references.bloom_filter
+    monkeypatch.setattr(references, "bloom_filter", lambda keys, column: real(keys, column, 1024))
     assert {(r.row_id, r.kind) for r in orphans(make(spark, child, parent)).collect()} == whole
     assert len(whole) == sum(1 for i in range(1500) if (i % 700) % 2)
 
@@ -45,3 +45,11 @@ def test_report_counts_a_hot_key(spark):
     child = [(i, 7, T[0], "", "") for i in range(300)] + [(1000, 8, T[1], "", "")]
     got = {(r.period, r.kind): r.n_rows for r in orphan_report(orphans(make(spark, child, [(8, T[0], None)]))).collect()}
     assert got == {("2024-01", "missing"): 300}
+
+
+def test_filter_never_denies_a_key(spark):
+    keys = spark.range(0, 5000, 3).withColumnRenamed("id", "k")
+    bloom = references.bloom_filter(keys, "k")
+    flags = {r.id: r.maybe for r in references.with_membership(spark.range(5000), "id", bloom).collect()}
+    assert all(flags[i] for i in range(0, 5000, 3))
+    assert sum(flags.values()) < 1667 + 200
