@@ -66,3 +66,21 @@ def insert_or_ignore(target: DataFrame, new: DataFrame, key: str, order: str) ->
     """Rows of ``target`` plus the new keys; of a key that comes twice the first by ``order`` counts."""
     first = new.groupBy(key).agg(F.min_by(F.struct(*[c for c in new.columns if c not in (key, order)]), order).alias("__r")).select(key, "__r.*")
     return target.unionByName(first.join(target.select(key), key, "left_anti").select(*target.columns))
+
+
+def write_search_index(df: DataFrame, folder: str, text: list[str], filters: dict, key: str = "id") -> None:
+    """Static search index: postings bucketed by the first letter of the term, and one row of filter values per document.
+
+    ``filters`` maps filter names to columns; null values are left out of the filters.
+    """
+    from lexispark.operators.search import postings
+
+    p = postings(df, key, text).withColumn("initial", F.substring("term", 1, 1))
+    p.repartition("initial", F.pmod(F.xxhash64("term"), F.lit(8))).sortWithinPartitions("term", "doc").write.mode("overwrite").partitionBy("initial").parquet(f"{folder}/postings")
+    df.select(F.col(key), *[c.alias(n) for n, c in filters.items()]).write.mode("overwrite").json(f"{folder}/filters")
+
+
+def write_volumes(volumes: DataFrame, path: str) -> None:
+    """Catalog of published volumes (volume_id, title, page_min, page_max), ordered by id; a few rows."""
+    rows = [r.asDict() for r in volumes.orderBy("volume_id").toLocalIterator()]
+    Path(path).write_text(json.dumps(rows, ensure_ascii=False))

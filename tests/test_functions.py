@@ -61,3 +61,15 @@ def test_labels(spark):
     assert one(spark, morph.adjective_class, "-a, -um") == "adj. 1ª/2ª"
     vote = lambda *x: tuple(spark.createDataFrame([x], "g string, l string, d string").select(morph.vote(F.col("g"), F.col("l"), F.col("d")).alias("r")).first().r)
     assert vote("NOUN", None, "NOUN") == ("NOUN", 2) and vote("A", "B", "C") == ("A", 1) and vote("A", "B", "B") == ("B", 2)
+
+
+def test_labels_of_other_dictionaries(spark):
+    f = one(spark, morph.foreign_class, "2. Deklination, Subst.")
+    assert (f.kind, f.cls, f.extra) == ("noun", "2ª (-i)", None)
+    v = one(spark, morph.foreign_class, "Verb 3. Konjugation, Deponens")
+    assert (v.kind, v.cls, v.extra) == ("verb", "3ª (-ere)", "dep.")
+    h = one(spark, morph.foreign_hints, "navis, is f. Schiff; Infinitiv amare")
+    assert (h.gender, h.infinitive, h.genitive, h.three_endings) == ("f", "amare", "is", False)
+    assert one(spark, lambda c: morph.inflection_set(F.array(c, F.lit("are"))), "a, -um") == ["1", "a", "um"]
+    assert one(spark, morph.pos_of_code, "Adj.") == "ADJ" and one(spark, morph.pos_of_code, "?") is None
+    assert one(spark, lambda c: morph.pos_matches(c, F.lit("NOUN")), "s. fem.") and one(spark, lambda c: morph.pos_matches(c, F.lit(None).cast("string")), "x")

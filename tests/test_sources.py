@@ -101,3 +101,12 @@ def test_page_functions(spark):
     assert f(segment.strip_head(F.lit("A\n——————————————\ntexto"))) == "texto"
     assert f(segment.cut_footnotes(F.lit("corpo\n(1) nota\np. 3\nfim (*) z"), ["(1)"])) == "corpo"
     assert f(segment.mend_lines(F.lit("na-\nvio (a\nb)\n2. c"))) == "navio (a b) 2. c"
+
+
+def test_search_index_and_catalog(spark, tmp_path):
+    df = spark.createDataFrame([(1, "navio rio", "a"), (2, "neve", None)], "id int, t string, conf string")
+    writers.write_search_index(df, str(tmp_path / "i"), ["t"], {"conf": F.col("conf")})
+    back = spark.read.parquet(str(tmp_path / "i/postings"))
+    assert {(r.term, r.doc, r.initial) for r in back.collect()} == {("navio", 1, "n"), ("rio", 1, "r"), ("neve", 2, "n")}
+    writers.write_volumes(spark.createDataFrame([("b", "B", 1, 2), ("a", "A", None, None)], "volume_id string, title string, page_min int, page_max int"), str(tmp_path / "v.json"))
+    assert [v["volume_id"] for v in json.loads((tmp_path / "v.json").read_text())] == ["a", "b"]
