@@ -27,9 +27,13 @@ MIN_SHAPE_USES = 2  # texts whose complete list lines end in the same shape
 LIMIT_NEIGHBOURS = 20
 LIMIT_FACTOR = 8
 LIMIT_LEAST = 4
+LIMIT_SHARE = 0.02  # of the unfinished prose of a source: a few near copies of one length are no field limit
 FINISHED = r"""[.!?…][»”"')\]]*$|[)\]]$"""
-LIST_LINE = r"^[^,.!?]{2,60}, ?(?:-\p{L}|adj\b|s\.|v\.|adv\b|pron\b|prep\b|conj\b|num\b|interj\b|indecl).{0,24}$"
+LIST_LINE = r"(?i)^[^,.!?]{2,60}, ?(?:-\p{L}|adj\b|s\.|v\.|adv\b|pron\b|prep\b|conj\b|num\b|interj\b|indecl).{0,24}$"
 REFERENCE = r"^\p{Lu}\p{L}*\.(?: \p{Lu}\p{L}*\.){0,2} \d+(?:, \d+)+$"
+CAPITALS = r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$"
+TITLE_LENGTH = 60
+COPY_MARK = r"^(?:\[[^\]]{1,20}\]|[*•>]) +"
 OPEN_BRACKET = r"\([^()\n]{0,40}$|«[^«»\n]{0,40}$"
 
 
@@ -37,6 +41,12 @@ def _verse_line(line: Column) -> Column:
     return line.rlike(r"^\p{Lu}") & ~line.rlike(r"[.!?…:;)\]»]$") & ~line.rlike(LIST_LINE) & (F.size(F.split(line, " ")) >= 2)
 
 
+def _plain_line(line: Column) -> Column:
+    """Line as copies may differ from it: single blanks, none before signs, no mark of a copy in front."""
+    x = F.trim(F.regexp_replace(F.regexp_replace(line, r"(?U)\s+", " "), r" (?=[,.;:!?)])", ""))
+    return F.regexp_replace(x, COPY_MARK, "")
+
+
 def _share(lines: Column, test) -> Column:
     return F.when(F.size(lines) > 0, F.size(F.filter(lines, test)) / F.size(lines)).otherwise(F.lit(0.0))
 
@@ -52,7 +62,7 @@ def _norm(body: Column) -> Column:
 
 def _shape(line: Column) -> Column:
     """What follows the headword of a list line, digits made equal."""
-    return F.regexp_replace(F.regexp_extract(line, r"^[^,]*(,.*)$", 1), r"\d+", "9")
+    return F.regexp_replace(F.regexp_extract(F.lower(line), r"^[^,]*(,.*)$", 1), r"\d+", "9")
 
 
 def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
@@ -62,19 +72,20 @@ def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     base = df.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), F.coalesce(F.col(text), F.lit("")).alias("body"))
 
     def look(lines: Column) -> Column:
-        last = F.coalesce(F.trim(F.element_at(F.when(F.size(lines) > 0, lines), -1)), F.lit(""))
+        last = F.coalesce(F.element_at(F.when(F.size(lines) > 0, lines), -1), F.lit(""))
         inner = F.when(F.size(lines) > 1, F.slice(lines, 1, F.size(lines) - 1)).otherwise(F.array().cast("array<string>"))
-        listed = _share(inner, lambda x: F.trim(x).rlike(LIST_LINE)) >= 0.6
-        verse = _share(inner, lambda x: _verse_line(F.trim(x))) >= 0.6
-        shapes = F.when(listed, F.array_distinct(F.transform(inner, lambda x: _shape(F.trim(x))))).otherwise(F.array().cast("array<string>"))
-        return F.struct(last.alias("last"), F.size(inner).alias("n_inner"), listed.alias("listed"), verse.alias("verse"), shapes.alias("shapes"))
+        listed = _share(inner, lambda x: x.rlike(LIST_LINE)) >= 0.6
+        verse = _share(inner, _verse_line) >= 0.6
+        shapes = F.when(listed, F.array_distinct(F.transform(inner, _shape))).otherwise(F.array().cast("array<string>"))
+        return F.struct(last.alias("last"), F.size(inner).alias("n_inner"), listed.alias("listed"), verse.alias("verse"), (_share(inner, lambda x: x.rlike(CAPITALS)) >= 0.6).alias("shouted"), shapes.alias("shapes"))
 
-    split = let(F.filter(F.split(_text(F.col("body")), r"\r?\n"), lambda x: F.trim(x) != ""), look)
+    split = let(F.filter(F.transform(F.split(_text(F.col("body")), r"\r?\n"), _plain_line), lambda x: x != ""), look)
     f = base.select(
         "id", "source", F.length("body").alias("n_chars"), F.octet_length("body").alias("n_bytes"), F.length(F.regexp_replace("body", r"\P{L}+", "")).alias("letters"),
         let(_norm(F.col("body")), lambda n: F.struct(F.md5(n).alias("copy"), F.when(F.length(n) >= MIN_PREFIX, F.xxhash64(F.substring(n, 1, MIN_PREFIX))).alias("start"))).alias("h"), split.alias("s"),
     ).select("*", "h.*", "s.*")
-    upper = F.col("last").rlike(r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$")
+    # a line of capitals is a title or a closing line only where it is short and the text is not all in capitals
+    upper = F.col("last").rlike(CAPITALS) & (F.length("last") <= TITLE_LENGTH) & ~F.col("shouted")
     closing = (F.col("n_inner") > 0) & (upper | F.col("last").rlike(r"^[—–-] ?\p{L}") | F.col("last").rlike(REFERENCE))
     kind = (
         F.when(F.col("letters") < MIN_LETTERS, "junk").when(closing, "closing").when(F.col("listed"), "list")
@@ -85,12 +96,14 @@ def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
 
 
 def field_limits(f: DataFrame) -> DataFrame:
-    """Field limits ``(source, unit, n)``: lengths where unfinished prose of one source piles up."""
+    """Field limits ``(source, unit, n)``: lengths where unfinished prose of one source piles up; copies count once."""
     units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("n")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("n"))))
-    counted = f.where(~F.col("finished") & (F.col("kind") == "prose") & F.col("source").isNotNull()).select("source", units.alias("u")).groupBy("source", "u.unit", "u.n").agg(F.count("*").alias("c"))
+    counted = f.where(~F.col("finished") & (F.col("kind") == "prose") & F.col("source").isNotNull()).select("source", "copy", units.alias("u")).distinct().groupBy("source", "u.unit", "u.n").agg(F.count("*").alias("c"))
     near = Window.partitionBy("source", "unit").orderBy("n").rangeBetween(-LIMIT_NEIGHBOURS, LIMIT_NEIGHBOURS)
     around = (F.sum("c").over(near) - F.col("c")) / (2 * LIMIT_NEIGHBOURS)
-    return counted.select("source", "unit", "n", "c", around.alias("around")).where((F.col("c") >= LIMIT_LEAST) & (F.col("c") >= LIMIT_FACTOR * F.col("around"))).select("source", "unit", "n")
+    total = F.sum("c").over(Window.partitionBy("source", "unit"))
+    spikes = counted.select("source", "unit", "n", "c", around.alias("around"), total.alias("total"))
+    return spikes.where((F.col("c") >= LIMIT_LEAST) & (F.col("c") >= LIMIT_FACTOR * F.col("around")) & (F.col("c") >= LIMIT_SHARE * F.col("total"))).select("source", "unit", "n")
 
 
 def _continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,19 @@ def test_prose_lists_verse_and_closing_lines(spark):
     assert got[9].kind == "verse" and got[6].kind == "list" and got[3].kind == "closing"
 
 
+def test_copies_that_differ_in_case_spacing_and_marks(spark):
+    verse = "Cornus tirbas ad lumen\nGranus et flemus non dorsit"
+    rows = [("[2.ª via] " + verse, "a"), ("* " + verse, "a"), (S.upper() + "O NAVIO DO RI", "a"), (S + "\nCald. Or. 3 , 38", "a"), (S + "\nFIM  DO  CADERNO", "a"), ((S + "\n" + S).upper() + "\nO NAVIO DO", "a")]
+    got = run(spark, rows)
+    assert [got[i].cut for i in range(len(rows))] == [False, False, True, False, False, True]
+
+
+def test_copies_of_one_cut_text_make_no_limit(spark):
+    rows = [(S + "o vento d", "a")] * 20 + [(S + "x" * 7 * i + " ven", "a") for i in range(30)]
+    df = spark.createDataFrame([(i, t, s, "", 0, "") for i, (t, s) in enumerate(rows)], SCHEMA)
+    assert field_limits(features(df, "doc_id", "text", "source")).count() == 0
+
+
 def test_limits_are_learned_and_complete_texts_of_that_length_stay(spark):
     long = S * 20
     rows = [(f"{i:03d} " + long[: 396], "w") for i in range(12)] + [("x" * 30 + " " + S * (1 + i % 7), "w") for i in range(60)]
