@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from lexispark.session import ship_package
 # Letters that scanning swaps, and common prefixes of compounds.
 SWAPS = (("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("u", "n"), ("n", "u"), ("c", "e"), ("e", "c"), ("f", "t"), ("t", "f"), ("li", "h"))
 PREFIXES = ("ab", "ad", "con", "de", "dis", "ex", "in", "inter", "ob", "per", "prae", "pro", "re", "sub", "super", "trans", "circum")
+BLOCK = 512  # words in a block of close matches
+SLACK = 1e-6  # bounds are rounded; the similarity itself is compared exactly
 
 
 def bigrams(c: Column) -> Column:
@@ -55,31 +59,114 @@ def best_match(pairs: DataFrame, group: str) -> DataFrame:
     return best.select(group, F.col("b.match").alias("match"), (-F.col("b.r")).alias("ratio"), F.col("b.distance").alias("distance"))
 
 
-def close_matches(queries: DataFrame, query: str, words: DataFrame, word: str, n: int = 3, cutoff: float = 0.7) -> DataFrame:
+def _blocks(df: DataFrame, name: str) -> DataFrame:
+    """Words of equal ``k`` and ``len`` in lists of about BLOCK: ``(k, len, block, words)``."""
+    sizes = df.groupBy("k", "len").agg(F.count("*").alias("n"))
+    block = F.pmod(F.xxhash64(name), F.ceil(F.col("n") / BLOCK))
+    return df.join(sizes, ["k", "len"]).groupBy("k", "len", block.alias("block")).agg(F.collect_list(name).alias(name))
+
+
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the word, place in it and code point of every letter."""
+    size = np.array([len(x) for x in words])
+    word = np.repeat(np.arange(len(words)), size)
+    code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    return word, np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size), code
+
+
+def _counted(word: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words and letters sorted by both; a letter's n-th time in its word counts as a letter of its own."""
+    order = np.lexsort((code, word))
+    word, code = word[order], code[order]
+    first = np.r_[True, (word[1:] != word[:-1]) | (code[1:] != code[:-1])]
+    start = np.flatnonzero(first)
+    return word, (code << 32) + np.arange(len(word)) - start[np.cumsum(first) - 1]
+
+
+def likely_pairs(queries: list[str], words: list[str], least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs whose similarity may reach ``least`` of the query: (query, word, bound), indices and an upper bound.
+
+    Matching letters are common to both words, and in the same order: they are no more than the common letters counted
+    with repetition, and no more than the longest common subsequence (up to 63 letters). Both bounds lose nothing.
+    """
+    qw, qat, qcode = _letters(queries)
+    ww, wat, wcode = _letters(words)
+    total = np.array([len(x) for x in queries])[:, None] + np.array([len(x) for x in words])[None, :]
+    (qi, qkey), (wi, wkey) = _counted(qw, qcode), _counted(ww, wcode)
+    keys = np.unique(qkey)
+    spot = np.minimum(np.searchsorted(keys, wkey), len(keys) - 1)
+    known = keys[spot] == wkey
+    left, right = np.zeros((len(queries), len(keys)), np.float32), np.zeros((len(words), len(keys)), np.float32)
+    left[qi, np.searchsorted(keys, qkey)] = 1
+    right[wi[known], spot[known]] = 1
+    bound = 2.0 * (left @ right.T) / total
+    i, j = np.nonzero(bound >= least[:, None] - SLACK)
+    longest = int(qat.max()) + 1
+    if longest > 63 or not len(i):
+        return i, j, bound[i, j]
+    codes = np.unique(qcode)
+    masks = np.zeros((len(queries), len(codes) + 1), np.uint64)  # the last column is for letters no query has
+    np.bitwise_or.at(masks, (qw, np.searchsorted(codes, qcode)), np.uint64(1) << qat.astype(np.uint64))
+    place = np.minimum(np.searchsorted(codes, wcode), len(codes) - 1)
+    text = np.full((len(words), int(wat.max()) + 1), len(codes))
+    text[ww, wat] = np.where(codes[place] == wcode, place, len(codes))
+    v = np.full(len(i), ~np.uint64(0))
+    for at in range(text.shape[1]):  # bit-parallel: a zero in v is a letter of the common subsequence
+        m = masks[i, text[j, at]]
+        v = (v + (v & m)) | (v & ~m)
+    own = (np.uint64(1) << np.array([len(x) for x in queries], np.uint64)) - np.uint64(1)
+    bound = 2.0 * np.bitwise_count(~v & own[i]) / total[i, j]
+    kept = bound >= least[i] - SLACK
+    return i[kept], j[kept], bound[kept]
+
+
+def close_matches(queries: DataFrame, query: str, words: DataFrame, word: str, n: int = 3, cutoff: float = 0.7, same_initial: bool = True) -> DataFrame:
     """Ratcliff-Obershelp matches of ``cutoff`` or more, the best ``n`` per query.
 
-    Candidates share a first letter and a length class that the cutoff allows; the similarity itself runs over Arrow
-    batches, as Spark has no such function.
+    Every word of a length class that the cutoff allows is a candidate; with ``same_initial`` only those that begin with
+    the query's letter. Blocks of words meet; bounds that lose nothing leave few pairs (``likely_pairs``), and those
+    are compared from the highest bound down until no other can be among the best ``n``. All this runs over Arrow
+    batches, as Spark has no such function. A task holds the best matches of its queries.
     """
-    ship_package(queries.sparkSession)
+    spark = queries.sparkSession
+    ship_package(spark)
     span = 2.0 / cutoff - 1  # a longer word is at most this many times as long
-    q = queries.select(F.col(query).alias("q")).where(F.col("q") != "").distinct()
-    w = words.select(F.col(word).alias("w")).where(F.col("w") != "").distinct()
-    q = q.select("q", F.substring("q", 1, 1).alias("k"), F.explode(F.sequence(F.ceil(F.length("q") / span).cast("int"), F.floor(F.length("q") * span).cast("int"))).alias("len"))
-    pairs = q.join(w.select("w", F.substring("w", 1, 1).alias("k"), F.length("w").alias("len")), ["k", "len"]).select("q", "w")
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            m = SequenceMatcher()
-            out = []
-            for a, b in zip(pdf["q"], pdf["w"]):
-                m.set_seqs(b, a)
-                out.append(m.ratio() if m.real_quick_ratio() >= cutoff and m.quick_ratio() >= cutoff else 0.0)
-            yield pdf.assign(ratio=out)[lambda x: x["ratio"] >= cutoff]
-
-    scored = pairs.mapInPandas(score, "q string, w string, ratio double")
-    top = scored.groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("ratio")).alias("r"), F.col("w")))), 1, n).alias("t"))
-    return top.select("q", F.posexplode("t").alias("rank", "x")).select("q", (F.col("rank") + 1).alias("rank"), F.col("x.w").alias("w"), F.round(-F.col("x.r"), 6).alias("ratio"))
+    initial = lambda c: F.substring(c, 1, 1) if same_initial else F.lit("")
+    q = queries.select(F.col(query).alias("q")).where(F.col("q") != "").distinct().select("q", initial("q").alias("k"), F.length("q").alias("len"))
+    w = words.select(F.col(word).alias("w")).where(F.col("w") != "").distinct().select("w", initial("w").alias("k"), F.length("w").alias("len"))
+    lengths = F.sequence(F.ceil(F.col("len") / span - SLACK).cast("int"), F.floor(F.col("len") * span + SLACK).cast("int"))
+    q = _blocks(q, "q").select("k", F.col("len").alias("q_len"), F.col("block").alias("q_block"), "q", F.explode(lengths).alias("len"))
+    pairs = q.join(_blocks(w, "w"), ["k", "len"])
+    # all that meets a block of queries is in one task, nearest lengths first
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(parts, "k", "q_len", "q_block").sortWithinPartitions(F.abs(F.col("len") - F.col("q_len"))).select("q", "w")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, list[tuple[float, str]]] = {}
+        m = SequenceMatcher()
+        for batch in batches:
+            for qs, ws in zip(batch["q"], batch["w"]):
+                qs, ws = qs.as_py(), ws.as_py()
+                least = np.array([-best[x][-1][0] if len(best.get(x, ())) == n else cutoff for x in qs])
+                i, j, bound = likely_pairs(qs, ws, least)
+                at = -1
+                for k in np.lexsort((-bound, i)):
+                    if i[k] != at:
+                        at = i[k]
+                        m.set_seq2(qs[at])
+                        top = best.setdefault(qs[at], [])
+                    if len(top) == n and bound[k] < -top[-1][0] - SLACK:
+                        continue
+                    m.set_seq1(ws[j[k]])
+                    ratio = m.ratio()
+                    if ratio >= cutoff:
+                        insort(top, (-ratio, ws[j[k]]))
+                        del top[n:]
+        out = [(x, rank, w, -r) for x, top in best.items() for rank, (r, w) in enumerate(top, 1)]
+        if out:
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.string(), pa.float64()))], ["q", "rank", "w", "ratio"])
+
+    return pairs.mapInArrow(score, "q string, rank int, w string, ratio double").select("q", "rank", "w", F.round("ratio", 6).alias("ratio"))
 
 
 def gates(pairs: DataFrame, old: str, new: str, conf: str, prev: Column, nxt: Column, old_pos: Column, new_pos: Column) -> DataFrame:

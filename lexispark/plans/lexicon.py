@@ -450,7 +450,7 @@ def bigram_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def close_matches(spark: SparkSession, d: str) -> DataFrame:
-    return fuzzy.close_matches(load(spark, d, "v2_entry"), "lemma_sort", load(spark, d, "ls_entries"), "lemma", 3, 0.8)
+    return fuzzy.close_matches(load(spark, d, "v2_entry"), "lemma_sort", load(spark, d, "ls_entries"), "lemma", 3, 0.7, same_initial=False)
 
 
 @query()

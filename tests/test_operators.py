@@ -71,6 +71,20 @@ def test_close_matches_equal_difflib(spark):
         assert [r for _, r in sorted(got[x])] == [round(r, 6) for r in ratios if r >= 0.7][:3]
 
 
+def test_close_matches_with_other_initials(spark):
+    rng = random.Random(10)
+    words = sorted({"".join(rng.choice("abcrR") for _ in range(rng.randint(3, 13))) for _ in range(700)} | {"abcabca", "abcabcarrrrrr", "lufarflaneus", "Rissaprafiis", "a" * 40 + "bc" * 30})
+    queries = words[::9] + ["flufarflalunus", "risaprafiis", "abcabca", "a" * 38 + "bc" * 31]
+    q, w = spark.createDataFrame([(x,) for x in queries], "x string"), spark.createDataFrame([(x,) for x in words], "x string")
+    for cutoff in (0.7, 0.8):
+        got = {(r.q, r["rank"]): (r.w, r.ratio) for r in fuzzy.close_matches(q, "x", w, "x", 3, cutoff, same_initial=False).collect()}
+        want = {}
+        for x in queries:
+            near = sorted((-SequenceMatcher(None, y, x).ratio(), y) for y in words)
+            want |= {(x, i): (y, round(-r, 6)) for i, (r, y) in enumerate(near[:3], 1) if -r >= cutoff}
+        assert got == want
+
+
 def test_ratio_and_variants(spark):
     f = lambda a, b: spark.createDataFrame([(a, b)], "a string, b string").select(fuzzy.bigram_ratio(F.col("a"), F.col("b"))).first()[0]
     assert f("abc", "abd") == pytest.approx(1 / 3) and f("", "") == 1.0 and f("a", "a") == 1.0
