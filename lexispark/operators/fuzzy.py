@@ -16,7 +16,7 @@ from lexispark.session import ship_package
 # Letters that scanning swaps, and common prefixes of compounds.
 SWAPS = (("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("u", "n"), ("n", "u"), ("c", "e"), ("e", "c"), ("f", "t"), ("t", "f"), ("li", "h"))
 PREFIXES = ("ab", "ad", "con", "de", "dis", "ex", "in", "inter", "ob", "per", "prae", "pro", "re", "sub", "super", "trans", "circum")
-BLOCK = 512  # words in a block of close matches
+BLOCK = 512  # words in a block
 SLACK = 1e-6  # bounds are rounded; the similarity itself is compared exactly
 
 
@@ -31,6 +31,49 @@ def bigram_ratio(a: Column, b: Column) -> Column:
     return F.when((a == "") & (b == ""), 1.0).otherwise(common / every)
 
 
+def bigram_matches(left: DataFrame, left_key: str, right: DataFrame, right_key: str, least: float) -> DataFrame:
+    """Every pair of distinct words whose bigram sets have a Jaccard similarity of ``least`` or more: ``(word, match, ratio)``.
+
+    Blocks of words whose set sizes allow the similarity meet, wherever the words differ; the common bigrams of all
+    pairs of two blocks are one product of 0/1 matrices. Sets of bigrams overlap too much for prefixes of rare bigrams
+    to leave few pairs. Memory in a task is one pair of blocks.
+    """
+    spark = left.sparkSession
+    ship_package(spark)
+    side = lambda df, key, name: df.select(F.col(key).alias(name)).where(F.col(name).isNotNull()).distinct().select(name, F.lit("").alias("k"), F.size(bigrams(F.col(name))).alias("len"))
+    sizes = F.sequence(F.ceil(F.col("len") * least - SLACK).cast("int"), F.floor(F.col("len") / least + SLACK).cast("int"))
+    a = _blocks(side(left, left_key, "word"), "word").select("k", F.col("len").alias("word_len"), F.col("block").alias("word_block"), "word", F.explode(sizes).alias("len"))
+    pairs = a.join(_blocks(side(right, right_key, "match"), "match"), ["k", "len"])
+    # all that meets a block of words is in one task, one block after the other
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(parts, "word_len", "word_block").sortWithinPartitions("word_len", "word_block").select("word", "match")
+    grams = lambda w: {w[i : i + 2] for i in range(max(len(w) - 1, 1))}
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: list[str] = []
+        for batch in batches:
+            for xs, ys in zip(batch["word"], batch["match"]):
+                xs, ys = xs.as_py(), ys.as_py()
+                if xs != known:
+                    known, x = xs, [grams(w) for w in xs]
+                    spot = {g: i for i, g in enumerate(set().union(*x))}
+                    one = np.zeros((len(x), len(spot)), np.float32)
+                    one[np.repeat(np.arange(len(x)), len(x[0])), [spot[g] for s in x for g in s]] = 1
+                y = [[spot[g] for g in grams(w) if g in spot] for w in ys]
+                two = np.zeros((len(y), len(spot)), np.float32)
+                two[np.repeat(np.arange(len(y)), [len(s) for s in y]), np.array([g for s in y for g in s], int)] = 1
+                both = len(x[0]) + len(grams(ys[0]))  # set sizes are equal in a block
+                common = one @ two.T
+                i, j = np.nonzero(common >= np.float32(least * both / (1 + least) - 1e-3))
+                ratio = common[i, j].astype(float) / (both - common[i, j])
+                kept = ratio >= least
+                i, j, ratio = i[kept], j[kept], ratio[kept]
+                if len(i):
+                    yield pa.record_batch([pa.array([xs[k] for k in i], pa.string()), pa.array([ys[k] for k in j], pa.string()), pa.array(ratio)], ["word", "match", "ratio"])
+
+    return pairs.mapInArrow(score, "word string, match string, ratio double")
+
+
 def swap_variants(c: Column, rounds: int = 1) -> Column:
     """The word and every form with a swap applied throughout; two rounds combine two swaps. Sorted, distinct."""
     acc = F.array(c)

@@ -448,6 +448,15 @@ def bigram_pairs(spark: SparkSession, d: str) -> DataFrame:
     return e.join(x, "k").select("entry_id", "ls_id", F.round(fuzzy.bigram_ratio(F.col("a"), F.col("b")), 6).alias("ratio"), F.levenshtein("a", "b").alias("distance"))
 
 
+@query()
+def bigram_matches(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs with a bigram ratio of 0.5 or more (the gate of suggestions below high confidence), wherever the words differ."""
+    e = load(spark, d, "v2_entry").select("entry_id", F.col("lemma_sort").alias("word"))
+    x = load(spark, d, "ls_entries").select(F.col("id").alias("ls_id"), F.col("lemma").alias("match")).distinct()
+    m = fuzzy.bigram_matches(e, "word", x, "match", 0.5)
+    return m.join(e, "word").join(x, "match").select("entry_id", "ls_id", F.round("ratio", 6).alias("ratio"), F.levenshtein("word", "match").alias("distance"))
+
+
 @query()
 def close_matches(spark: SparkSession, d: str) -> DataFrame:
     return fuzzy.close_matches(load(spark, d, "v2_entry"), "lemma_sort", load(spark, d, "ls_entries"), "lemma", 3, 0.7, same_initial=False)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexispark.operators import dedupe, fuzzy, lookup, patch, publish, vector, windows
+from lexispark.plans import lexicon
 
 
 def test_numbered_equals_a_sort(spark):
@@ -85,6 +86,25 @@ def test_close_matches_with_other_initials(spark):
         assert got == want
 
 
+def test_bigram_matches_equal_all_pairs(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 9))) for _ in range(900)] + ["", "flufarflal", "lufarflal", "Rissaprafiis"]
+    others = words[::3] + ["rissaprafiis", "zzz", "abab"]
+    grams = lambda x: {x[i : i + 2] for i in range(max(len(x) - 1, 1))}
+    a, b = spark.createDataFrame([(x,) for x in words] + [(None,)], "x string"), spark.createDataFrame([(x,) for x in others] + [(None,)], "x string")
+    for least in (0.5, 0.7):
+        got = [(r.word, r.match, r.ratio) for r in fuzzy.bigram_matches(a, "x", b, "x", least).collect()]
+        want = {(x, y, len(grams(x) & grams(y)) / len(grams(x) | grams(y))) for x in words for y in others}
+        assert len(got) == len(set(got)) and set(got) == {t for t in want if t[2] >= least}
+    assert {("flufarflal", "lufarflal"), ("Rissaprafiis", "rissaprafiis"), ("", "")} & {t[:2] for t in got} == {("Rissaprafiis", "rissaprafiis"), ("", "")}
+
+
+def test_bigram_query_has_pairs_with_other_beginnings(spark, tmp_path):
+    spark.createDataFrame([(1, "danribespunio"), (2, "cornu")], "entry_id bigint, lemma_sort string").write.parquet(f"{tmp_path}/v2_entry.parquet")
+    spark.createDataFrame([("a", "Danribespunio"), ("a", "Danribespunio"), ("b", "cornuum")], "id string, lemma string").write.parquet(f"{tmp_path}/ls_entries.parquet")
+    assert {tuple(r) for r in lexicon.bigram_matches(spark, str(tmp_path)).collect()} == {(1, "a", 0.846154, 1), (2, "b", 0.666667, 2)}
+
+
 def test_ratio_and_variants(spark):
     f = lambda a, b: spark.createDataFrame([(a, b)], "a string, b string").select(fuzzy.bigram_ratio(F.col("a"), F.col("b"))).first()[0]
     assert f("abc", "abd") == pytest.approx(1 / 3) and f("", "") == 1.0 and f("a", "a") == 1.0
