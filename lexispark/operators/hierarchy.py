@@ -117,25 +117,49 @@ def resolve(df: DataFrame, key: str, parent: str) -> DataFrame:
     return inner.unionByName(outer).select("id", F.when(looping, F.col("low")).otherwise(F.col("to")).alias("root_id"), F.when(looping, F.lit(-1)).otherwise(F.col("steps") + 1).cast("int").alias("depth"))
 
 
+def on_loops(tied: DataFrame) -> DataFrame:
+    """Ids of the nodes on loops, out of ``(id, parent)`` of all nodes on or below loops.
+
+    Steps are doubled until the places reached no longer become fewer: those are the nodes on loops.
+    """
+    step = cut(tied.select("id", F.col("parent").alias("to")))
+    places = step.count()
+    while True:
+        nxt = step.select(F.col("id").alias("to"), F.col("to").alias("far"))
+        step = cut(spread_join(step, nxt, "to", "inner").select("id", F.col("far").alias("to")))
+        left = step.select("to").distinct().count()
+        if left == places:
+            return step.select(F.col("to").alias("id")).distinct()
+        places = left
+
+
 def ancestors(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """Every pair of a node and a node above it: ``(id, ancestor, distance)``; nodes caught by loops have no rows.
+    """Every pair of a node and a node above it: ``(id, ancestor, distance)``.
 
-    Path doubling: after round k the table holds all ancestors up to 2**k levels above. The result has as many rows as
-    the trees have ancestor pairs, which is what was asked for.
+    Below a loop, the nodes above reach up to the node of the loop where the tree hangs; nodes on loops have no rows
+    of their own. Path doubling: after round k there are all ancestors up to 2**k levels above. The result has as many
+    rows as the trees have ancestor pairs, which is what was asked for.
     """
-    roots = resolve(df, key, parent).where("depth > 0").select("id", "depth")
-    up = cut(links(df, key, parent).where(~F.col("is_root")).join(roots, "id").select("id", F.col("parent").alias("ancestor"), F.lit(1).alias("distance")))
-    deepest = roots.select(F.max("depth")).first()[0] or 1
+    all_links = cut(links(df, key, parent))
+    tied = all_links.join(resolve(df, key, parent).where("depth = -1").select("id"), "id")
+    open_links = all_links.where(~F.col("is_root")).join(on_loops(tied), "id", "left_anti")
+    more = cut(open_links.select("id", F.col("parent").alias("ancestor"), F.lit(1).alias("distance")))
+    up = more
     reach = 1
-    while reach < deepest - 1:
-        far = up.where(F.col("distance") == reach).select("id", F.col("ancestor").alias("mid"))
+    while not more.isEmpty():
+        far = more.where(F.col("distance") == reach).select("id", F.col("ancestor").alias("mid"))
         above = up.select(F.col("id").alias("mid"), F.col("ancestor").alias("top"), F.col("distance").alias("d"))
-        more = far.join(above, "mid").select("id", F.col("top").alias("ancestor"), (F.col("d") + reach).alias("distance"))
-        up = cut(up.unionByName(more))
+        more = cut(far.join(above, "mid").select("id", F.col("top").alias("ancestor"), (F.col("d") + reach).alias("distance")))
+        up = up.unionByName(more)
         reach *= 2
     return up
 
 
+def descendants(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """Every node with each node below it: ``(id, descendant, distance)``; a loop is not followed round."""
+    return ancestors(df, key, parent).select(F.col("ancestor").alias("id"), F.col("id").alias("descendant"), "distance")
+
+
 def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:
     """Root, depth, path from the root and number of nodes below, for every node.
 

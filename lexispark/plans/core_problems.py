@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.operators.hierarchy import hierarchy, resolve
+from lexispark.operators.hierarchy import descendants, hierarchy, resolve
 from lexispark.operators.nested import TreeSpec, flatten_tree
 from lexispark.operators.references import Reference, orphan_report, orphans
 from lexispark.session import load
@@ -72,7 +72,12 @@ def p6_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.withColumnRenamed("id", "sense_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_rows": p2_rows, "p5_found": p5_found, "p5_report": p5_report, "p6_found": p6_found, "p6_hierarchy": p6_hierarchy}
+def p6_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sense with each sense below it and the number of steps between them."""
+    return descendants(load(spark, sf_dir, "v2_sense"), "sense_id", "parent_id").withColumnRenamed("id", "sense_id")
+
+
+QUERIES = {"p2_found": p2_found, "p2_rows": p2_rows, "p5_found": p5_found, "p5_report": p5_report, "p6_found": p6_found, "p6_hierarchy": p6_hierarchy, "p6_below": p6_below}
 
 _BROKEN = """
 WITH c AS (
@@ -128,6 +133,11 @@ ORACLE = {
     "p6_found": _TREES + "SELECT sense_id, root_id, depth FROM f",
     "p6_hierarchy": _TREES + """, b AS (SELECT a.sense_id, count(*) AS n FROM t a JOIN t d ON starts_with(d.path, a.path || '/') AND a.root_id = d.root_id GROUP BY 1)
 SELECT f.sense_id, f.root_id, f.depth, f.path, CASE WHEN f.depth > 0 THEN coalesce(b.n, 0) END AS n_below FROM f LEFT JOIN b ON b.sense_id = f.sense_id""",
+    "p6_below": _TREES + """, o AS (SELECT DISTINCT s FROM r WHERE s = x),
+u(sense_id, descendant, distance) AS (
+  SELECT p.sense_id, n.sense_id, 1 FROM n JOIN n p ON p.sense_id = n.parent_id ANTI JOIN o ON o.s = n.sense_id
+  UNION ALL SELECT p.sense_id, u.descendant, u.distance + 1 FROM u JOIN n m ON m.sense_id = u.sense_id JOIN n p ON p.sense_id = m.parent_id ANTI JOIN o ON o.s = u.sense_id)
+SELECT sense_id, descendant, distance FROM u""",
     "p5_found": _BROKEN + "SELECT DISTINCT tab, row_id, kind FROM k WHERE kind IS NOT NULL",
     "p5_report": _BROKEN + "SELECT tab, period, kind, COUNT(*) AS n_rows FROM (SELECT DISTINCT tab, row_id, period, kind FROM k WHERE kind IS NOT NULL) GROUP BY tab, period, kind",
 }

@@ -1,6 +1,6 @@
 import random
 
-from lexispark.operators.hierarchy import hierarchy, resolve
+from lexispark.operators.hierarchy import ancestors, descendants, hierarchy, resolve
 
 
 def brute(parent):
@@ -57,3 +57,29 @@ def test_paths_and_descendants(spark):
     df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 2), (5, 6), (6, 5)], "s bigint, p bigint")
     got = {r.id: (r.path, r.n_below) for r in hierarchy(df, "s", "p").collect()}
     assert got == {1: ("1", 3), 2: ("1/2", 2), 3: ("1/2/3", 0), 4: ("1/2/4", 0), 5: (None, None), 6: (None, None)}
+
+
+def test_pairs_reach_up_to_the_loop(spark):
+    rng = random.Random(5)
+    parent = {i: rng.choice([None, rng.randrange(120), rng.randrange(120), 500]) for i in range(120)}
+    parent |= {1000 + i: 1001 + i for i in range(20)} | {1020: 1030, 1030: 1031, 1031: 1030, 1040: 1040, 1041: 1040, 1042: 1041}
+    want = set()
+    for k in parent:
+        reached = lambda x: x in parent and parent[x] in parent
+        looped = lambda x: brute(parent)[x][1] < 0 and x in walk(x)
+
+        def walk(x):
+            seen = []
+            while reached(x) and parent[x] not in seen:
+                x = parent[x]
+                seen.append(x)
+            return seen
+
+        x, d = k, 0
+        while reached(x) and not looped(x):
+            x, d = parent[x], d + 1
+            want.add((x, k, d))
+    df = spark.createDataFrame([(k, p) for k, p in parent.items()], "s bigint, p bigint")
+    got = [tuple(r) for r in descendants(df, "s", "p").collect()]
+    assert len(got) == len(want) and set(got) == want and {(1030, 1000, 21), (1041, 1042, 1), (1040, 1042, 2)} <= want
+    assert ancestors(df.limit(0), "s", "p").count() == 0
