@@ -22,7 +22,8 @@ from lexispark.functions.fold import unaccent_lower
 from lexispark.session import cut, ship_package
 
 BUCKETS = 4096
-MAX_SOURCES = 1000  # sources and targets are read to the driver; more than this is an error
+MAX_SOURCES = 1000  # sources and targets are read to the driver; more targets are an error, other sources are pooled
+OTHERS = "(other sources)"
 STEPS = 40
 TOLERANCE = 1e-5
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -103,7 +104,8 @@ class Mix:
     """Rates that bring the sources to their target shares, and what comes of them.
 
     ``documents`` (doc_id, text, source) are mixed to ``targets`` (source, target_share, max_repeat). Sources without a
-    target are not drawn; a target without documents cannot be reached and stays in the report with share 0. Documents
+    target are not drawn; where there are more than MAX_SOURCES sources, the smallest without a target are summed as
+    one, "(other sources)". A target without documents cannot be reached and stays in the report with share 0. Documents
     without tokens are never drawn; null ids are ignored. ``total_tokens`` defaults to the largest total at which every
     target with documents can be met.
     """
@@ -114,7 +116,18 @@ class Mix:
             raise ValueError(f"more than {MAX_SOURCES} targets")
         rows = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(F.col("doc_id").isNotNull())
         self.tokens = cut(with_tokens(rows, tokenizer).drop("text"))
-        supply = {r["source"]: (r["n"], r["t"] or 0) for r in self.tokens.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).orderBy(F.desc("t")).limit(MAX_SOURCES).collect()}
+        mine = F.col("source").isNull() | F.col("source").isin([r["source"] for r in wanted])
+        count = lambda df: df.groupBy("source").agg(F.count("*").alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t"))
+        top = count(self.tokens).withColumn("mine", mine).orderBy(F.desc("mine"), F.desc("t"), "source").limit(len(wanted) + MAX_SOURCES + 2).collect()
+        others, room = [r["source"] for r in top if not r["mine"]], MAX_SOURCES - len(wanted)
+        if len(others) > room:  # targets and unlabelled documents stay as they are
+            pool = OTHERS
+            while any(pool == r["source"] for r in wanted):
+                pool += "*"
+            named = F.when(mine | F.col("source").isin(others[:room]), F.col("source")).otherwise(pool)
+            rows, self.tokens = rows.withColumn("source", named), self.tokens.withColumn("source", named)
+            top = count(self.tokens).collect()  # at most MAX_SOURCES, the pool and null
+        supply = {r["source"]: (r["n"], r["t"]) for r in top}
         self.names = sorted({r["source"] for r in wanted} | {s for s in supply if s is not None})
         k = len(self.names)
         self.share, self.repeat = np.zeros(k), np.zeros(k)

@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from lexispark.llm import mixing
 from lexispark.llm.mixing import TOKENIZER, Mix
 
 pytestmark = pytest.mark.skipif(not os.path.exists(TOKENIZER), reason="no tokenizer file")
@@ -54,3 +55,15 @@ def test_nulls_empty_and_repeats(spark):
     assert {r.doc_id for r in Mix(docs, targets).copies().collect()} <= {3, 4}
     assert Mix(docs.limit(0), targets).copies().count() == 0
     assert Mix(docs, targets.limit(0)).copies().count() == 0
+
+
+def test_small_targets_and_unlabelled_documents_outlast_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    docs = table(spark, [("z", 30, "neve inverno frio"), (None, 5, "neve inverno frio")] + [(f"s{i}", 100 + i, "navio do rio e do porto") for i in range(6)])
+    mix = Mix(docs, spark.createDataFrame([("z", 0.5, 1, 0.0), ("s5", 0.5, 1, 0.0)], TARGETS))
+    report = {r.source: r for r in mix.report().collect()}
+    assert report["z"].docs_available == 30 and report["z"].docs_drawn > 0
+    assert {s: r.docs_available for s, r in report.items()} == {"z": 30, "s5": 105, "s4": 104, "(other sources)": 406}
+    assert report["(other sources)"].docs_drawn < 1 and report["(other sources)"].target_share == 0
+    assert mix.soft.count() == 5 and mix.copies().where("source IS NULL").count() > 0
+    assert abs(report["z"].actual_share - 0.5) < 0.1
