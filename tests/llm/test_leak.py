@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pytest
+
 from lexispark.llm import leak
 from lexispark.llm.leak import leaked_items
 
@@ -43,20 +46,69 @@ def test_held_by_half_with_noise_and_shorter_borrowings_not(spark):
     assert len(rows) == len(truth)
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
+def rare(rng):
+    return "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+
+
+@pytest.mark.parametrize("full_filters", [False, True])
+def test_items_of_every_size_held_by_exactly_half(spark, monkeypatch, full_filters):
+    """Every size from 1 to 64 words is found, also with filters so small that they let everything through."""
+    if full_filters:
+        monkeypatch.setattr(leak, "MAX_FILTER_BITS", 1024)
+    rng = random.Random(7)
+    per_size = 6
+    items = {n * 100 + k: [rare(rng) for _ in range(n)] for n in range(1, 65) for k in range(per_size)}
+    docs, truth = [], set()
+    for d, (i, w) in enumerate(items.items()):
+        m = (len(w) + 1) // 2
+        a = rng.randint(0, len(w) - m)
+        docs.append((d, " ".join([rare(rng) for _ in range(rng.randint(0, 120))] + w[a : a + m] + [rare(rng) for _ in range(40)]), 0, ""))
+        truth.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in leaked_items(spark.createDataFrame(docs, DOC), spark.createDataFrame([(k, " ".join(v), 0) for k, v in items.items()], ITEM)).collect()}
+    for n in range(1, 65):
+        mine = {x for x in truth if x[1] // 100 == n}
+        assert len(got & mine) >= 0.9 * len(mine), n
+    assert got <= truth
+
+
+def test_half_with_changed_words_is_met_by_the_index():
+    """Share of half-held items of 33 to 48 words with three changed words whose bands agree often enough."""
+    rng = np.random.default_rng(3)
+    n, height, least = leak.bands_of(48)
+    met = 0
+    for _ in range(200):
+        item = rng.integers(0, 1 << 62, 40).astype(np.uint64)
+        text = np.r_[item[5:25], rng.integers(0, 1 << 62, 5).astype(np.uint64)]
+        text[[5, 10, 15]] = rng.integers(0, 1 << 62, 3).astype(np.uint64)
+        of = lambda x: leak.shingles(x, np.zeros(len(x), int), 3)[0]
+        a, b = of(item), of(text)
+        b = b[np.isin(b, a)]
+        met += (leak.band_keys(a, np.array([0, len(a)]), 48) == leak.band_keys(b, np.array([0, len(b)]), 48)).sum() >= least
+    assert met >= 180
+
+
+def test_copies_of_items_and_of_documents(spark):
     rng = random.Random(4)
-    items = [words(rng, 30) for _ in range(25)]
-    docs = spark.createDataFrame([(i, " ".join(words(rng, 100) + items[i % 25] + words(rng, 100)), 0, "") for i in range(50)], DOC)
-    table = spark.createDataFrame([(i, " ".join(w), 0) for i, w in enumerate(items)], ITEM)
-    whole = {(r.doc_id, r.item_id) for r in leaked_items(docs, table).collect()}
-    monkeypatch.setattr(leak, "BLOCK_ITEMS", 4)
-    assert {(r.doc_id, r.item_id) for r in leaked_items(docs, table).collect()} == whole == {(i, i % 25) for i in range(50)}
+    items = [words(rng, 30) for _ in range(5)]
+    docs = spark.createDataFrame([(i, " ".join(words(rng, 100) + items[i % 5] + words(rng, 100)), 0, "") for i in range(20)] + [(100 + i, " ".join(items[0]), 0, "") for i in range(50)], DOC)
+    table = spark.createDataFrame([(k * 10 + i, " ".join(w), 0) for i, w in enumerate(items) for k in range(4)], ITEM)
+    got = {(r.doc_id, r.item_id) for r in leaked_items(docs, table).collect()}
+    assert got == {(i, k * 10 + i % 5) for i in range(20) for k in range(4)} | {(100 + i, k * 10) for i in range(50) for k in range(4)}
 
 
 def test_nulls_empty_short_and_repeated(spark):
     text = "um dois três quatro cinco seis sete oito nove dez"
     docs = spark.createDataFrame([(None, text, 0, ""), (1, None, 0, ""), (2, "", 0, ""), (3, "um dois", 0, ""), (4, text, 0, ""), (4, text, 0, "")], DOC)
-    items = spark.createDataFrame([(None, text, 0), (1, None, 0), (2, "", 0), (3, "um dois", 0), (4, text, 0), (5, text, 0), (5, text, 0)], ITEM)
-    assert sorted((r.doc_id, r.item_id, round(r.share, 3)) for r in leaked_items(docs, items).collect()) == [(4, 4, 1.0), (4, 5, 1.0)]
+    items = spark.createDataFrame([(None, text, 0), (1, None, 0), (2, "", 0), (3, "um dois", 0), (4, text, 0), (5, text, 0), (5, text, 0), (6, "oito nove dez", 0), (7, "onze", 0), (8, "dez", 0)], ITEM)
+    assert sorted((r.doc_id, r.item_id, round(r.share, 3)) for r in leaked_items(docs, items).collect()) == [(3, 3, 1.0), (4, 3, 1.0), (4, 4, 1.0), (4, 5, 1.0), (4, 6, 1.0), (4, 8, 1.0)]
     assert leaked_items(docs.limit(0), items).count() == 0
     assert leaked_items(docs, items.limit(0)).count() == 0
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(9)
+    item, long_item = words(rng, 40), words(rng, 3000)
+    host = words(rng, 60_000)
+    docs = spark.createDataFrame([(1, " ".join(host[:30_000] + item + host[30_000:]), 0, ""), (2, " ".join(host + long_item[:1600]), 0, "")], DOC)
+    got = {(r.doc_id, r.item_id) for r in leaked_items(docs, spark.createDataFrame([(1, " ".join(item), 0), (2, " ".join(long_item), 0)], ITEM)).collect()}
+    assert got == {(1, 1), (2, 2)}
