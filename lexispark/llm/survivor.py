@@ -1,24 +1,27 @@
 """Best representative of each duplicate group, bundle by bundle.
 
 Rows that describe one article are found by headword, homograph number and word class. Fields that depend on each other
-form bundles that survive whole, each from one row: the definition, the rating (conf with needs_review), the morphology
-(pos, gender, classes, label). Within a group rows are first reduced to the best candidate of every bundle per
-signature (the values the functional dependencies speak of; their number is bounded by the vocabulary of labels, not by
-the group), and branch and bound then picks one candidate per bundle with the largest total trust such that
+form bundles that survive whole, each from one row: the definition, the rating (conf with needs_review), the grammar
+(pos, gender), the inflection (the three class columns) and the label. Rows of one headword and homograph number are
+first reduced to the most trusted candidate of every bundle per signature: what it says of word class, gender and
+inflection. Signatures are as many as the vocabulary of labels allows, whatever the size of the group. All candidates of
+the headword stay in, also those of other word classes; for each article branch and bound picks one candidate per bundle
+with the largest total trust such that in the surviving record
 
-    word class -> kind of inflection class,   (word class, gender, inflection class) -> label
+    article -> word class,   inflection -> word class,   label -> word class, gender, inflection
 
-hold in the surviving record.
+hold: where two chosen bundles both say something of the same thing, they say the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.functions.morph import parse_label
 from lexispark.functions.strings import let
 from lexispark.llm.headwords import bare_form, clean_form, skeleton, utc_time
 from lexispark.operators.nested import unwrap
@@ -63,17 +66,16 @@ def article_keys(rows: DataFrame) -> DataFrame:
 
 
 def headwords(df: DataFrame) -> DataFrame:
-    """``df`` with its headword as compared (bare, head, skel) and word class (cls); one row per entry_id.
+    """``df`` with its headword as compared (bare, head, skel) and word class (cls).
 
-    Rows without entry_id or headword are left out; a row delivered twice counts once.
+    Rows without entry_id or headword are left out.
     """
-    rows = df.where(F.col("entry_id").isNotNull()).dropDuplicates(["entry_id"])
+    rows = df.where(F.col("entry_id").isNotNull())
     rows = rows.select("*", bare_form(clean_form(F.col("lemma"))).alias("__b"), bare_form(clean_form(F.regexp_extract("head_raw", r"^([^,]*)", 1))).alias("__h"))
     rows = rows.select(*[c for c in rows.columns if c not in ("bare", "head", "skel", "cls")], F.coalesce(F.nullif("__b", F.lit("")), F.nullif("__h", F.lit(""))).alias("bare")).where(F.col("bare").isNotNull())
     rows = rows.withColumn("skel", skeleton(F.col("bare")))
     rows = rows.withColumn("head", F.when((F.col("__h") != "") & (skeleton(F.col("__h")) == F.col("skel")), F.col("__h"))).drop("__b", "__h")
-    cls = word_class(F.col("pos"), F.col("morph_render"), F.col("verb_class"), F.col("decl_class"), F.col("adj_class"))
-    return rows.withColumn("cls", F.coalesce(cls, F.when(F.lower("definicao").startswith("de modo "), F.lit("D"))))
+    return rows.withColumn("cls", word_class(F.col("pos"), F.col("morph_render"), F.col("verb_class"), F.col("decl_class"), F.col("adj_class")))
 
 
 def _tokens(c: Column) -> Column:
@@ -144,76 +146,114 @@ def best_bundles(candidates: list[list[tuple[tuple, tuple, object]]], compatible
     return best[1]
 
 
-def _agrees(a: tuple, b: tuple) -> bool:
-    """Functional dependencies between two bundles: known word classes are equal."""
-    return a[0] is None or b[0] is None or a[0] == b[0]
+BUNDLES = ("definicao", "conf", "grammar", "inflection", "label")
+FIELDS = {
+    "definicao": ("definicao", "notas"), "conf": ("conf", "needs_review"), "grammar": ("pos", "gender"),
+    "inflection": ("decl_class", "verb_class", "adj_class"), "label": ("morph_render",),
+}
+UNTOLD = "?"  # the article of rows whose class cannot be told
+SURVIVOR_SCHEMA = "group_id bigint, n_rows bigint, " + ", ".join(f"{b}_from bigint" for b in BUNDLES)
+
+
+def agree(a: tuple, b: tuple) -> bool:
+    """Functional dependencies between two bundles: article, word class, gender and inflection are equal where known."""
+    return all(x is None or y is None or x == y for x, y in zip(a, b))
+
+
+def _bundle_rows() -> Column:
+    """What a row offers for every bundle: signature and trust (larger is better, place by place)."""
+    known = lambda *cols: sum((F.col(c).isNotNull().cast("long") for c in cols), F.lit(0).cast("long"))
+    none = F.lit(None).cast("string")
+    plain = lambda c: F.nullif(F.lower(F.trim(c)), F.lit(""))
+
+    def bundle(i: int, cls: Column, gender: Column, infl: Column, a: Column, b: Column, key: Column | None = None) -> Column:
+        return F.struct(F.lit(i).alias("bundle"), cls.alias("b_cls"), gender.alias("b_gender"), infl.alias("b_infl"), a.cast("long").alias("a"), b.cast("long").alias("b"), (F.lit(0).cast("long") if key is None else key).alias("key"))
+
+    by_pos = F.coalesce(*[F.when(F.upper(F.trim("pos")) == k, F.lit(v)) for k, v in CLASS_OF_POS.items()])
+    by_label = F.coalesce(*[F.when(F.lower(F.trim("morph_render")).rlike(k), F.lit(v)) for k, v in CLASS_OF_LABEL])
+    said = parse_label(F.col("morph_render"))
+    kinds = known("decl_class", "verb_class", "adj_class")
+    # a row with classes of several kinds contradicts itself: '!' agrees with nothing
+    kind = F.when(kinds > 1, "!").when(F.col("verb_class").isNotNull(), "V").when(F.col("adj_class").isNotNull(), "A").when(F.col("decl_class").isNotNull(), "N")
+    size = F.length(F.coalesce("definicao", F.lit("")))
+    return F.array(
+        # a text without letters is no candidate; equal texts share what is known of one of them
+        bundle(0, none, none, none, F.when(size > 0, F.col("state")).otherwise(-1), size, F.coalesce(F.xxhash64(F.regexp_replace(F.lower("definicao"), r"\s+", " ")), F.lit(0).cast("long"))),
+        bundle(1, none, none, none, confidence_rank(F.col("conf")), F.when(F.col("needs_review") == 0, 1).otherwise(0)),
+        bundle(2, by_pos, plain(F.col("gender")), none, known("pos", "gender"), F.lit(0)),
+        bundle(3, kind, none, plain(F.coalesce("verb_class", "adj_class", "decl_class")), kinds, F.lit(0)),
+        bundle(4, by_label, said["gender"], plain(F.coalesce(said["decl_class"], said["verb_class"])), known("morph_render"), F.lit(0)),
+    )
+
+
+def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The surviving bundles of every article of a headword; ``parts`` are all its candidates."""
+    for batch in batches:
+        out: list[tuple] = []
+        for parts in batch.column(0).to_pylist():
+            known = {p["cls"] for p in parts if p["cls"] is not None}
+            only = next(iter(known)) if len(known) == 1 else UNTOLD
+            candidates: list[list] = [[] for _ in BUNDLES]
+            members: dict[str, list] = {}
+            for p in parts:
+                article = p["cls"] or only
+                t = p["trust"]
+                if p["bundle"] == 0:
+                    members.setdefault(article, []).append((p["first"], p["n"]))
+                    if t["a"] < 0:
+                        continue
+                candidates[p["bundle"]].append(((t["a"], t["b"], t["updated"], t["id"]), (article, p["b_cls"], p["b_gender"], p["b_infl"]), -t["id"]))
+            for article, rows in members.items():
+                n = sum(x[1] for x in rows)
+                if n < 2:
+                    continue
+                # the article itself is the first bundle; a bundle nothing fits stays empty
+                fixed = [((), (article, None if article == UNTOLD else article, None, None), None)]
+                every = [fixed, *[[*c, ((-2, 0, 0, 0), (None,) * 4, None)] for c in candidates]]
+                out.append((min(x[0] for x in rows), n, *best_bundles(every, agree)[1:]))
+        columns = list(zip(*out)) or [()] * (len(BUNDLES) + 2)
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["group_id", "n_rows", *[f"{b}_from" for b in BUNDLES]])
 
 
 def survivors(df: DataFrame) -> DataFrame:
     """One row per article with two or more rows: where each bundle of the surviving record comes from.
 
-    ``(group_id, n_rows, definicao_from, conf_from, morph_from)``; group_id is the smallest entry_id.
-    definicao_from is null when no row has a usable definition; of several the latest by updated_at counts, then the
-    smallest entry_id. Null conf is the least trusted rating. Rows whose word class cannot be told join the class of
-    their headword when it has only one. Empty input gives no rows.
+    ``(group_id, n_rows, definicao_from, conf_from, grammar_from, inflection_from, label_from)``; group_id is the
+    smallest entry_id. A bundle for which no row fits is null. definicao_from is null when no row has a usable
+    definition; of several the latest by updated_at counts, then the smallest entry_id. Null conf is the least trusted
+    rating. Rows whose word class cannot be told join the class of their headword when it has only one. Of rows with
+    one entry_id that differ the smallest counts. Empty input gives no rows.
     """
     ship_package(df.sparkSession)
-    rows = headwords(df)
-    updated = F.coalesce(F.unix_micros(utc_time(F.col("updated_at"))), F.lit(-1))
-    morph_known = sum((F.col(c).isNotNull().cast("int") for c in ("pos", "gender", "decl_class", "verb_class", "adj_class", "morph_render")), F.lit(0))
-    state = definition_state(F.col("definicao"), F.col("raw_json"))
-    review = F.when(F.col("needs_review") == 0, 1).otherwise(0)
+    updated = F.coalesce(F.unix_micros(utc_time(F.col("updated_at"))), F.lit(-1).cast("long"))
+    rows = headwords(df).withColumn("state", definition_state(F.col("definicao"), F.col("raw_json")))
     # what is compared and judged, without the texts, written once
-    narrow = cut(rows.select(
-        "entry_id", "bare", "head", "skel", "homograph_no", "cls", updated.alias("updated"), state.alias("state"),
-        F.xxhash64(F.regexp_replace(F.lower("definicao"), r"\s+", " ")).alias("text_hash"),
-        F.length("definicao").alias("size"), confidence_rank(F.col("conf")).alias("rank"), review.alias("review"), morph_known.alias("morph"),
-    ))
-    scored = article_keys(narrow)
-    # first by article, class and text: equal texts share what is known of one of them
+    kept = ["bare", "head", "skel", "homograph_no", "cls", "updated", "offers"]
+    narrow = rows.withColumn("updated", updated).withColumn("offers", _bundle_rows()).groupBy("entry_id").agg(F.min(F.struct(*kept)).alias("r"))
+    scored = article_keys(cut(narrow.select("entry_id", "r.*")))
     latest = F.struct("updated", (-F.col("entry_id")).alias("id"))
-    by_text = scored.groupBy("canonical", "homograph_no", "cls", "text_hash").agg(
-        F.count("*").alias("n"), F.min("entry_id").alias("first"), F.max("state").alias("state"), F.max("size").alias("size"), F.max(latest).alias("latest"),
-        F.max(F.struct("rank", "review", "updated", (-F.col("entry_id")).alias("id"))).alias("rating"), F.max(F.struct("morph", "updated", (-F.col("entry_id")).alias("id"))).alias("morph"),
+    offered = scored.select("entry_id", "canonical", "homograph_no", "cls", latest.alias("latest"), F.explode("offers").alias("o")).select("*", "o.*")
+    sign = ["canonical", "homograph_no", "cls", "bundle", "b_cls", "b_gender", "b_infl"]
+    trust = lambda a, b, l: F.struct(a.alias("a"), b.alias("b"), l["updated"].alias("updated"), l["id"].alias("id"))
+    first = offered.groupBy(*sign, "key").agg(
+        F.count("*").alias("n"), F.min("entry_id").alias("first"), F.max("a").alias("a"), F.max("b").alias("b"), F.max("latest").alias("latest"), F.max(trust(F.col("a"), F.col("b"), F.col("latest"))).alias("top"),
     )
-    has_text = F.coalesce(F.col("size"), F.lit(0)) > 0
-    by_class = by_text.groupBy("canonical", "homograph_no", "cls").agg(
-        F.sum("n").alias("n"), F.min("first").alias("first"),
-        F.max(F.when(has_text, F.struct("state", F.when(F.col("state") == 2, 0).otherwise(F.col("size")).alias("size"), "latest"))).alias("text"), F.max("rating").alias("rating"), F.max("morph").alias("morph"),
-    )
-    # an unknown class joins the only known one
-    article = by_class.groupBy("canonical", "homograph_no").agg(F.collect_set("cls").alias("classes"), F.collect_list(F.struct("cls", "n", "first", "text", "rating", "morph")).alias("parts"))
-    alone = F.size("classes") <= 1
-    split = F.filter("parts", lambda p: p["cls"].isNotNull())
-    rest = F.filter("parts", lambda p: p["cls"].isNull())
-    groups = F.when(alone, F.array("parts")).otherwise(F.concat(F.transform(split, lambda p: F.array(p)), F.when(F.size(rest) > 0, F.array(rest)).otherwise(F.array().cast(article.schema["parts"].dataType.simpleString().join(("array<", ">"))))))
-    groups = article.select(F.explode(groups).alias("parts"))
-    total = F.aggregate(F.transform("parts", lambda p: p["n"]), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    groups = groups.select(F.array_min(F.transform("parts", lambda p: p["first"])).alias("group_id"), total.alias("n_rows"), "parts").where("n_rows >= 2")
-
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for gid, n, parts in zip(pdf["group_id"], pdf["n_rows"], pdf["parts"]):
-                texts = [((p["text"]["state"], p["text"]["size"], p["text"]["latest"]["updated"], p["text"]["latest"]["id"]), (p["cls"],), -p["text"]["latest"]["id"]) for p in parts if p["text"] is not None]
-                ratings = [((p["rating"]["rank"], p["rating"]["review"], p["rating"]["updated"], p["rating"]["id"]), (p["cls"],), -p["rating"]["id"]) for p in parts]
-                morphs = [((p["morph"]["morph"], p["morph"]["updated"], p["morph"]["id"]), (p["cls"],), -p["morph"]["id"]) for p in parts]
-                picked = best_bundles([texts or [((-1,), (None,), None)], ratings, morphs], _agrees)
-                out.append((gid, n, *(picked or (None, None, None))))
-            frame = pd.DataFrame(out, columns=["group_id", "n_rows", "definicao_from", "conf_from", "morph_from"])
-            yield frame.astype({"definicao_from": "Int64", "conf_from": "Int64", "morph_from": "Int64"})
-
-    return groups.mapInPandas(choose, "group_id bigint, n_rows bigint, definicao_from bigint, conf_from bigint, morph_from bigint")
+    text = trust(F.col("a"), F.when(F.col("a") == 2, F.lit(0).cast("long")).otherwise(F.col("b")), F.col("latest"))  # of whole texts the latest, of others the longest
+    best = first.withColumn("trust", F.when(F.col("bundle") == 0, text).otherwise(F.col("top"))).groupBy(*sign).agg(F.max("trust").alias("trust"), F.sum("n").alias("n"), F.min("first").alias("first"))
+    parts = best.groupBy("canonical", "homograph_no").agg(F.sum(F.when(F.col("bundle") == 0, F.col("n"))).alias("rows"), F.collect_list(F.struct("cls", "bundle", "b_cls", "b_gender", "b_infl", "trust", "n", "first")).alias("parts"))
+    return parts.where("rows >= 2").select("parts").mapInArrow(_choose, SURVIVOR_SCHEMA)
 
 
 def surviving_records(df: DataFrame) -> DataFrame:
-    """The merged record of every duplicate group, each bundle taken whole from the row it survives from."""
+    """The merged record of every duplicate group, each bundle taken whole from the row it survives from.
+
+    One join brings all bundles; of rows with one entry_id that differ the smallest counts.
+    """
     s = survivors(df)
-    src = df.dropDuplicates(["entry_id"])
-    pick = lambda name, cols: src.select(F.col("entry_id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
-    text = pick("definicao_from", ["definicao", "notas"])
-    rating = pick("conf_from", ["conf", "needs_review"])
-    morph = pick("morph_from", ["lemma", "pos", "gender", "decl_class", "verb_class", "adj_class", "morph_render"])
-    joined = s.join(text, "definicao_from", "left").join(rating, "conf_from", "left").join(morph, "morph_from", "left")
-    strip = lambda c: c.split("_from_", 1)[1] if "_from_" in c else c
-    return joined.select(*[F.col(c).alias(strip(c)) for c in ["group_id", "n_rows", "definicao_from", "conf_from", "morph_from"] + [c for c in joined.columns if "_from_" in c]])
+    chosen = s.select("group_id", F.explode(F.array(*[F.struct(F.lit(b).alias("bundle"), F.col(f"{b}_from").alias("entry_id")) for b in BUNDLES])).alias("c")).select("group_id", "c.*").where("entry_id IS NOT NULL")
+    wanted = chosen.groupBy("entry_id").agg(F.collect_list(F.struct("group_id", "bundle")).alias("uses"))
+    source = df.select("entry_id", F.struct("lemma", *[c for cols in FIELDS.values() for c in cols]).alias("r")).groupBy("entry_id").agg(F.min("r").alias("r"))
+    taken = wanted.join(source, "entry_id").select(F.explode("uses").alias("u"), "r").select("u.*", "r")
+    merged = taken.groupBy("group_id").agg(*[F.max(F.when(F.col("bundle") == b, F.struct(*[F.col(f"r.{c}").alias(c) for c in (*cols, *(("lemma",) if b == "grammar" else ()))]))).alias(f"__{b}") for b, cols in FIELDS.items()])
+    fields = [F.col(f"__{b}.{c}").alias(c) for b, cols in FIELDS.items() for c in cols]
+    return s.join(merged, "group_id", "left").select(*s.columns, F.col("__grammar.lemma").alias("lemma"), *fields)

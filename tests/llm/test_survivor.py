@@ -1,6 +1,8 @@
+import itertools
 import json
+import random
 
-from lexispark.llm.survivor import best_bundles, survivors, surviving_records
+from lexispark.llm.survivor import CLASS_OF_POS, agree, best_bundles, survivors, surviving_records
 
 SCHEMA = (
     "entry_id bigint, lemma string, homograph_no int, pos string, gender string, decl_class string, verb_class string, adj_class string, morph_render string, definicao string, notas string, "
@@ -54,15 +56,11 @@ def test_very_long_text(spark):
 def test_record_takes_whole_bundles(spark):
     rows = [row(1, text="cut", conf="high", review=1), row(2, conf="high", review=0, text=None)]
     r = surviving_records(spark.createDataFrame([*rows, row(3, conf="low")], SCHEMA)).first()
-    assert (r.definicao, r.conf, r.needs_review, r.definicao_from, r.conf_from) == (GOOD, "high", 0, 3, 2)
+    assert (r.definicao, r.conf, r.needs_review, r.definicao_from, r.conf_from, r.lemma, r.morph_render) == (GOOD, "high", 0, 3, 2, "navira", "s. fem. 1ª (-ae)")
 
 
 def test_branch_and_bound_equals_exhaustive_search():
-    import itertools
-    import random
-
     rng = random.Random(1)
-    agree = lambda a, b: a[0] is None or b[0] is None or a[0] == b[0]
     for _ in range(200):
         c = [[((rng.randint(0, 3),), (rng.choice([None, "A", "B", "C"]),), i) for i in range(rng.randint(1, 4))] for _ in range(3)]
         best = max((tuple(x[0] for x in pick) for pick in itertools.product(*c) if all(agree(a[1], b[1]) for a, b in itertools.combinations(pick, 2))), default=None)
@@ -70,3 +68,61 @@ def test_branch_and_bound_equals_exhaustive_search():
         assert (got is None) == (best is None)
         if got:
             assert tuple(c[b][got[b]][0] for b in range(3)) == best
+
+
+def made(i, pos, gender, decl, verb, label, day):
+    return (i, "navira", None, pos, gender, decl, verb, None, label, GOOD, None, "high", 0, JSON, None, f"2024-01-{day:02d}T00:00:00Z", "", "")
+
+
+def test_dependencies_force_a_less_trusted_bundle(spark):
+    """The latest label speaks of another gender than the latest grammar: the label that fits survives instead."""
+    fem, masc = "s. fem. 1ª (-ae)", "s. masc. 1ª (-ae)"
+    rows = [made(1, "NOUN", "m", None, None, masc, 3), made(2, "NOUN", "m", "1ª (-ae)", None, None, 9), made(3, None, None, None, None, fem, 8)]
+    r = survivors(spark.createDataFrame(rows, SCHEMA)).first()
+    assert (r.grammar_from, r.inflection_from, r.label_from) == (2, 2, 1)
+    free = max(rows, key=lambda x: (x[8] is not None, x[15]))
+    assert free[0] == 3  # what would be taken without the dependency
+
+
+def test_rows_that_contradict_themselves_and_other_classes(spark):
+    """An inflection of a verb never survives in a noun, whatever its date; articles of both classes get their own."""
+    rows = [made(1, "NOUN", "f", "1ª (-ae)", None, "s. fem. 1ª (-ae)", 1), made(2, "NOUN", "f", None, "1ª (-āre)", "v. 1ª (-āre)", 9), made(3, "VERB", None, None, "3ª (-ere)", "v. 3ª (-ere)", 2), made(4, "VERB", None, None, None, "v. 3ª (-ere)", 5)]
+    got = {r.group_id: r for r in survivors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got[1].grammar_from, got[1].inflection_from, got[1].label_from) == (2, 1, 1)
+    assert (got[3].grammar_from, got[3].inflection_from, got[3].label_from) == (4, 3, 4)
+
+
+def test_survivors_equal_exhaustive_choice(spark):
+    """All choices of one row per bundle, tried out, for random articles of nouns and verbs."""
+    rng = random.Random(5)
+    rows, number = [], 0
+    for group in range(25):
+        for _ in range(rng.randint(2, 5)):
+            number += 1
+            pos = rng.choice(["NOUN", "VERB", "noun "])
+            gender, decl, verb = rng.choice([None, "m", "f"]), rng.choice([None, None, "1ª (-ae)", "2ª (-i)"]), rng.choice([None, None, "1ª (-āre)"])
+            label = rng.choice([None, "s. masc. 1ª (-ae)", "s. fem. 2ª (-i)", "s. fem. 1ª (-ae)", "v. 1ª (-āre)"])
+            x = list(made(number, pos, gender, decl, verb, label, rng.randint(1, 28)))
+            x[2] = group
+            rows.append(tuple(x))
+    got = {r.group_id: (r.grammar_from, r.inflection_from, r.label_from) for r in survivors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    of_label = {None: (None, None, None), "s. masc. 1ª (-ae)": ("N", "m", "1ª (-ae)"), "s. fem. 2ª (-i)": ("N", "f", "2ª (-i)"), "s. fem. 1ª (-ae)": ("N", "f", "1ª (-ae)"), "v. 1ª (-āre)": ("V", None, "1ª (-āre)")}
+    cls = lambda r: CLASS_OF_POS[r[3].strip().upper()]
+    want, bound = {}, 0
+    for _, members in itertools.groupby(sorted(rows, key=lambda r: (r[2], cls(r), r[0])), key=lambda r: (r[2], cls(r))):
+        members = list(members)
+        if len(members) < 2:
+            continue
+        c = cls(members[0])
+        options = [
+            [((sum(v is not None for v in (r[3], r[4])), r[15], -r[0]), (c, r[4], None), r[0]) for r in members],
+            [((sum(v is not None for v in (r[5], r[6])), r[15], -r[0]), ("!" if r[5] and r[6] else "V" if r[6] else "N" if r[5] else None, None, r[6] or r[5]), r[0]) for r in members],
+            [((int(r[8] is not None), r[15], -r[0]), of_label[r[8]], r[0]) for r in members],
+        ]
+        options = [[*o, ((-2, "", 0), (None, None, None), None)] for o in options]
+        fits = [p for p in itertools.product(*options) if all(agree(a[1], b[1]) for a, b in itertools.combinations([(0, (c, None, None)), *p], 2))]
+        best = max(fits, key=lambda p: [x[0] for x in p])
+        want[members[0][0]] = tuple(x[2] for x in best)
+        bound += want[members[0][0]] != tuple(max(o)[2] for o in options)
+    assert got == want
+    assert bound >= 5  # the dependencies change the choice in many articles
