@@ -46,7 +46,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def plain_words(c: Column) -> Column:
     """Lower-case accent-free words separated by single blanks; words broken at a line end are joined."""
-    joined = F.regexp_replace(c, r"(?<=\p{L})(?:[-­¬‐] *\r?\n *|­)(?=\p{L})", "")
+    # the look back stands behind the mark: it is taken only where there is one
+    joined = F.regexp_replace(c, r"[-­¬‐](?<=\p{L}.) *\r?\n *(?=\p{L})|­(?<=\p{L}.)(?=\p{L})", "")
     return F.trim(F.regexp_replace(unaccent_lower(joined), r"[^\p{L}\p{N}]+", " "))
 
 
