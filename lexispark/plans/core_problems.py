@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.operators.hierarchy import descendants, hierarchy, resolve
+from lexispark.operators.hierarchy import conflicting_links, descendants, hierarchy, resolve
 from lexispark.operators.nested import TreeSpec, flatten_tree
 from lexispark.operators.references import Reference, orphan_report, orphans
 from lexispark.session import load
@@ -77,7 +77,12 @@ def p6_below(spark: SparkSession, sf_dir: str) -> DataFrame:
     return descendants(load(spark, sf_dir, "v2_sense"), "sense_id", "parent_id").withColumnRenamed("id", "sense_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_rows": p2_rows, "p5_found": p5_found, "p5_report": p5_report, "p6_found": p6_found, "p6_hierarchy": p6_hierarchy, "p6_below": p6_below}
+def p6_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Senses delivered with several different parents, and which of them holds."""
+    return conflicting_links(load(spark, sf_dir, "v2_sense"), "sense_id", "parent_id").withColumnRenamed("id", "sense_id")
+
+
+QUERIES = {"p2_found": p2_found, "p2_rows": p2_rows, "p5_found": p5_found, "p5_report": p5_report, "p6_found": p6_found, "p6_hierarchy": p6_hierarchy, "p6_below": p6_below, "p6_conflicts": p6_conflicts}
 
 _BROKEN = """
 WITH c AS (
@@ -138,6 +143,7 @@ u(sense_id, descendant, distance) AS (
   SELECT p.sense_id, n.sense_id, 1 FROM n JOIN n p ON p.sense_id = n.parent_id ANTI JOIN o ON o.s = n.sense_id
   UNION ALL SELECT p.sense_id, u.descendant, u.distance + 1 FROM u JOIN n m ON m.sense_id = u.sense_id JOIN n p ON p.sense_id = m.parent_id ANTI JOIN o ON o.s = u.sense_id)
 SELECT sense_id, descendant, distance FROM u""",
+    "p6_conflicts": """SELECT DISTINCT sense_id, parent_id AS parent, parent_id = m AS used FROM (SELECT sense_id, parent_id, min(parent_id) OVER w AS m, max(parent_id) OVER w AS x FROM v2_sense WHERE parent_id IS NOT NULL WINDOW w AS (PARTITION BY sense_id)) WHERE m < x""",
     "p5_found": _BROKEN + "SELECT DISTINCT tab, row_id, kind FROM k WHERE kind IS NOT NULL",
     "p5_report": _BROKEN + "SELECT tab, period, kind, COUNT(*) AS n_rows FROM (SELECT DISTINCT tab, row_id, period, kind FROM k WHERE kind IS NOT NULL) GROUP BY tab, period, kind",
 }

@@ -1,6 +1,9 @@
 import random
 
-from lexispark.operators.hierarchy import ancestors, descendants, hierarchy, resolve
+import pytest
+
+from lexispark.operators import hierarchy as module
+from lexispark.operators.hierarchy import ancestors, conflicting_links, descendants, hierarchy, resolve
 
 
 def brute(parent):
@@ -33,6 +36,15 @@ def check(spark, parent, parts):
     assert got == brute(parent)
 
 
+@pytest.fixture(params=["one merge", "many merges", "doubling"], autouse=True)
+def way(request, monkeypatch):
+    """Results are the same however the partitions are merged."""
+    if request.param == "many merges":
+        monkeypatch.setattr(module, "FAN_IN", 2)
+    if request.param == "doubling":
+        monkeypatch.setattr(module, "NODES_PER_TASK", 20)
+
+
 def test_random_graphs_over_many_partitions(spark):
     rng = random.Random(3)
     for n in (1, 40, 400):
@@ -44,6 +56,7 @@ def test_long_chain_long_loop_and_tails_across_partitions(spark):
     parent |= {1000 + i: 1000 + (i + 37) % 101 for i in range(101)}
     parent |= {2000 + i: 2001 + i for i in range(150)} | {2150: 1003}
     parent |= {1: 0, 5000: 5000, 5001: 5000}
+    parent |= {6005: 6003, 6003: 6009, 6009: 9000, 9000: 6005}  # the smallest id of the loop lies between two partitions' ends
     check(spark, parent, 9)
 
 
@@ -53,6 +66,12 @@ def test_nulls_repeated_rows_and_empty(spark):
     assert resolve(df.limit(0), "s", "p").count() == 0
 
 
+def test_conflicting_parents_are_reported(spark):
+    df = spark.createDataFrame([(1, None), (2, 1), (2, 3), (2, 3), (3, None), (4, 1), (4, None), (None, 1)], "s bigint, p bigint")
+    assert {tuple(r) for r in conflicting_links(df, "s", "p").collect()} == {(2, 1, True), (2, 3, False)}
+    assert {(r.id, r.root_id, r.depth) for r in resolve(df, "s", "p").collect()} == {(1, 1, 1), (2, 1, 2), (3, 3, 1), (4, 1, 2)}
+
+
 def test_paths_and_descendants(spark):
     df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 2), (5, 6), (6, 5)], "s bigint, p bigint")
     got = {r.id: (r.path, r.n_below) for r in hierarchy(df, "s", "p").collect()}
