@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.operators.windows import numbered
+
 ROMAN = ("I", "II", "III", "IV", "V")
 
 
@@ -13,13 +15,35 @@ def clusters(df: DataFrame, key: Column, least: int = 2) -> DataFrame:
     return df.select(key.alias("key")).where(F.coalesce("key", F.lit("")) != "").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
-def cluster_gates(df: DataFrame, key: Column, same: list[str], bucket: Column) -> DataFrame:
+def cluster_gates(df: DataFrame, key: Column, same: list[str], bucket: Column, evidence: DataFrame) -> DataFrame:
     """Gate of every cluster: AUTO_KEEP_ALL where all rows agree null-safely in ``same``, AUTO_HOMONYMS_KEEP where several
-    known word classes meet, REVIEW otherwise."""
+    known word classes meet and another dictionary knows the headword (``evidence``: one column of keys), REVIEW otherwise."""
     sign = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in same])
     g = df.select(key.alias("key"), sign.alias("s"), F.nullif(bucket, F.lit("UNK")).alias("b")).where(F.coalesce("key", F.lit("")) != "")
     agg = g.groupBy("key").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.size(F.collect_set("b")).alias("n_buckets")).where("n > 1")
-    return agg.select("key", "n", "n_buckets", F.when(F.col("lo") == F.col("hi"), "AUTO_KEEP_ALL").when(F.col("n_buckets") > 1, "AUTO_HOMONYMS_KEEP").otherwise("REVIEW").alias("gate"))
+    known = evidence.toDF("key").where("key IS NOT NULL").distinct().withColumn("known", F.lit(True))
+    gate = F.when(F.col("lo") == F.col("hi"), "AUTO_KEEP_ALL").when((F.col("n_buckets") > 1) & F.col("known").isNotNull(), "AUTO_HOMONYMS_KEEP").otherwise("REVIEW")
+    return agg.join(known, "key", "left").select("key", "n", "n_buckets", gate.alias("gate"))
+
+
+def homonyms(df: DataFrame, key: str, order: str, gated: DataFrame) -> DataFrame:
+    """Rows of clusters that hold homonyms, with their label I to V by ``order``; from the fifth on all are V.
+
+    Ordinals come from the global numbering, so a cluster of any size is spread.
+    """
+    rows = df.select(F.col(key).alias("key"), order).join(gated.where("gate = 'AUTO_HOMONYMS_KEEP'").select("key"), "key")
+    rn = numbered(rows, ["key", order])
+    first = rn.groupBy("key").agg(F.min("rn").alias("first"))
+    return rn.join(first, "key").select("key", order, homonym_label((F.col("rn") - F.col("first") + 1).cast("int")).alias("canonical_group"))
+
+
+def decision_counts(validated: DataFrame) -> DataFrame:
+    """One row: decisions kept, redirected, left to a person, refused, and groups without a refused decision."""
+    n = lambda c: F.count_if(c)
+    ok = F.col("valid")
+    per = validated.groupBy("group_id").agg(n(ok & (F.col("action") == "keep")).alias("kept"), n(ok & (F.col("action") == "redirect")).alias("redirects"), n(F.col("reason") == "manual_skipped").alias("manual"), n(~ok & (F.col("reason") != "manual_skipped")).alias("refused"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return per.agg(total("kept"), total("redirects"), total("manual"), total("refused"), n(F.col("refused") == 0).alias("groups_ok"))
 
 
 def homonym_label(rank: Column) -> Column:

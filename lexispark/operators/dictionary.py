@@ -89,7 +89,7 @@ def suggest_fixes(entries: DataFrame, key: str, lemma: str, trusted: DataFrame,
     known = trusted.select(words_only(F.col(trusted_lemma)).alias("word")).where("word != ''").distinct()
     other = second.select(words_only(F.col(second_lemma)).alias("word")).where("word != ''").distinct()
     open_words = own.join(known, "word", "left_anti").join(other, "word", "left_anti")
-    best = fuzzy.best_match(fuzzy.variant_matches(open_words, "word", known, "word", 2), "word").where(F.col("ratio") >= accept)
+    best = fuzzy.best_match(fuzzy.variant_matches(open_words, "word", known, "word"), "word").where(F.col("ratio") >= accept)
     backed = best.join(other.select(F.col("word").alias("match"), F.lit(True).alias("backed")), "match", "left")
     conf = F.when((F.col("ratio") >= high) | F.col("backed"), "high").otherwise("med")
     reason = F.when(F.col("backed"), "variant+second").otherwise("variant")

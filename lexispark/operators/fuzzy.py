@@ -11,11 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.functions.fold import latin_key, unaccent_lower
 from lexispark.session import ship_package
 
-# Letters that scanning swaps, and common prefixes of compounds.
-SWAPS = (("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("u", "n"), ("n", "u"), ("c", "e"), ("e", "c"), ("f", "t"), ("t", "f"), ("li", "h"))
-PREFIXES = ("ab", "ad", "con", "de", "dis", "ex", "in", "inter", "ob", "per", "prae", "pro", "re", "sub", "super", "trans", "circum")
+# Letters that scanning swaps, prefixes of compounds, and words that tell the name of a people or place.
+SWAPS = (("o", "u"), ("u", "o"), ("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("æ", "ae"), ("œ", "oe"), ("j", "i"), ("v", "u"), ("ſ", "s"))
+PREFIXES = ("ab", "ad", "con", "de", "dis", "ex", "in", "inter", "ob", "per", "post", "prae", "pro", "re", "sub", "super", "trans")
+GENTILIC = ("people", "orum", "civitas", "urbs", "flumen", "gentilic", "populus", "povo", "cidade", "rio", "gentílico", "gentilício")
 BLOCK = 512  # words in a block
 SLACK = 1e-6  # bounds are rounded; the similarity itself is compared exactly
 
@@ -84,13 +86,19 @@ def swap_variants(c: Column, rounds: int = 1) -> Column:
 
 def prefix_variants(c: Column) -> Column:
     """Forms with a hyphen after a known prefix, or without the hyphen that stands there."""
-    made = [F.when(c.startswith(p + "-"), F.concat(F.lit(p), F.substring(c, len(p) + 2, 1 << 20))).when(c.startswith(p), F.concat(F.lit(p + "-"), F.substring(c, len(p) + 1, 1 << 20))) for p in PREFIXES]
+    made = [F.when(c.startswith(p + "-"), F.concat(F.lit(p), F.substring(c, len(p) + 2, 1 << 20))).when(c.startswith(p) & (F.length(c) > len(p)), F.concat(F.lit(p + "-"), F.substring(c, len(p) + 1, 1 << 20))) for p in PREFIXES]
     return F.array_sort(F.array_distinct(F.array_compact(F.array(c, *made))))
 
 
-def variant_matches(left: DataFrame, left_key: str, right: DataFrame, right_key: str, rounds: int = 1) -> DataFrame:
+def spelling_variants(c: Column) -> Column:
+    """All forms a headword may have been read from: prefix hyphens, each with up to two swaps. Sorted, distinct, none
+    left out."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(prefix_variants(c), lambda x: swap_variants(x, 2)))))
+
+
+def variant_matches(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
     """Rows of both sides whose words meet after spelling variants: ``(left word, right word, ratio, distance)``."""
-    l = left.select(F.col(left_key).alias("word")).where(F.col("word") != "").distinct().select("word", F.explode(swap_variants(F.col("word"), rounds)).alias("variant"))  # noqa: E741
+    l = left.select(F.col(left_key).alias("word")).where(F.col("word") != "").distinct().select("word", F.explode(spelling_variants(F.col("word"))).alias("variant"))  # noqa: E741
     r = right.select(F.col(right_key).alias("match")).where(F.col("match") != "").distinct()
     j = l.join(r, l["variant"] == r["match"]).select("word", "match").distinct()
     return j.select("word", "match", F.round(bigram_ratio(F.col("word"), F.col("match")), 6).alias("ratio"), F.levenshtein("word", "match").alias("distance"))
@@ -163,20 +171,18 @@ def likely_pairs(queries: list[str], words: list[str], least: np.ndarray) -> tup
     return i[kept], j[kept], bound[kept]
 
 
-def close_matches(queries: DataFrame, query: str, words: DataFrame, word: str, n: int = 3, cutoff: float = 0.7, same_initial: bool = True) -> DataFrame:
+def close_matches(queries: DataFrame, query: str, words: DataFrame, word: str, n: int = 3, cutoff: float = 0.7) -> DataFrame:
     """Ratcliff-Obershelp matches of ``cutoff`` or more, the best ``n`` per query.
 
-    Every word of a length class that the cutoff allows is a candidate; with ``same_initial`` only those that begin with
-    the query's letter. Blocks of words meet; bounds that lose nothing leave few pairs (``likely_pairs``), and those
+    Every word of a length class that the cutoff allows is a candidate. Blocks of words meet; bounds that lose nothing leave few pairs (``likely_pairs``), and those
     are compared from the highest bound down until no other can be among the best ``n``. All this runs over Arrow
     batches, as Spark has no such function. A task holds the best matches of its queries.
     """
     spark = queries.sparkSession
     ship_package(spark)
     span = 2.0 / cutoff - 1  # a longer word is at most this many times as long
-    initial = lambda c: F.substring(c, 1, 1) if same_initial else F.lit("")
-    q = queries.select(F.col(query).alias("q")).where(F.col("q") != "").distinct().select("q", initial("q").alias("k"), F.length("q").alias("len"))
-    w = words.select(F.col(word).alias("w")).where(F.col("w") != "").distinct().select("w", initial("w").alias("k"), F.length("w").alias("len"))
+    q = queries.select(F.col(query).alias("q")).where(F.col("q") != "").distinct().select("q", F.lit("").alias("k"), F.length("q").alias("len"))
+    w = words.select(F.col(word).alias("w")).where(F.col("w") != "").distinct().select("w", F.lit("").alias("k"), F.length("w").alias("len"))
     lengths = F.sequence(F.ceil(F.col("len") / span - SLACK).cast("int"), F.floor(F.col("len") * span + SLACK).cast("int"))
     q = _blocks(q, "q").select("k", F.col("len").alias("q_len"), F.col("block").alias("q_block"), "q", F.explode(lengths).alias("len"))
     pairs = q.join(_blocks(w, "w"), ["k", "len"])
@@ -212,14 +218,31 @@ def close_matches(queries: DataFrame, query: str, words: DataFrame, word: str, n
     return pairs.mapInArrow(score, "q string, rank int, w string, ratio double").select("q", "rank", "w", F.round("ratio", 6).alias("ratio"))
 
 
-def gates(pairs: DataFrame, old: str, new: str, conf: str, prev: Column, nxt: Column, old_pos: Column, new_pos: Column) -> DataFrame:
-    """Gate results of suggested corrections: affix parity, similarity, alphabetical span, word class, final verdict."""
+def gentilic(*texts: Column) -> Column:
+    """Whether definitions tell the name of a people or place."""
+    blob = F.lower(F.concat_ws(" ", *texts))
+    return F.exists(F.array(*[F.lit(x) for x in GENTILIC]), lambda x: F.contains(blob, x))
+
+
+def gates(pairs: DataFrame, old: str, new: str, conf: str, prev: Column, nxt: Column, old_pos: Column, new_pos: Column, name: Column | None = None) -> DataFrame:
+    """Gate results of suggested corrections: affix parity, similarity, alphabetical span, word class, final verdict.
+
+    An affix becomes no word, nor a word an affix, unless both have one strict key. The span is open where a neighbour
+    is missing. Unknown classes pass; noun and adjective interchange where ``name`` is true (see gentilic).
+    """
     a, b = F.col(old), F.col(new)
-    parity = (a.startswith("-") == b.startswith("-")) & (a.endswith("-") == b.endswith("-"))
-    ratio = bigram_ratio(a, b)
-    close = ratio >= F.when(F.col(conf) == "high", 0.35).otherwise(0.5)
-    span = F.coalesce(b >= prev, F.lit(True)) & F.coalesce(b <= nxt, F.lit(True))
-    pos = (old_pos == "UNK") | (new_pos == "UNK") | (old_pos == new_pos)
+    affix = lambda c: c.startswith("-") | c.endswith("-")
+    parity = (affix(a) == affix(b)) | (latin_key(a) == latin_key(b))
+    close = bigram_ratio(a, b) >= F.when(F.col(conf) == "high", 0.35).otherwise(0.5)
+    span = prev.isNull() | nxt.isNull() | unaccent_lower(b).between(unaccent_lower(prev), unaccent_lower(nxt))
+    nominal = old_pos.isin("NOUN", "ADJ") & new_pos.isin("NOUN", "ADJ")
+    pos = (old_pos == "UNK") | (new_pos == "UNK") | (old_pos == new_pos) | (nominal & (F.lit(False) if name is None else name))
     out = pairs.withColumn("ok_affix", parity).withColumn("ok_similar", close).withColumn("ok_span", span).withColumn("ok_pos", pos)
     passed = F.col("ok_affix") & F.col("ok_similar") & F.col("ok_span")
     return out.withColumn("verdict", F.when(passed & F.col("ok_pos"), F.col(conf)).when(passed, F.when(F.col(conf) == "high", "med").otherwise("low")).otherwise("reject"))
+
+
+def morph_guard(conf: Column, reason: Column, suggested: Column, own: Column, note: str = "conflito morfológico (LS vs entrada)") -> Column:
+    """``(conf, reason)`` of a suggestion: where both word classes are known and differ, high falls to med with a note."""
+    conflict = F.coalesce((suggested != "UNK") & (own != "UNK") & (suggested != own), F.lit(False)) & (conf == "high")
+    return F.struct(F.when(conflict, "med").otherwise(conf).alias("conf"), F.when(conflict, F.concat_ws("; ", reason, F.lit(note))).otherwise(reason).alias("reason"))

@@ -6,11 +6,12 @@ import re
 import unicodedata
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.functions.fold import fold
 from lexispark.functions.strings import let
+from lexispark.session import shared_folder
 
 K1, B = 1.2, 0.75
 
@@ -253,14 +254,18 @@ def search(df: DataFrame, query: str, columns: list[str], keep: list[str]) -> Da
     # tokens are made once a row, however often the query mentions them
     counted = df.select(*keep, let(F.struct(*[tokens(F.col(c)).alias(f"t_{c}") for c in columns]), judge).alias("__j")).select(*keep, "__j.*")
     stats = counted.agg(F.count("*").alias("__n"), F.avg("__size").alias("__avg"), *[F.count_if(F.col(f"__c{i}")).alias(f"__d{i}") for i in range(len(terms))])
-    both = counted.where("__hit").crossJoin(F.broadcast(stats))
+    return counted.where("__hit").crossJoin(F.broadcast(stats)).select(*keep, bm25(len(terms)).alias("score"))
+
+
+def bm25(n_terms: int) -> Column:
+    """Score out of __f (uses), __d (rows with the term), __size, __n and __avg; negative, the smaller the better."""
     score = F.lit(0.0)
-    for i in range(len(terms)):
+    for i in range(n_terms):
         n, f = F.col(f"__d{i}"), F.col(f"__f{i}").cast("double")
         idf = F.log((F.col("__n") - n + 0.5) / (n + 0.5))
         idf = F.when(idf <= 0, F.lit(1e-6)).otherwise(idf)
         score = score - idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("__size") / F.col("__avg")))
-    return both.select(*keep, F.round(score, 6).alias("score"))
+    return F.round(score, 6)
 
 
 def snippet(text: Column, words: list[str], size: int = 12, start: str = "[", end: str = "]") -> Column:
@@ -281,7 +286,7 @@ def snippet(text: Column, words: list[str], size: int = 12, start: str = "[", en
 
 
 def postings(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Inverted index rows ``(term, doc, col, pos)``; write it bucketed by term to serve point queries."""
+    """Inverted index rows ``(term, doc, col, pos)``; ``write_index`` stores them to serve queries."""
     parts = [df.select(F.col(key).alias("doc"), F.lit(c).alias("col"), F.posexplode(tokens(F.col(c))).alias("pos", "term")) for c in columns]
     out = parts[0]
     for p in parts[1:]:
@@ -289,14 +294,142 @@ def postings(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return out.select("term", "doc", "col", "pos")
 
 
+@dataclass(frozen=True)
+class Index:
+    """A stored index: postings in order of their terms, and one row with the number of rows and their mean length."""
+
+    postings: DataFrame
+    stats: DataFrame
+    columns: tuple[str, ...]
+
+
+def write_index(df: DataFrame, key: str, columns: list[str], folder: str) -> None:
+    """Write the index of ``columns`` to ``folder``: postings ``(term, doc, col, pos, size)`` and statistics.
+
+    Postings are range partitioned and sorted by term and row, so a term's rows lie together (those of a frequent term in
+    several files), and the smallest and largest term of every file and row group keep queries from reading others. Rows
+    with a null key are not indexed; a key delivered twice is indexed twice.
+    """
+    row = df.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), *[tokens(F.col(c)).alias(c) for c in columns])
+    sized = row.withColumn("size", sum((F.size(c) for c in columns), F.lit(0)))
+    parts = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("terms")) for c in columns])
+    spread = sized.select("doc", "size", F.explode(parts).alias("p")).select("doc", "size", "p.col", F.posexplode("p.terms").alias("pos", "term"))
+    spread.select("term", "doc", "col", "pos", "size").repartitionByRange("term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/postings")
+    sized.agg(F.count("*").alias("n_rows"), F.avg("size").alias("mean_size")).write.mode("overwrite").parquet(f"{folder}/stats")
+
+
+def open_index(spark: SparkSession, folder: str, columns: list[str]) -> Index:
+    return Index(spark.read.parquet(f"{folder}/postings"), spark.read.parquet(f"{folder}/stats"), tuple(columns))
+
+
+_OPEN: dict[tuple, str] = {}
+
+
+def index_of(df: DataFrame, key: str, columns: list[str], name: str) -> Index:
+    """The index of a table under ``name``, written to the shared folder when it is first asked for in a session."""
+    spark = df.sparkSession
+    at = (spark.sparkContext.applicationId, name, key, *columns)
+    if at not in _OPEN:
+        folder = shared_folder(spark)
+        write_index(df, key, columns, folder)
+        _OPEN[at] = folder
+    return open_index(spark, _OPEN[at], columns)
+
+
+def _spots_of(found: Column, word: int, column: str) -> Column:
+    return F.transform(F.filter(found, lambda x: (x["w"] == word) & (x["col"] == column)), lambda x: x["pos"])
+
+
+def _earlier(spots: Column, k: int) -> Column:
+    return F.transform(spots, lambda i: i - k)
+
+
+def search_index(index: Index, query: str) -> DataFrame:
+    """Rows ``(doc, score)`` that match, with their BM25 score (the smaller, the better), unordered and unlimited.
+
+    Only the postings of the query's words are read (words of a prefix by their range). They are gathered per row, and
+    phrases and NEAR groups are judged by their places. The scores are those of ``search`` over the whole table.
+    """
+    node = parse_query(query)
+    terms = leaves(node)
+    words: list[tuple[str, bool]] = []
+
+    def gather(n: Node) -> None:
+        for k, w in enumerate(n.words):
+            spec = (w, n.prefix and k == len(n.words) - 1)
+            if spec not in words:
+                words.append(spec)
+        for p in n.parts:
+            gather(p)
+
+    gather(node)
+    if not words:
+        raise ValueError("the query has no word")
+    test = lambda w, prefix: F.startswith("term", F.lit(w)) if prefix else F.col("term") == w
+    wanted = test(*words[0])
+    for w in words[1:]:
+        wanted = wanted | test(*w)
+    which = F.array_compact(F.array(*[F.when(test(*w), F.lit(i)) for i, w in enumerate(words)]))
+    read = index.postings.where(wanted).select("doc", "col", "pos", "size", F.explode(which).alias("w"))
+    rows = read.groupBy("doc").agg(F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("w", "col", "pos"))).alias("found"))
+
+    def starts(n: Node, column: str) -> Column:
+        spots = [_spots_of(F.col("found"), words.index((w, n.prefix and k == len(n.words) - 1)), column) for k, w in enumerate(n.words)]
+        at = F.array_distinct(spots[0])
+        for k, other in enumerate(spots[1:], 1):
+            at = F.array_intersect(at, _earlier(other, k))
+        return F.filter(at, lambda i: i == 0) if n.initial else at
+
+    def often(n: Node) -> Column:
+        total = F.lit(0)
+        for column in [n.column] if n.column else index.columns:
+            if n.op == "near":
+                at = n.member or 0
+                ok = starts(Node("phrase", words=[n.words[at]]), column)
+                for w in n.words[:at] + n.words[at + 1 :]:
+                    ok = _beside(ok, starts(Node("phrase", words=[w]), column), n.distance)
+                total = total + F.size(ok)
+            else:
+                total = total + F.size(starts(n, column))
+        return total
+
+    def there(n: Node) -> Column:
+        return often(Node("phrase", words=[n.words[n.member or 0]], column=n.column)) > 0 if n.op == "near" else often(n) > 0
+
+    def hit(n: Node) -> Column:
+        if n.op in ("phrase", "near"):
+            return often(n) > 0
+        first, *rest = [hit(p) for p in n.parts]
+        for r in rest:
+            first = first | r if n.op == "or" else (first & ~r if n.op == "not" else first & r)
+        return first
+
+    counted = rows.select("doc", F.col("size").alias("__size"), hit(node).alias("__hit"), *[often(t).alias(f"__f{i}") for i, t in enumerate(terms)], *[there(t).alias(f"__c{i}") for i, t in enumerate(terms)])
+    found = counted.agg(*[F.count_if(F.col(f"__c{i}")).alias(f"__d{i}") for i in range(len(terms))])
+    stats = found.crossJoin(F.broadcast(index.stats.select(F.col("n_rows").alias("__n"), F.col("mean_size").alias("__avg"))))
+    return counted.where("__hit").crossJoin(F.broadcast(stats)).select("doc", bm25(len(terms)).alias("score"))
+
+
 def entry_source(entries: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Entries with all their headwords in one column, ordered by headword id."""
     forms = lemmas.where(F.col("entry_id").isNotNull()).groupBy("entry_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "forma"))), lambda x: x["forma"]), " / ").alias("lemas"))
     return entries.join(forms, entries["id"] == forms["entry_id"], "left").drop("entry_id").withColumn("lemas", F.coalesce("lemas", F.lit("")))
 
 
-def search_entries(entries: DataFrame, lemmas: DataFrame, query: str, limit: int = 20, doc_name: str | None = None, page: int | None = None, include_raw: bool = False, marks: tuple[str, str] = ("[", "]")) -> DataFrame:
-    """Entry search: id, headwords, label, snippet, definition, notes and score, best first."""
+ENTRY_FIELDS = {"f_lemas": "lemas", "f_def": "definicao", "f_morf": "morfologia", "f_notas": "notas", "f_raw": "raw_text"}
+
+
+def entry_index(entries: DataFrame, lemmas: DataFrame, name: str) -> Index:
+    """Index of all text fields of entries, with their headwords."""
+    src = entry_source(entries, lemmas)
+    return index_of(src.select("id", *[F.col(c).alias(f) for f, c in ENTRY_FIELDS.items()]), "id", list(ENTRY_FIELDS), name)
+
+
+def search_entries(entries: DataFrame, lemmas: DataFrame, query: str, limit: int = 20, doc_name: str | None = None, page: int | None = None, include_raw: bool = False, marks: tuple[str, str] = ("[", "]"), index: Index | None = None) -> DataFrame:
+    """Entry search: id, headwords, label, snippet, definition, notes and score, best first.
+
+    With an index only hits are read from the table, and the statistics of the score are those of all entries.
+    """
     src = entry_source(entries, lemmas)
     keep = ["id", "lemas", "doc_name", "page_num", "morfologia", "definicao", "notas", "raw_text"]
     src = src.select(*keep)
@@ -305,8 +438,11 @@ def search_entries(entries: DataFrame, lemmas: DataFrame, query: str, limit: int
     if page is not None:
         src = src.where(F.col("page_num") == page)
     words = [w for leaf in leaves(parse_query(query)) for w in leaf.words]
-    named = src.select(*keep, F.col("lemas").alias("f_lemas"), F.col("definicao").alias("f_def"), F.col("morfologia").alias("f_morf"), F.col("notas").alias("f_notas"), F.col("raw_text").alias("f_raw"))
-    hit = search(named, query, ["f_lemas", "f_def", "f_morf", "f_notas", "f_raw"], keep)
+    if index is None:
+        named = src.select(*keep, *[F.col(c).alias(f) for f, c in ENTRY_FIELDS.items()])
+        hit = search(named, query, list(ENTRY_FIELDS), keep)
+    else:
+        hit = src.join(search_index(index, query).withColumnRenamed("doc", "id"), "id")
     show = snippet(F.coalesce(F.nullif("definicao", F.lit("")), F.col("raw_text")), words, 12, *marks)
     out = hit.select("id", "lemas", "morfologia", show.alias("snippet"), "definicao", "notas", *(["raw_text"] if include_raw else []), "score")
     return out.orderBy("score", "id").limit(limit)

@@ -40,41 +40,46 @@ s AS (SELECT count(*) AS n, avg(size) AS mean, {d} FROM c)
 SELECT doc_id, round(0 - {score}, 6) AS score FROM c, s WHERE {where} ORDER BY 2, 1 LIMIT 20"""
 
 
+def _hits(spark: SparkSession, d: str, text: str) -> DataFrame:
+    index = search.index_of(load(spark, d, "documents").select("doc_id", "text"), "doc_id", ["text"], f"{d}/documents")
+    return search.search_index(index, text).withColumnRenamed("doc", "doc_id")
+
+
 @query(_bm25_sql(["navio", "neve"], "f0 > 0 AND f1 > 0"))
 def fts_and_bm25_top20(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(load(spark, d, "documents"), "navio neve", ["text"], ["doc_id"]).orderBy("score", "doc_id").limit(20)
+    return _hits(spark, d, "navio neve").orderBy("score", "doc_id").limit(20)
 
 
 @query(_bm25_sql(["serpente", "veneno"], "f0 > 0 OR f1 > 0"))
 def fts_or_bm25_top20(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(load(spark, d, "documents"), "serpente OR veneno", ["text"], ["doc_id"]).orderBy("score", "doc_id").limit(20)
+    return _hits(spark, d, "serpente OR veneno").orderBy("score", "doc_id").limit(20)
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, {DOC_TOKENS} AS t FROM documents) WHERE (list_contains(t, 'porto') OR list_contains(t, 'barco')) AND NOT list_contains(t, 'navio')")
 def fts_or_not_filter(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(load(spark, d, "documents"), "(porto OR barco) NOT navio", ["text"], ["doc_id"]).select("doc_id")
+    return _hits(spark, d, "(porto OR barco) NOT navio").select("doc_id")
 
 
 @query(f"SELECT source, count(*) AS n FROM (SELECT source, {DOC_TOKENS} AS t FROM documents) WHERE len(list_filter(t, lambda x: starts_with(x, 'templ'))) > 0 GROUP BY source")
 def fts_prefix_count(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(load(spark, d, "documents"), "templ*", ["text"], ["doc_id", "source"]).groupBy("source").agg(F.count("*").alias("n"))
+    return _hits(spark, d, "templ*").join(load(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source").agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, ' ' || array_to_string({DOC_TOKENS}, ' ') || ' ' AS t FROM documents) WHERE contains(t, ' em sentido figurado ')")
 def fts_phrase_match(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(load(spark, d, "documents"), '"em sentido figurado"', ["text"], ["doc_id"]).select("doc_id")
+    return _hits(spark, d, '"em sentido figurado"').select("doc_id")
 
 
 @query(f"""WITH p AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM (SELECT doc_id, {DOC_TOKENS} AS t FROM documents))
 SELECT DISTINCT a.doc_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.w = 'navio' AND b.w = 'vento' AND abs(a.i - b.i) <= 6""")
 def fts_near_match(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(load(spark, d, "documents"), "NEAR(navio vento, 5)", ["text"], ["doc_id"]).select("doc_id")
+    return _hits(spark, d, "NEAR(navio vento, 5)").select("doc_id")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, lang, source, {DOC_TOKENS} AS t FROM documents) WHERE list_contains(t, 'corda') AND lang = 'pt' AND source ILIKE '%nota%'")
 def fts_doc_filters(spark: SparkSession, d: str) -> DataFrame:
-    docs = load(spark, d, "documents").where((F.col("lang") == "pt") & F.col("source").ilike("%nota%"))
-    return search.search(docs, "corda", ["text"], ["doc_id"]).select("doc_id")
+    docs = load(spark, d, "documents").where((F.col("lang") == "pt") & F.col("source").ilike("%nota%")).select("doc_id")
+    return _hits(spark, d, "corda").join(docs, "doc_id").select("doc_id")
 
 
 @query("""WITH b AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS r FROM documents),
@@ -85,13 +90,14 @@ SELECT doc_id, CASE WHEN b > 1 THEN '…' ELSE '' END || array_to_string(list_tr
   || CASE WHEN b + 12 <= len(r) THEN '…' ELSE '' END AS snippet FROM g""")
 def fts_snippet(spark: SparkSession, d: str) -> DataFrame:
     words = F.transform(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != ""), lambda x: F.regexp_replace(F.lower(fold(x)), r"[^\p{L}\p{N}]+", ""))
-    docs = load(spark, d, "documents").where(F.array_contains(words, "heranca"))
+    # a word of the text is a word of the index unless signs part it, so the index finds all rows that may hold it
+    docs = load(spark, d, "documents").select("doc_id", "text").join(_hits(spark, d, "herança").select("doc_id"), "doc_id").where(F.array_contains(words, "heranca"))
     return docs.select("doc_id", search.snippet(F.col("text"), ["herança"]).alias("snippet"))
 
 
 @query()
 def fts_entry_search(spark: SparkSession, d: str) -> DataFrame:
-    return search.search_entries(load(spark, d, "entry"), load(spark, d, "lemma"), 'navio OR (f_morf : adj "relativo ao mar*")', limit=50)
+    return search.search_entries(load(spark, d, "entry"), load(spark, d, "lemma"), 'navio OR (f_morf : adj "relativo ao mar*")', limit=50, index=search.entry_index(load(spark, d, "entry"), load(spark, d, "lemma"), f"{d}/entry"))
 
 
 @query(f"""WITH t AS (SELECT id, unnest({TOKENS.format('definicao')}) AS term FROM entry)
@@ -124,14 +130,26 @@ def slug_names(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "dict_source").select("source_id", slugify(F.col("name")).alias("slug"))
 
 
-@query("""WITH r AS (SELECT id, unnest(regexp_extract_all(definicao, '\\(([A-Z][^()]*)\\)', 1)) AS ref FROM entry),
-x AS (SELECT id, ref, regexp_extract(ref, '^([A-Z][A-Za-z. ]+?)\\s+([A-Za-z][A-Za-z. ]+?)\\s+(.+)$', 1) AS fonte, regexp_extract(ref, '^([A-Z][A-Za-z. ]+?)\\s+([A-Za-z][A-Za-z. ]+?)\\s+(.+)$', 2) AS obra,
- regexp_extract(ref, '^([A-Z][A-Za-z. ]+?)\\s+([A-Za-z][A-Za-z. ]+?)\\s+(.+)$', 3) AS loc FROM r)
-SELECT fonte, obra, CASE WHEN fonte <> '' AND regexp_matches(loc, '[0-9]') THEN 'ok' WHEN fonte <> '' THEN 'parcial' ELSE 'invalido' END AS status, count(*) AS n FROM x GROUP BY 1, 2, 3""")
+_CLEANED = "trim(ref, E' \t\n\r')"
+for _wrong, _right in (("—", "-"), ("–", "-"), ("•", ""), ("·", "."), ("..", "."), (" ,", ","), (" , ", ", "), (" .", "."), ("cit. LS", ""), ("(cit. LS)", "")):
+    _CLEANED = f"replace({_CLEANED}, '{_wrong}', '{_right}')"
+_CLEANED = f"replace(replace(trim(regexp_replace(regexp_replace({_CLEANED}, '[;,.)\\]]+$', ''), '\\s+', ' ', 'g')), '1 Ped.', '1 Pet.'), 'App. M.', 'Apul. M.')"
+_AUTHOR, _NAME = "[A-ZÁÉÍÓÚÂÊÎÔÛÃÕÀÇ][A-Za-zÁÉÍÓÚÂÊÎÔÛÃÕÀÇ. ]+?", "[A-Za-zÁÉÍÓÚÂÊÎÔÛÃÕÀÇ][A-Za-zÁÉÍÓÚÂÊÎÔÛÃÕÀÇ. ]+?"
+
+
+@query(f"""WITH r AS (SELECT unnest(regexp_extract_all(definicao, '\\(([A-Z][^()]*)\\)', 1)) AS ref FROM entry), c AS (SELECT {_CLEANED} AS x FROM r),
+p AS (SELECT x, regexp_matches(x, '[^\\p{{L}}\\p{{M}}\\p{{N}}_.,\\s()-]') AS odd, nullif(regexp_extract(x, '^({_AUTHOR})\\s+({_NAME})\\s+(.+)$', 1), '') AS a, nullif(regexp_extract(x, '^({_AUTHOR})\\s+({_NAME})\\s+(.+)$', 2), '') AS w,
+ nullif(regexp_extract(x, '^({_AUTHOR})\\s+({_NAME})\\s+(.+)$', 3), '') AS l, nullif(regexp_extract(x, '^({_AUTHOR})\\s+(.+)$', 1), '') AS a2, nullif(regexp_extract(x, '^({_AUTHOR})\\s+(.+)$', 2), '') AS l2 FROM c),
+q AS (SELECT coalesce(a, a2) AS a, w, CASE WHEN a IS NOT NULL THEN l ELSE l2 END AS l, odd FROM p),
+j AS (SELECT *, a IS NULL AS bad, a IS NOT NULL AND w IS NULL AS alone, coalesce(NOT regexp_matches(l, '[0-9]'), FALSE) AS blind FROM q)
+SELECT coalesce(a, '') AS fonte, coalesce(w, '') AS obra, CASE WHEN bad THEN 'invalido' WHEN blind OR alone THEN 'parcial' ELSE 'ok' END AS status,
+round(greatest(0.0, CASE WHEN blind THEN least(0.4, CASE WHEN bad THEN 0.2 WHEN alone THEN 0.6 ELSE 0.9 END - CASE WHEN odd THEN 0.2 ELSE 0.0 END) ELSE CASE WHEN bad THEN 0.2 WHEN alone THEN 0.6 ELSE 0.9 END - CASE WHEN odd THEN 0.2 ELSE 0.0 END END)::DOUBLE, 6) AS confidence,
+coalesce(NOT regexp_matches(l, '(?i)[0-9]|pr\\.|pref\\.'), FALSE) AS noted, count(*) AS n FROM j GROUP BY ALL""")
 def citation_parse(spark: SparkSession, d: str) -> DataFrame:
     refs = load(spark, d, "entry").select(F.explode(F.regexp_extract_all("definicao", F.lit(r"\(([A-Z][^()]*)\)"), 1)).alias("ref"))
     p = refs.select(split_reference(F.col("ref")).alias("r")).select("r.*")
-    return p.groupBy(F.coalesce("fonte", F.lit("")).alias("fonte"), F.coalesce("obra", F.lit("")).alias("obra"), "status").agg(F.count("*").alias("n"))
+    noted = F.coalesce(F.contains("err_msg", F.lit("loc_formato_atipico")), F.lit(False))
+    return p.groupBy(F.coalesce("fonte", F.lit("")).alias("fonte"), F.coalesce("obra", F.lit("")).alias("obra"), "status", "confidence", noted.alias("noted")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT entry_id, split_part(id, ':', 1) AS doc_name, CASE WHEN regexp_matches(split_part(id, ':', 2), '^[0-9]+$') THEN CAST(split_part(id, ':', 2) AS INTEGER) END AS page_num FROM v2_entry")
@@ -428,11 +446,19 @@ def markdown_export(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---- fuzzy, vectors ----------------------------------------------------------------------------------------------
-def _swap_sql(c: str) -> str:
-    return f"list_distinct([{c}, " + ", ".join(f"replace({c}, '{a}', '{b}')" for a, b in fuzzy.SWAPS) + "])"
-
-
-@query(f"""WITH v AS (SELECT DISTINCT lemma_sort AS word, unnest({_swap_sql('lemma_sort')}) AS variant FROM v2_entry WHERE lemma_sort <> '') SELECT DISTINCT v.word, l.lemma AS match, levenshtein(v.word, l.lemma)::INTEGER AS distance FROM v JOIN ls_entries l ON l.lemma = v.variant""")
+_PREFIXES = "['ab', 'ad', 'con', 'de', 'dis', 'ex', 'in', 'inter', 'ob', 'per', 'post', 'prae', 'pro', 're', 'sub', 'super', 'trans']"
+_SWAPPED = (
+    "[{0}, replace({0}, 'o', 'u'), replace({0}, 'u', 'o'), replace({0}, 'rn', 'm'), replace({0}, 'm', 'rn'), replace({0}, 'cl', 'd'), replace({0}, 'd', 'cl'), "
+    "replace({0}, 'æ', 'ae'), replace({0}, 'œ', 'oe'), replace({0}, 'j', 'i'), replace({0}, 'v', 'u'), replace({0}, 'ſ', 's')]"
+)
+_VARIANTS = f"""words AS (SELECT DISTINCT lemma_sort AS word FROM v2_entry WHERE lemma_sort <> ''),
+seeds AS (SELECT word, word AS s FROM words UNION SELECT word, CASE WHEN starts_with(word, p || '-') THEN p || substr(word, length(p) + 2) ELSE p || '-' || substr(word, length(p) + 1) END
+  FROM words, (SELECT unnest({_PREFIXES}) AS p) WHERE starts_with(word, p) AND length(word) > length(p)),
+once AS (SELECT DISTINCT word, unnest({_SWAPPED.format('s')}) AS v FROM seeds), twice AS (SELECT DISTINCT word, unnest({_SWAPPED.format('v')}) AS v FROM once),
+met AS (SELECT DISTINCT t.word, l.lemma AS match FROM twice t JOIN ls_entries l ON l.lemma = t.v WHERE l.lemma <> '')"""
+
+
+@query(f"""WITH {_VARIANTS} SELECT word, match, levenshtein(word, match)::INTEGER AS distance FROM met""")
 def ocr_variants_join(spark: SparkSession, d: str) -> DataFrame:
     return fuzzy.variant_matches(load(spark, d, "v2_entry"), "lemma_sort", load(spark, d, "ls_entries"), "lemma").select("word", "match", "distance")
 
@@ -459,14 +485,34 @@ def bigram_matches(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def close_matches(spark: SparkSession, d: str) -> DataFrame:
-    return fuzzy.close_matches(load(spark, d, "v2_entry"), "lemma_sort", load(spark, d, "ls_entries"), "lemma", 3, 0.7, same_initial=False)
+    return fuzzy.close_matches(load(spark, d, "v2_entry"), "lemma_sort", load(spark, d, "ls_entries"), "lemma", 3, 0.7)
 
 
-@query()
+_PAIR_RATIO = f"len(list_intersect({_BIGRAMS.format('word')}, {_BIGRAMS.format('match')}))::DOUBLE / len(list_distinct({_BIGRAMS.format('word')} || {_BIGRAMS.format('match')}))"
+_CLASS = "CASE WHEN {0} IN ('NOUN', 'PROPN', 'N', 'S') THEN 'NOUN' WHEN {0} IN ('VERB', 'V') THEN 'VERB' WHEN {0} IN ('ADJ', 'A') THEN 'ADJ' WHEN {0} = 'ADV' THEN 'ADV' ELSE 'UNK' END"
+_KEY = "regexp_replace(regexp_replace(translate(lower(strip_accents({0})), 'jv', 'iu'), '[.,;:!?\\[\\](){{}}*_-]', '', 'g'), '\\s+', '', 'g')"
+
+
+@query(f"""WITH {_VARIANTS}, s AS (SELECT word, match, {_PAIR_RATIO} AS ratio, levenshtein(word, match) AS dist FROM met), b AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY round(ratio, 6) DESC, dist, match) AS k FROM s),
+n AS (SELECT entry_id, lemma_sort, definicao, {_CLASS.format("upper(trim(pos))")} AS old_pos, lag(lemma_sort) OVER w AS prev, lead(lemma_sort) OVER w AS nxt FROM v2_entry WINDOW w AS (ORDER BY lemma_sort, entry_id)),
+l AS (SELECT lemma, min({_CLASS.format("upper(trim(regexp_replace(pos, '[.].*', '')))")}) AS new_pos FROM ls_entries GROUP BY 1),
+g AS (SELECT n.entry_id, b.word, b.match, CASE WHEN b.ratio >= 0.85 THEN 'high' ELSE 'med' END AS conf, b.ratio, (starts_with(word, '-') OR ends_with(word, '-')) = (starts_with(match, '-') OR ends_with(match, '-')) OR {_KEY.format('word')} = {_KEY.format('match')} AS ok_affix,
+  n.prev IS NULL OR n.nxt IS NULL OR lower(strip_accents(b.match)) BETWEEN lower(strip_accents(n.prev)) AND lower(strip_accents(n.nxt)) AS ok_span,
+  n.old_pos = 'UNK' OR l.new_pos = 'UNK' OR n.old_pos = l.new_pos OR (n.old_pos IN ('NOUN', 'ADJ') AND l.new_pos IN ('NOUN', 'ADJ') AND len(list_filter(['people', 'orum', 'civitas', 'urbs', 'flumen', 'gentilic', 'populus', 'povo', 'cidade', 'rio', 'gentílico', 'gentilício'], lambda x: contains(lower(coalesce(n.definicao, '')), x))) > 0) AS ok_pos
+  FROM n JOIN b ON b.word = n.lemma_sort AND b.k = 1 JOIN l ON l.lemma = b.match),
+v AS (SELECT *, ratio >= CASE conf WHEN 'high' THEN 0.35 ELSE 0.5 END AS ok_similar FROM g)
+SELECT entry_id, match, ok_affix, ok_similar, ok_span, ok_pos, CASE WHEN ok_affix AND ok_similar AND ok_span THEN CASE WHEN ok_pos THEN conf WHEN conf = 'high' THEN 'med' ELSE 'low' END ELSE 'reject' END AS verdict FROM v""")
 def gates_chain(spark: SparkSession, d: str) -> DataFrame:
-    pairs = fuzzy.variant_matches(load(spark, d, "v2_entry"), "lemma_sort", load(spark, d, "ls_entries"), "lemma", 2)
-    best = fuzzy.best_match(pairs, "word").withColumn("conf", F.when(F.col("ratio") >= 0.85, "high").otherwise("med"))
-    return fuzzy.gates(best, "word", "match", "conf", F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit("UNK"), F.lit("UNK"))
+    """Gates of the best spelling variant of every headword, with its real neighbours and word classes."""
+    e = load(spark, d, "v2_entry").select("entry_id", "lemma_sort", "definicao", "pos")
+    x = load(spark, d, "ls_entries")
+    cls = lambda c: F.when(c.isin("NOUN", "PROPN", "N", "S"), "NOUN").when(c.isin("VERB", "V"), "VERB").when(c.isin("ADJ", "A"), "ADJ").when(c == "ADV", "ADV").otherwise("UNK")
+    best = fuzzy.best_match(fuzzy.variant_matches(e, "lemma_sort", x, "lemma"), "word").withColumn("conf", F.when(F.col("ratio") >= 0.85, "high").otherwise("med"))
+    other = x.groupBy(F.col("lemma").alias("match")).agg(F.min(cls(F.upper(F.trim(F.regexp_replace("pos", r"[.].*", ""))))).alias("new_pos"))
+    near = windows.neighbours(e, ["lemma_sort", "entry_id"], "lemma_sort", 1).withColumnRenamed("lemma_sort", "word")
+    rows = near.join(best, "word").join(other, "match")
+    g = fuzzy.gates(rows, "word", "match", "conf", F.get("prev", F.lit(0)), F.get("next", F.lit(0)), cls(F.upper(F.trim("pos"))), F.col("new_pos"), fuzzy.gentilic(F.col("definicao")))
+    return g.select("entry_id", "match", "ok_affix", "ok_similar", "ok_span", "ok_pos", "verdict")
 
 
 @query("""WITH q AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 100 = 0), c AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
@@ -483,9 +529,20 @@ def dup_groups(spark: SparkSession, d: str) -> DataFrame:
     return dedupe.clusters(load(spark, d, "v2_entry"), F.col("lemma_sort"))
 
 
-@query("""SELECT lemma_sort AS key, count(*) AS n, CASE WHEN count(DISTINCT coalesce(morph_render, '~') || '#' || coalesce(definicao, '~')) = 1 THEN 'AUTO_KEEP_ALL' WHEN count(DISTINCT upper(trim(pos))) > 1 THEN 'AUTO_HOMONYMS_KEEP' ELSE 'REVIEW' END AS gate FROM v2_entry WHERE coalesce(lemma_sort, '') <> '' GROUP BY 1 HAVING count(*) > 1""")
+@query("""SELECT lemma_sort AS key, count(*) AS n, CASE WHEN count(DISTINCT coalesce(morph_render, '~') || '#' || coalesce(definicao, '~')) = 1 THEN 'AUTO_KEEP_ALL' WHEN count(DISTINCT nullif(upper(trim(pos)), 'UNK')) > 1 AND max((lemma_sort IN (SELECT lemma FROM ls_entries WHERE lemma IS NOT NULL))::INT) = 1 THEN 'AUTO_HOMONYMS_KEEP' ELSE 'REVIEW' END AS gate FROM v2_entry WHERE coalesce(lemma_sort, '') <> '' GROUP BY 1 HAVING count(*) > 1""")
 def cluster_gates(spark: SparkSession, d: str) -> DataFrame:
-    return dedupe.cluster_gates(load(spark, d, "v2_entry"), F.col("lemma_sort"), ["morph_render", "definicao"], F.upper(F.trim("pos"))).select("key", "n", "gate")
+    return _gated(spark, d).select("key", "n", "gate")
+
+
+def _gated(spark: SparkSession, d: str) -> DataFrame:
+    return dedupe.cluster_gates(load(spark, d, "v2_entry"), F.col("lemma_sort"), ["morph_render", "definicao"], F.upper(F.trim("pos")), load(spark, d, "ls_entries").select("lemma"))
+
+
+@query("""WITH g AS (SELECT lemma_sort AS key FROM v2_entry WHERE coalesce(lemma_sort, '') <> '' GROUP BY 1 HAVING count(DISTINCT coalesce(morph_render, '~') || '#' || coalesce(definicao, '~')) > 1 AND count(DISTINCT nullif(upper(trim(pos)), 'UNK')) > 1),
+k AS (SELECT g.key FROM g SEMI JOIN ls_entries l ON l.lemma = g.key), r AS (SELECT k.key, e.entry_id, row_number() OVER (PARTITION BY k.key ORDER BY e.entry_id) AS n FROM k JOIN v2_entry e ON e.lemma_sort = k.key)
+SELECT key, entry_id, ['I', 'II', 'III', 'IV', 'V'][least(n, 5)] AS canonical_group FROM r""")
+def homonym_labels(spark: SparkSession, d: str) -> DataFrame:
+    return dedupe.homonyms(load(spark, d, "v2_entry"), "lemma_sort", "entry_id", _gated(spark, d)).select("key", "entry_id", "canonical_group")
 
 
 _DECIDED = """SELECT lemma_sort AS g, id, entry_id, min(entry_id) OVER (PARTITION BY lemma_sort) AS m, min(id) OVER (PARTITION BY lemma_sort) AS t, count(*) OVER (PARTITION BY lemma_sort) AS c FROM v2_entry"""
@@ -494,12 +551,24 @@ _DECIDED = """SELECT lemma_sort AS g, id, entry_id, min(entry_id) OVER (PARTITIO
 @query(f"""SELECT g AS group_id, id, CASE WHEN entry_id % 11 = 0 THEN 'manual' WHEN entry_id % 13 = 0 THEN 'drop' WHEN entry_id = m THEN 'keep' ELSE 'redirect' END AS action,
 CASE WHEN c < 2 THEN 'group_below_min_size' WHEN entry_id % 11 = 0 THEN 'manual_skipped' WHEN entry_id % 13 = 0 THEN 'unknown_action:drop' WHEN entry_id = m THEN NULL WHEN entry_id % 5 = 0 THEN 'redirect_missing_target' WHEN t = id THEN 'redirect_to_self' END AS reason FROM ({_DECIDED})""")
 def dedupe_validate(spark: SparkSession, d: str) -> DataFrame:
+    return _decided(spark, d).select("group_id", "id", "action", "reason")
+
+
+def _decided(spark: SparkSession, d: str) -> DataFrame:
     e = load(spark, d, "v2_entry").select(F.col("lemma_sort").alias("group_id"), "id", "entry_id")
     top = e.groupBy("group_id").agg(F.min("entry_id").alias("m"), F.min("id").alias("t"))
     x = e.join(top, "group_id")
     action = F.when(F.col("entry_id") % 11 == 0, "manual").when(F.col("entry_id") % 13 == 0, "drop").when(F.col("entry_id") == F.col("m"), "keep").otherwise("redirect")
     made = x.select("group_id", "id", action.alias("action"), F.when((action == "redirect") & (F.col("entry_id") % 5 != 0), F.col("t")).alias("redirect_to"))
-    return dedupe.validate_decisions(made, e.select("group_id", "id")).select("group_id", "id", "action", "reason")
+    return dedupe.validate_decisions(made, e.select("group_id", "id"))
+
+
+@query(f"""WITH v AS (SELECT g AS group_id, CASE WHEN entry_id % 11 = 0 THEN 'manual' WHEN entry_id % 13 = 0 THEN 'drop' WHEN entry_id = m THEN 'keep' ELSE 'redirect' END AS action,
+CASE WHEN c < 2 THEN 'small' WHEN entry_id % 11 = 0 THEN 'manual_skipped' WHEN entry_id % 13 = 0 THEN 'unknown' WHEN entry_id = m THEN NULL WHEN entry_id % 5 = 0 THEN 'target' WHEN t = id THEN 'self' END AS reason FROM ({_DECIDED}) WHERE g IS NOT NULL),
+p AS (SELECT count_if(reason IS NULL AND action = 'keep') AS k, count_if(reason IS NULL AND action = 'redirect') AS r, count_if(reason = 'manual_skipped') AS m, count_if(reason IS NOT NULL AND reason <> 'manual_skipped') AS f FROM v GROUP BY group_id)
+SELECT sum(k)::BIGINT AS kept, sum(r)::BIGINT AS redirects, sum(m)::BIGINT AS manual, sum(f)::BIGINT AS refused, count_if(f = 0) AS groups_ok FROM p""")
+def decision_counts(spark: SparkSession, d: str) -> DataFrame:
+    return dedupe.decision_counts(_decided(spark, d))
 
 
 @query("""SELECT entry_id, CASE WHEN h THEN 'v. corr.' ELSE morph_render END AS morph_render, CASE WHEN h AND lower(trim(conf)) = 'high' THEN conf WHEN h THEN 'med' ELSE conf END AS conf,

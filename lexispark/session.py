@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,22 +35,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _WRITTEN: list[tuple[object, str]] = []
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in the shared place, removed when the program ends or ``release`` is called."""
+    path = f"{ensure_checkpoint_dir(spark)}/lexispark-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a compressed table in the shared folder and read it back.
 
     The plan is cut, later stages read columns they need, and the rows survive lost executors. Tables are removed when
-    the program ends.
+    the program ends, or earlier by ``release``.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/lexispark-{uuid.uuid4().hex}"
+    path = shared_folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates() -> Iterator[None]:
+    """Tables written inside the block are removed at its end: results must have been read or written by then."""
+    mark = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        release(mark)
 
 
-@atexit.register
-def _remove_written() -> None:
-    while _WRITTEN:
+def release(mark: int = 0) -> None:
+    """Remove the tables written since ``mark`` tables were there."""
+    while len(_WRITTEN) > mark:
         spark, path = _WRITTEN.pop()
         try:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -57,6 +74,9 @@ def _remove_written() -> None:
             return
 
 
+atexit.register(release)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package's modules travel by value inside Python functions sent to executors.
 

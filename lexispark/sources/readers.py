@@ -117,8 +117,11 @@ def html_text(c: Column) -> Column:
 
 
 def decode_bytes(c: Column) -> Column:
-    """UTF-8 where valid, else Latin-1."""
-    return F.when(F.is_valid_utf8(c.cast("string")), F.decode(c, "UTF-8")).otherwise(F.decode(c, "ISO-8859-1"))
+    """UTF-8 where valid, else Windows-1252, else (bytes that it leaves undefined) Latin-1."""
+    latin = F.decode(c, "ISO-8859-1")
+    windows = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+    other = F.when(latin.rlike(r"[\x81\x8D\x8F\x90\x9D]"), latin).otherwise(F.translate(latin, "".join(windows), "".join(windows.values())))
+    return F.when(F.is_valid_utf8(c.cast("string")), F.decode(c, "UTF-8")).otherwise(other)
 
 
 class _Slice(InputPartition):

@@ -4,7 +4,7 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from lexispark.operators.search import parse_query, postings, search, snippet, tokens
+from lexispark.operators.search import open_index, parse_query, postings, search, search_index, snippet, tokens, write_index
 
 ROWS = [(1, "O navio do rio, e o Navio.", "mar"), (2, "Porto e navio: o rio leva o navio ao porto.", None), (3, "A cerimônia da neve", "navio"), (4, None, None), (5, "navios navegam; rio", "rio"), (6, "", "x")]
 
@@ -14,19 +14,38 @@ def docs(spark):
     return spark.createDataFrame(ROWS, "id int, a string, b string")
 
 
+@pytest.fixture(scope="module")
+def index(spark, docs, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("index"))
+    write_index(docs, "id", ["a", "b"], folder)
+    return open_index(spark, folder, ["a", "b"])
+
+
 @pytest.mark.parametrize(
     "query",
     ["navio", "navio rio", "navio AND rio", "navio OR neve", "navio NOT porto", "(navio OR neve) NOT rio", "nav*", '"o navio"', "o + navio", "NEAR(navio porto, 2)", "NEAR(rio navio, 1)", "b : navio", "a : (navio OR neve)", "^o", "cerimonia", '"rio leva" OR mar'],
 )
-def test_matches_and_scores_equal_an_fts5_table(docs, query):
+def test_matches_and_scores_equal_an_fts5_table(docs, index, query):
     db = sqlite3.connect(":memory:")
     db.execute("CREATE VIRTUAL TABLE t USING fts5(a, b, tokenize='unicode61 remove_diacritics 2')")
     db.executemany("INSERT INTO t(rowid, a, b) VALUES (?, ?, ?)", ROWS)
     want = {r[0]: r[1] for r in db.execute("SELECT rowid, bm25(t) FROM t WHERE t MATCH ?", (query,))}
-    got = {r.id: r.score for r in search(docs, query, ["a", "b"], ["id"]).collect()}
-    assert set(got) == set(want)
-    for k, v in want.items():
-        assert math.isclose(got[k], v, abs_tol=2e-6)
+    scanned = {r.id: r.score for r in search(docs, query, ["a", "b"], ["id"]).collect()}
+    looked_up = {r.doc: r.score for r in search_index(index, query).collect()}
+    for got in (scanned, looked_up):
+        assert set(got) == set(want)
+        for k, v in want.items():
+            assert math.isclose(got[k], v, abs_tol=2e-6)
+
+
+def test_index_reads_only_postings_of_the_terms(index):
+    plan = search_index(index, "navio OR nev*")._jdf.queryExecution().toString()
+    assert "EqualTo(term,navio)" in plan and "StringStartsWith(term,nev)" in plan and "PushedFilters" in plan
+
+
+def test_index_of_an_empty_table(spark, docs, tmp_path):
+    write_index(docs.limit(0), "id", ["a", "b"], str(tmp_path))
+    assert search_index(open_index(spark, str(tmp_path), ["a", "b"]), "navio").count() == 0
 
 
 @pytest.mark.parametrize("bad", ["(navio", "navio AND", "NEAR(a b", "OR x", '"abc'])

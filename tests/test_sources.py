@@ -39,6 +39,9 @@ def test_tei(spark, tmp_path):
 def test_html_and_bytes(spark):
     r = spark.range(1).select(readers.html_grammar(F.lit('<b>x</b><span class="g">Subst. <i>f</i></span>')), readers.html_text(F.lit("<p>a&amp;b</p><script>z</script> c")), readers.decode_bytes(F.lit(bytearray(b"caf\xe9"))), readers.decode_bytes(F.lit(bytearray("é".encode())))).first()
     assert tuple(r) == ("Subst.  f", "a&b c", "café", "é")
+    odd = [b"a\x93b\x94", b"x\x81\x93", b"\x80", b"plain"]
+    got = spark.createDataFrame([(bytearray(b),) for b in odd], "b binary").select(readers.decode_bytes(F.col("b"))).collect()
+    assert [r[0] for r in got] == ["a\u201cb\u201d", "x\x81\x93", "€", "plain"]
 
 
 def test_sqlite_source(spark, tmp_path):
