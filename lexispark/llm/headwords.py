@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexispark.functions.fold import fold
-from lexispark.llm.visual import LATIN_LOOKALIKES
+from lexispark.llm.visual import LOOKALIKES
 
 # Words between two spellings of one headword.
 ALTERNATIVE = r" (?:vel|seu|sive|aut|or|ou) "
@@ -17,7 +17,7 @@ def clean_form(c: Column) -> Column:
     """Lower-case headword without accents, look-alike letters, invisible characters and odd blanks."""
     wide = "".join(chr(x) for x in range(0xFF01, 0xFF5F))
     plain = "".join(chr(x - 0xFEE0) for x in range(0xFF01, 0xFF5F))
-    alike = LATIN_LOOKALIKES
+    alike = LOOKALIKES
     x = F.translate(F.regexp_replace(c, r"\p{Cf}+", ""), wide + "".join(alike), plain + "".join(alike.values()))
     x = F.replace(F.replace(x, F.lit("ﬁ"), F.lit("fi")), F.lit("ﬂ"), F.lit("fl"))
     return F.trim(F.regexp_replace(F.lower(fold(x)), r"(?U)[\s\p{Z}]+", " "))

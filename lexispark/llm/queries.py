@@ -11,7 +11,7 @@ from lexispark.llm.mixing import Mix
 from lexispark.llm.scanned import PageText, noise, repaired
 from lexispark.llm.survivor import survivors, surviving_records
 from lexispark.llm.truncation import truncated, truncation_report
-from lexispark.llm.visual import DASHES, LATIN_LOOKALIKES, consistent_texts, inconsistent_rows
+from lexispark.llm.visual import DASHES, LOOKALIKES, consistent_texts, inconsistent_rows
 from lexispark.session import load
 
 
@@ -47,8 +47,7 @@ def _form_arrays(spark: SparkSession, sf_dir: str):
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [inconsistent_rows(*x) for x in _form_arrays(spark, sf_dir)]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    return inconsistent_rows(*_form_arrays(spark, sf_dir))
 
 
 def p4_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +106,7 @@ QUERIES = {
 def _consistent_sql(text: str) -> str:
     wide = "".join(chr(x) for x in range(0xFF01, 0xFF5F))
     plain = "".join(chr(x - 0xFEE0) for x in range(0xFF01, 0xFF5F)).replace("'", "''")
-    letters, latin = "".join(LATIN_LOOKALIKES), "".join(LATIN_LOOKALIKES.values())
+    letters, latin = "".join(LOOKALIKES), "".join(LOOKALIKES.values())
     x = f"regexp_replace({text}, '[\\p{{Cf}}]', '', 'g')"
     x = f"translate({x}, '{wide}{DASHES}', '{plain}{'-' * len(DASHES)}')"
     x = f"replace(replace({x}, 'ﬁ', 'fi'), 'ﬂ', 'fl')"

@@ -1,19 +1,24 @@
 """One consistent spelling for texts that look alike.
 
-Method: distinct texts are exploded to positioned code points; a broadcast join maps each to its decomposition or plain
-look-alike; marks are ordered by combining class, letters recomposed with their marks by a second broadcast join, and
-the strings rebuilt. Both tables come from the Unicode database and have a fixed size (some thousand rows), whatever
-the data. Texts made of consistent characters only are recognised by one pattern and skip the explosion.
+Method: distinct texts are exploded to positioned code points. A broadcast join maps each to its decomposition, combining
+class and plain look-alike; words wholly in Greek letters keep their letters. Marks are ordered by class within the
+cluster of their letter; a second broadcast join brings the compositions that the letter can enter, the cluster is
+recomposed, and the strings are rebuilt. Both tables come from the Unicode database (all planes; Hangul syllables are
+left as they are) and have a fixed size, whatever the data. Texts made of consistent characters only are recognised by
+one pattern and skip the explosion.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexispark.functions.strings import let
 from lexispark.operators.skew import spread_join
 from lexispark.session import cut
 
@@ -23,10 +28,15 @@ LATIN_LOOKALIKES = {
     "а": "a", "в": "b", "е": "e", "і": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "ѕ": "s", "т": "t", "у": "y", "х": "x",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "α": "a", "β": "b", "γ": "y", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t", "υ": "u", "χ": "x", "ω": "w",
-    "ı": "i", "ȷ": "j", "ſ": "s", "ɑ": "a", "ɡ": "g", "ɩ": "i",
+    "ı": "i", "ȷ": "j", "ſ": "s", "ɑ": "a", "ɡ": "g", "ɩ": "i", "ӏ": "l", "ԁ": "d", "ԛ": "q", "ԝ": "w", "һ": "h", "ո": "n", "ս": "u", "օ": "o", "հ": "h", "Օ": "O", "Տ": "S",
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H",
+    "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
 }
+# Small capitals of the Latin script by their names.
+SMALL_CAPITALS = {chr(x): unicodedata.name(chr(x))[-1].lower() for x in range(0x250, 0x1E00) if re.fullmatch("LATIN LETTER SMALL CAPITAL [A-Z]", unicodedata.name(chr(x), ""))}
+LOOKALIKES = LATIN_LOOKALIKES | SMALL_CAPITALS
 DASHES = "‐‑‒–—―−﹘﹣－"
-GREEK_WORD = r"^[\p{IsGreek}\p{Mn}]*\p{IsGreek}[\p{IsGreek}\p{Mn}]+$"
 
 def _plain_pattern() -> str:
     """Pattern of the texts that are consistent as they stand: ASCII signs, composed Latin letters, single inner blanks."""
@@ -34,7 +44,7 @@ def _plain_pattern() -> str:
     def fits(code: int) -> bool:
         c = chr(code)
         latin = unicodedata.category(c)[0] == "L" and unicodedata.name(c, "").startswith("LATIN") and unicodedata.normalize("NFKC", c) == c
-        return 0x21 <= code <= 0x7E or c in "ªº" or (latin and c not in LATIN_LOOKALIKES)
+        return 0x21 <= code <= 0x7E or c in "ªº" or (latin and c not in LOOKALIKES)
 
     codes = [x for x in range(0x21, 0x1F00) if fits(x)]
     starts = [x for x in codes if x - 1 not in set(codes)]
@@ -48,44 +58,51 @@ PLAIN = _plain_pattern()
 
 
 @lru_cache(maxsize=1)
-def character_rows() -> tuple[list[tuple[str, int, str, int]], list[tuple[str, str, str]]]:
-    """(character, part number, part, combining class) of decompositions, and (letter, mark, composed letter)."""
+def character_rows() -> tuple[list[tuple], list[tuple[str, str, str, str]]]:
+    """(character, part number, part, combining class, look-alike, Greek) of every character that is not plain, and
+    (root letter, letter, mark, composed letter) of all compositions."""
     parts, composed = [], []
-    for code in [*range(0x20, 0x3100), *range(0xFB00, 0xFB50), *range(0xFE00, 0xFFF0)]:
+
+    def add(c: str, n: int, part: str) -> None:
+        parts.append((c, n, part, unicodedata.combining(part) if part else 0, LOOKALIKES.get(part), unicodedata.name(part, "").startswith("GREEK") if part else False, unicodedata.category(part) == "Mn" if part else False))
+
+    for code in range(0x80, 0x110000):
         c = chr(code)
         kind = unicodedata.category(c)
-        if kind in ("Cn", "Cs", "Co"):
+        if kind in ("Cn", "Cs", "Co") or 0xAC00 <= code <= 0xD7A3:
             continue
         if kind in ("Cf", "Cc") or 0xFE00 <= code <= 0xFE0F:
-            blank = " " if c in "\t\n\r" else ""
-            parts.append((c, 0, blank, 0))
-            continue
-        if kind in ("Zs", "Zl", "Zp"):
-            if c != " ":
-                parts.append((c, 0, " ", 0))
-            continue
-        if c in DASHES:
-            parts.append((c, 0, "-", 0))
-            continue
-        keeps = c in "ªº" or unicodedata.decomposition(c).startswith(("<fraction>", "<super>", "<sub>"))
-        plain = unicodedata.normalize("NFD" if keeps else "NFKD", c)
-        if unicodedata.category(c).startswith("M") or plain != c or unicodedata.combining(c):
-            parts.extend((c, i, p, unicodedata.combining(p)) for i, p in enumerate(plain))
-        two = unicodedata.normalize("NFD", c)
-        if len(unicodedata.decomposition(c).split()) == 2 and not unicodedata.decomposition(c).startswith("<") and unicodedata.normalize("NFC", two) == c:
-            a, b = (chr(int(x, 16)) for x in unicodedata.decomposition(c).split())
-            composed.append((a, b, c))
+            add(c, 0, "")
+        elif kind in ("Zs", "Zl", "Zp"):
+            add(c, 0, " ")
+        elif c in DASHES:
+            add(c, 0, "-")
+        else:
+            keeps = c in "ªº" or unicodedata.decomposition(c).startswith(("<fraction>", "<super>", "<sub>"))
+            plain = unicodedata.normalize("NFD" if keeps else "NFKD", c)
+            if plain != c or kind[0] == "M" or c in LOOKALIKES or unicodedata.name(c, "").startswith("GREEK"):
+                for i, p in enumerate(plain):
+                    add(c, i, p)
+        two = unicodedata.decomposition(c).split()
+        if len(two) == 2 and not two[0].startswith("<") and unicodedata.normalize("NFC", unicodedata.normalize("NFD", c)) == c:
+            a, b = (chr(int(x, 16)) for x in two)
+            composed.append((unicodedata.normalize("NFD", c)[0], a, b, c))
+    for c in (chr(x) for x in range(0x20)):
+        add(c, 0, " " if c in "\t\n\r" else "")
     return parts, composed
 
 
-def _tables(spark: SparkSession) -> tuple[DataFrame, Column, Column, Column]:
+def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """Code points, and compositions by root letter, as tables of fixed size."""
     parts, composed = character_rows()
-    table = spark.createDataFrame(parts, "ch string, n int, part string, ccc int")
-    pairs = F.create_map(*[F.lit(x) for a, b, c in composed if b != "" for x in (a + b, c)])
-    alike = F.create_map(*[F.lit(x) for a, b in LATIN_LOOKALIKES.items() for x in (a, b)])
-    marks = {p: ccc for _, _, p, ccc in parts if ccc}
-    classes = F.create_map(*[F.lit(x) for m, c in marks.items() for x in (m, c)])
-    return table, pairs, alike, classes
+    names = ["ch", "n", "part", "ccc", "alike", "greek", "mark"]
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
+    table = spark.createDataFrame(pa.table([pa.array(list(c), k) for c, k in zip(zip(*parts), kinds)], names=names))
+    by_root: dict[str, list[tuple[str, str]]] = {}
+    for root, a, b, c in composed:
+        by_root.setdefault(root, []).append((a + b, c))
+    pairs = spark.createDataFrame(pa.table({"root": pa.array(list(by_root)), "pairs": pa.array(list(by_root.values()), pa.map_(pa.string(), pa.string()))}))
+    return table, pairs
 
 
 def consistent_texts(texts: DataFrame, column: str = "text") -> DataFrame:
@@ -96,38 +113,35 @@ def consistent_texts(texts: DataFrame, column: str = "text") -> DataFrame:
     wholly in Greek letters (two or more) stay Greek. Null texts give no row; an empty text is consistent; a text of
     invisible characters or blanks alone becomes the empty text. Case and vowel marks are kept.
     """
-    spark = texts.sparkSession
-    table, pairs, alike, classes = _tables(spark)
+    table, pairs = _tables(texts.sparkSession)
     suspects = texts.select(F.col(column).alias("text")).where(F.col("text").isNotNull() & ~F.col("text").rlike(PLAIN)).distinct().withColumn("key", F.md5("text"))
     points = suspects.select("key", F.posexplode(F.split("text", "")).alias("pos", "ch"))
-    parts = points.join(F.broadcast(table), "ch", "left").select("key", "pos", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("part", "ch").alias("part"))
-    # one row a code point, so a text is rebuilt from no more rows than it has letters
-    spelt = parts.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "n", "part"))).alias("seq"))
-
-    flat = F.array_join(F.transform("seq", lambda x: x["part"]), "")
-    spelt = spelt.select("key", F.trim(F.regexp_replace(flat, " +", " ")).alias("flat"))
-
-    def latin(word: Column) -> Column:
-        """A word in Greek letters alone stays as it is, elsewhere look-alikes become Latin."""
-        return F.when(word.rlike(GREEK_WORD), word).otherwise(F.array_join(F.transform(F.split(word, ""), lambda ch: F.coalesce(alike[ch], ch)), ""))
-
-    def composed(cluster: Column) -> Column:
-        """A letter and its marks: marks ordered by class, then composed with the letter unless a mark between blocks them."""
-        chars = F.split(cluster, "")
-        marks = F.array_sort(F.transform(F.slice(chars, 2, F.size(chars)), lambda m, i: F.struct(F.coalesce(classes[m], F.lit(0)).alias("c"), i.alias("i"), m.alias("m"))))
-        state = lambda base, rest, c: F.struct(base.alias("base"), rest.alias("rest"), c.alias("c"))
-
-        def step(acc: Column, x: Column) -> Column:
-            joined = F.when((acc["rest"] == "") | (acc["c"] < x["c"]), pairs[F.concat(acc["base"], x["m"])])
-            return F.when(joined.isNotNull(), state(joined, acc["rest"], acc["c"])).otherwise(state(acc["base"], F.concat(acc["rest"], x["m"]), x["c"]))
-
-        end = F.aggregate(marks, state(F.get(chars, F.lit(0)), F.lit(""), F.lit(0)), step)
-        return F.concat(end["base"], end["rest"])
-
-    words = F.array_join(F.transform(F.split("flat", " "), latin), " ")
-    clusters = F.regexp_extract_all(words, F.lit(r"(\P{Mn}\p{Mn}*+|\p{Mn}++)"), 1)
-    result = F.array_join(F.transform(clusters, lambda c: F.when(F.length(c) > 1, composed(c)).otherwise(c)), "")
-    return suspects.join(spelt.select("key", result.alias("consistent")), "key").select("text", "consistent").where(F.col("text") != F.col("consistent"))
+    parts = points.join(F.broadcast(table), "ch", "left").select(
+        "key", "pos", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("part", "ch").alias("part"), F.coalesce("ccc", F.lit(0)).alias("ccc"), "alike", F.coalesce("greek", F.lit(False)).alias("greek"), F.coalesce("mark", F.lit(False)).alias("mark")
+    ).where("part != ''")
+    # clusters of a letter and its marks, and words, counted along the text; all windows share the partitioning by text
+    along = Window.partitionBy("key").orderBy("pos", "n")
+    parts = parts.select("*", F.sum((F.col("ccc") == 0).cast("int")).over(along).alias("cluster"), F.sum((F.col("part") == " ").cast("int")).over(along).alias("word"))
+    word = Window.partitionBy("key", "word")
+    letter = (F.col("part") != " ").cast("int")
+    whole = (F.min(F.when(F.col("part") != " ", F.col("greek") | F.col("mark"))).over(word)) & (F.max("greek").over(word)) & (F.sum(letter).over(word) >= 2)
+    parts = parts.select("key", "cluster", "ccc", "pos", "n", F.when(F.coalesce(whole, F.lit(False)), F.col("part")).otherwise(F.coalesce("alike", "part")).alias("part"))
+    clusters = parts.groupBy("key", "cluster").agg(F.array_sort(F.collect_list(F.struct("ccc", "pos", "n", "part"))).alias("seq"))
+    clusters = clusters.withColumn("root", F.when(F.size("seq") > 1, F.col("seq")[0]["part"])).join(F.broadcast(pairs), "root", "left")
+
+    state = lambda base, rest, c: F.struct(base.alias("base"), rest.alias("rest"), c.alias("c"))
+
+    def step(acc: Column, x: Column) -> Column:
+        """A mark joins the letter unless a mark of its class was left between."""
+        joined = F.when((acc["rest"] == "") | (acc["c"] < x["ccc"]), F.col("pairs")[F.concat(acc["base"], x["part"])])
+        return F.when(joined.isNotNull(), state(joined, acc["rest"], acc["c"])).otherwise(state(acc["base"], F.concat(acc["rest"], x["part"]), x["ccc"]))
+
+    made = F.aggregate(F.slice("seq", 2, F.greatest(F.size("seq") - 1, F.lit(1))), state(F.col("seq")[0]["part"], F.lit(""), F.lit(0)), step)
+    spelt = clusters.select("key", "cluster", F.when(F.size("seq") == 1, F.col("seq")[0]["part"]).otherwise(let(made, lambda m: F.concat(m["base"], m["rest"]))).alias("part"))
+    line = spelt.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("cluster", "part"))).alias("seq"))
+    text = F.array_join(F.transform("seq", lambda x: x["part"]), "")
+    whole = line.select("key", F.trim(F.regexp_replace(text, " +", " ")).alias("consistent"))
+    return suspects.join(whole, "key", "left").select("text", F.coalesce("consistent", F.lit("")).alias("consistent")).where(F.col("text") != F.col("consistent"))
 
 
 def make_consistent(df: DataFrame, column: str, output: str = "consistent") -> DataFrame:
@@ -137,11 +151,15 @@ def make_consistent(df: DataFrame, column: str, output: str = "consistent") -> D
     return joined.withColumn(output, F.coalesce("__consistent", F.col(column))).drop("__consistent")
 
 
-def inconsistent_rows(df: DataFrame, key: str, texts: Column, tab: str) -> DataFrame:
-    """Rows ``(tab, rec_key)`` with a text out of the consistent spelling; ``texts`` is an array column.
+def inconsistent_rows(*sources: tuple[DataFrame, str, Column, str]) -> DataFrame:
+    """Rows ``(tab, rec_key)`` with a text out of the consistent spelling, of all sources in one pass.
 
-    Null keys or arrays give no row; a row delivered twice is reported once.
+    A source is (table, key column, array of texts, name). Null keys or arrays give no row; a row delivered twice is
+    reported once.
     """
-    single = df.select(F.col(key).cast("string").alias("rec_key"), F.explode(texts).alias("text")).where(F.col("rec_key").isNotNull() & ~F.col("text").rlike(PLAIN))
-    fixes = consistent_texts(single)
-    return spread_join(single, fixes.select("text"), "text", "left_semi").select(F.lit(tab).alias("tab"), "rec_key").distinct()
+    every = None
+    for df, key, texts, tab in sources:
+        part = df.select(F.lit(tab).alias("tab"), F.col(key).cast("string").alias("rec_key"), F.explode(texts).alias("text")).where(F.col("rec_key").isNotNull() & ~F.col("text").rlike(PLAIN))
+        every = part if every is None else every.unionByName(part)
+    single = cut(every)
+    return spread_join(single, consistent_texts(single).select("text"), "text", "left_semi").select("tab", "rec_key").distinct()

@@ -26,10 +26,10 @@ def test_result_is_a_fixed_point_and_composed(spark):
 
 def test_rows_with_clashing_names_nulls_and_repeats(spark):
     df = spark.createDataFrame([(1, "ａ", "x"), (1, "ａ", "x"), (2, None, "y"), (None, "ａ", ""), (3, "a", "")], "id bigint, text string, consistent string")
-    assert [(r.tab, r.rec_key) for r in inconsistent_rows(df, "id", F.array("text"), "t").collect()] == [("t", "1")]
+    assert [(r.tab, r.rec_key) for r in inconsistent_rows((df, "id", F.array("text"), "t")).collect()] == [("t", "1")]
     out = make_consistent(df, "text")
     assert sorted((r.id or 0, r.consistent or "") for r in out.collect()) == [(0, "a"), (1, "a"), (1, "a"), (2, ""), (3, "a")]
-    assert inconsistent_rows(df.limit(0), "id", F.array("text"), "t").count() == 0
+    assert inconsistent_rows((df.limit(0), "id", F.array("text"), "t")).count() == 0
 
 
 def test_long_text(spark):
@@ -41,3 +41,15 @@ def test_marks_compose_unless_blocked(spark):
     texts = ["a\u0330\u0301", "a\u0323\u0302", "a\u0302\u0323", "a\u0301\u0301", "\u0301a", "e\u0327\u0306"]
     got = {r.text: r.consistent for r in consistent_texts(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
     assert {t: got.get(t, t) for t in texts} == {t: unicodedata.normalize("NFC", t) for t in texts}
+
+
+def test_letters_beyond_the_first_planes(spark):
+    """Mathematical letters, Lisu and Cherokee letters, small capitals, circled letters: none passes as consistent."""
+    texts = {"n𝐚vis": "navis", "ꓮvis": "Avis", "ɴavis": "navis", "ᴍare": "mare", "Ꭺvis": "Avis", "𝓷avis": "navis", "ⓝavis": "navis", "navis한": None, "\uf900": unicodedata.normalize("NFKC", "\uf900")}
+    got = {r.text: r.consistent for r in consistent_texts(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert got == {k: v for k, v in texts.items() if v}
+
+
+def test_several_sources_in_one_pass(spark):
+    a, b = spark.createDataFrame([(1, "ａ")], "i int, t string"), spark.createDataFrame([("x", ["ａ", "a"]), ("y", ["a"]), ("z", None)], "k string, t array<string>")
+    assert {tuple(r) for r in inconsistent_rows((a, "i", F.array("t"), "a"), (b, "k", F.col("t"), "b")).collect()} == {("a", "1"), ("b", "x")}
