@@ -1,10 +1,12 @@
 """Repair of text extracted from scanned pages.
 
 Method: every line is classed (page furniture, article text) with array expressions, so no text is torn apart over a
-shuffle. Misread words are found with anagram hashes: the hash of a word is the sum of the fifth powers of its
-letters' codes, so a confusion of letters always changes it by the same difference. The differences of the known
-confusions, alone and in pairs, join rare words to frequent ones in SQL; candidates are verified by edit distance and
-ranked by frequency. Hyphens at line ends are judged by the corpus: where the two halves occur elsewhere as a hyphened
+shuffle; lines at the edges of pages that come back at the edges of other pages of the document are furniture as well,
+whatever they look like. Misread words are found with anagram hashes: the hash of a word is the sum of the fifth powers of
+its letters' codes, so a confusion of letters always changes it by the same difference. The differences of the known
+confusions, alone and in pairs, join rare words to frequent ones in SQL. Signs that no word of the language has need no
+known confusion: without them a form has the hash of a word less one or two letters. Candidates are verified by edit
+distance and ranked by frequency. Hyphens at line ends are judged by the corpus: where the two halves occur elsewhere as a hyphened
 word more often than as one word, the hyphen belongs to the word. A word broken without any mark is found where its halves
 make a known word and hardly occur alone.
 """
@@ -16,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.functions.fold import unaccent_lower
+from lexispark.functions.strings import let
 from lexispark.session import cut
 
 # What scanning makes of letters (true text, misread text).
@@ -26,9 +30,15 @@ CONFUSIONS = (
 )
 BREAK_MARKS = r"[-­¬=‐]"
 MIN_USES = 3
+LETTER_CODES = 4093  # codes are taken modulo this prime, so that words of any script stay in the range of BIGINT
 FREQUENT_SHARE = 20  # a word is rare against a variant that is this many times as frequent
 COMMON_WORDS = 5000  # the most frequent sound words are dropped before the exact join; the list has this fixed length
-MAX_PAGES = 12
+FIRST_PAGES = 12  # an article's page numbers may be this far from its first page, and one more for every
+LINES_PER_PAGE = 5  # so many of its lines
+EDGE_LINES = 2
+EDGE_PAGES = 3  # an edge line that comes back on so many pages of a document,
+EDGE_SHARE = 0.4  # and on this share of the pages from its first to its last, is furniture
+EDGE_LETTERS = 6
 HEADING = r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$"
 
 
@@ -50,7 +60,7 @@ def _upper_share(line: Column) -> Column:
     return F.when(letters > 0, F.length(F.regexp_replace(line, r"\P{Lu}+", "")) / letters).otherwise(F.lit(0.0))
 
 
-def line_kind(line: Column, page: Column, whole_page: bool) -> Column:
+def line_kind(line: Column, page: Column, whole_page: bool, line_no: Column) -> Column:
     """'blank', 'pagenum', 'header' or 'text'.
 
     A page number stands alone, in brackets, between dashes or after a word for page, and fits the page (within an
@@ -59,7 +69,7 @@ def line_kind(line: Column, page: Column, whole_page: bool) -> Column:
     """
     t = F.trim(F.regexp_replace(line, r"(?U)\s+", " "))
     number = F.try_to_number(F.nullif(F.regexp_extract(t, r"(?i)^(?:p\.|pp\.|pág\.|pag\.|página|pagina)?[ \[—–-]*(\d{1,6})[ \]—–-]*$", 1), F.lit("")), F.lit("999999"))
-    fits = page.isNull() | (number == page) if whole_page else page.isNull() | number.between(page - 1, page + MAX_PAGES)
+    fits = page.isNull() | (number == page) if whole_page else page.isNull() | number.between(page - 1, page + FIRST_PAGES + F.floor(line_no / LINES_PER_PAGE))
     rule = t.rlike(r"^[-—–_=*~ .]{4,}$") & ~t.rlike(r"^[. ]+$")
     # one or two letters of a line of capitals may be misread as small ones
     capitals = (F.length(F.regexp_replace(t, r"\P{L}+", "")) >= 6) & (_upper_share(t) >= 0.85) & ~t.rlike(r"[,;:()]") & ~t.rlike(r"\p{Ll}{2,}\.?$")
@@ -76,8 +86,26 @@ def classed_lines(p: PageText) -> DataFrame:
     base = base.where(F.col("rec_key").isNotNull() & F.col("body").isNotNull())
     if p.whole_page:
         base = base.dropDuplicates(["rec_key", "body"])
-    split = F.transform(F.split("body", "\n"), lambda x, i: F.struct((i + 1).cast("int").alias("line_no"), F.regexp_replace(x, r"[\r\s]+$", "").alias("line"), line_kind(x, F.col("page"), p.whole_page).alias("kind")))
-    return base.select("tab", "rec_key", "field", "doc", "page", split.alias("lines"))
+    split = F.transform(F.split("body", "\n"), lambda x, i: F.struct((i + 1).cast("int").alias("line_no"), F.regexp_replace(x, r"[\r\s]+$", "").alias("line"), line_kind(x, F.col("page"), p.whole_page, i + 1).alias("kind")))
+    classed = base.select("tab", "rec_key", "field", "doc", "page", split.alias("lines"))
+    return _with_edges(base, classed) if p.whole_page else classed
+
+
+def _with_edges(base: DataFrame, classed: DataFrame) -> DataFrame:
+    """Lines at the edges of pages that come back at the edges of their document's pages, close together, become headers.
+
+    Compared by their letters alone. Only the edges are read for it, and only the few lines that are not furniture by
+    their looks are carried along.
+    """
+    full = F.filter(F.transform(F.split("body", "\n"), lambda x, i: F.struct((i + 1).cast("int").alias("line_no"), x.alias("line"))), lambda x: F.trim(x["line"]) != "")
+    ends = let(full, lambda a: F.array_distinct(F.concat(F.slice(a, 1, EDGE_LINES), F.slice(a, F.greatest(F.size(a) - EDGE_LINES + 1, F.lit(1)), EDGE_LINES))))
+    rows = base.where(F.col("doc").isNotNull() & F.col("page").isNotNull()).select("rec_key", "doc", "page", F.explode(ends).alias("l")).select("rec_key", "doc", "page", "l.*")
+    rows = rows.select("rec_key", "doc", "page", "line_no", line_kind(F.col("line"), F.col("page"), True, F.col("line_no")).alias("kind"), F.regexp_replace(unaccent_lower(F.col("line")), r"\P{L}+", "").alias("letters"))
+    rows = rows.where(F.length("letters") >= EDGE_LETTERS).select("rec_key", "doc", "page", "line_no", "kind", F.xxhash64("letters").alias("letters"))
+    back = rows.groupBy("doc", "letters").agg(F.count_distinct("page").alias("pages"), (F.max("page") - F.min("page") + 1).alias("span"), F.max(F.col("kind") == "text").alias("asked")).where((F.col("pages") >= EDGE_PAGES) & (F.col("pages") >= EDGE_SHARE * F.col("span")) & F.col("asked")).select("doc", "letters")
+    heads = rows.where("kind = 'text'").join(back, ["doc", "letters"], "left_semi").groupBy("rec_key").agg(F.collect_set("line_no").alias("heads"))
+    marked = F.transform("lines", lambda x: F.when((x["kind"] == "text") & F.array_contains("heads", x["line_no"]), x.withField("kind", F.lit("header"))).otherwise(x))
+    return classed.join(cut(heads), "rec_key", "left").withColumn("lines", F.when(F.col("heads").isNotNull(), marked).otherwise(F.col("lines"))).drop("heads")
 
 
 def _ends_broken(line: Column) -> Column:
@@ -124,18 +152,26 @@ def words_of(line: Column) -> Column:
 
 
 def anagram_hash(word: Column) -> Column:
-    """Sum of the fifth powers of the code points of a word: equal for anagrams, shifted by a constant for a confusion."""
-    return F.aggregate(F.split(word, ""), F.lit(0).cast("bigint"), lambda a, c: a + F.when(c == "", F.lit(0).cast("bigint")).otherwise(_fifth(F.ascii(c).cast("bigint"))))
+    """Sum of the fifth powers of the codes of a word's letters: equal for anagrams, shifted by a constant for a confusion.
+
+    Null for texts without blanks so long that the sum leaves the range of BIGINT; they are no words.
+    """
+    return F.aggregate(F.filter(F.split(word, ""), lambda c: c != ""), F.lit(0).cast("bigint"), lambda a, c: F.try_add(a, letter_value(c)))
 
 
-def _fifth(x: Column) -> Column:
+def letter_value(c: Column) -> Column:
+    x = F.ascii(c).cast("bigint") % LETTER_CODES
     return x * x * x * x * x
 
 
+def text_value(text: str) -> int:
+    """The same of a Python string."""
+    return sum((ord(c) % LETTER_CODES) ** 5 for c in text)
+
+
 def hash_differences() -> list[tuple[int, int]]:
     """(difference, letters that may differ) of one or two known confusions; equal differences keep the larger bound."""
-    value = lambda s: sum(ord(c) ** 5 for c in s)
-    single = [(value(b) - value(a), max(len(a), len(b))) for a, b in CONFUSIONS]
+    single = [(text_value(b) - text_value(a), max(len(a), len(b))) for a, b in CONFUSIONS]
     out: dict[int, int] = {}
     for d, n in single:
         out[d] = max(out.get(d, 0), n)
@@ -155,11 +191,10 @@ def misread_words(counts: DataFrame, lexicon: DataFrame) -> DataFrame:
     Words of one letter are never corrected, words of two or three letters only where a digit or sign stands in them or
     a pair of letters was misread as one or the other way round.
     """
-    spark = counts.sparkSession
     known = lexicon.select("word").where(F.col("word").isNotNull()).distinct()
     sound = known.join(counts, "word", "left").select(F.col("word").alias("correction"), F.coalesce("uses", F.lit(0)).alias("right_uses")).withColumn("h", anagram_hash(F.col("correction")))
-    shifts = spark.createDataFrame(hash_differences(), "shift bigint, bound int")
-    keyed = sound.crossJoin(F.broadcast(shifts)).select("correction", "right_uses", "bound", (F.col("h") + F.col("shift")).alias("h"))
+    shifts = F.array(*[F.struct(F.lit(d).cast("bigint").alias("shift"), F.lit(b).alias("bound")) for d, b in hash_differences()])
+    keyed = sound.select("correction", "right_uses", "h", F.explode(shifts).alias("s")).select("correction", "right_uses", "s.bound", (F.col("h") + F.col("s.shift")).alias("h"))
     odd = counts.where(F.length("word") >= 2).join(known, "word", "left_anti").where(F.col("word").rlike(r"\p{L}") & ~F.col("word").rlike(r"^-|-$|[¬=­]")).withColumn("h", anagram_hash(F.col("word")))
     pairs = odd.join(keyed, "h").where((F.levenshtein("word", "correction") <= F.col("bound")) & (F.abs(F.length("word") - F.length("correction")) <= 2))
     pairs = pairs.where((F.col("right_uses") >= FREQUENT_SHARE * F.col("uses")) | F.col("word").rlike(r"[\d!þ]"))
@@ -167,9 +202,28 @@ def misread_words(counts: DataFrame, lexicon: DataFrame) -> DataFrame:
     pairs = pairs.where(~short | F.col("word").rlike(r"[\d!þ]") | ((F.length("word") != F.length("correction")) & (F.length("word") == 3)))
     # two edits in a short word would reach too far
     pairs = pairs.where((F.levenshtein("word", "correction") <= 1) | (F.length("correction") >= 5) | (F.length("word") != F.length("correction")) | F.col("word").rlike(r"[\d!þ]"))
+    pairs = pairs.select("word", "correction", "right_uses").unionByName(_foreign_signs(odd.select("word"), sound.select("correction", "right_uses", "h")))
     return pairs.groupBy("word").agg(F.max(F.struct("right_uses", "correction")).alias("best")).select("word", F.col("best")["correction"].alias("correction"))
 
 
+def _foreign_signs(odd: DataFrame, sound: DataFrame) -> DataFrame:
+    """Forms with one or two signs that no word of the language has, and the words they may stand for.
+
+    Without its foreign signs a form has the anagram hash of the word less one or two letters for each.
+    """
+    letters = sound.select(F.explode(F.split("correction", "")).alias("c")).where("c != ''").groupBy("c").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_USES)
+    alphabet = letters.agg(F.array_join(F.collect_set("c"), "").alias("alphabet"))  # one row: the letters of a language
+    rest = F.filter(F.split("word", ""), lambda c: (c == "") | F.contains(F.col("alphabet"), c))
+    bare = odd.crossJoin(F.broadcast(alphabet)).select("word", F.array_join(rest, "").alias("bare"), (F.length("word") - F.size(F.filter(rest, lambda c: c != ""))).alias("foreign"))
+    bare = bare.where(F.col("foreign").between(1, 2) & (F.length("bare") >= 3)).select("word", "foreign", anagram_hash(F.col("bare")).alias("h"))
+    codes = F.filter(F.split("correction", ""), lambda c: c != "")
+    one = F.transform(codes, letter_value)
+    two = F.flatten(F.transform(codes, lambda a, i: F.transform(F.slice(codes, i + 2, F.size(codes)), lambda b: letter_value(a) + letter_value(b))))
+    less = sound.where(F.length("correction") >= 4).select("correction", "right_uses", "h", F.explode(F.array_distinct(F.concat(one, two))).alias("v")).select("correction", "right_uses", (F.col("h") - F.col("v")).alias("h"))
+    met = bare.join(less, "h").where(F.levenshtein("word", "correction") <= 2)
+    return met.select("word", "correction", "right_uses").distinct()
+
+
 def lexicon_of(texts: DataFrame, column: str) -> DataFrame:
     """Words used at least MIN_USES times in texts of the language."""
     words = texts.select(F.explode(words_of(F.col(column))).alias("word"))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lexispark.llm.scanned import PageText, hash_differences, noise, repaired
+from lexispark.llm.scanned import PageText, hash_differences, noise, repaired, text_value
 
 WORDS = ["navio", "inverno", "colheita", "guarda", "chuva", "tesouro", "perante", "o", "do", "da", "sem", "de"]
 
@@ -56,7 +56,29 @@ def test_repaired_text_is_continuous(spark):
 
 
 def test_hash_differences_cover_single_and_double_confusions():
-    value = lambda s: sum(ord(c) ** 5 for c in s)
+    value = text_value
     known = dict(hash_differences())
     assert value("c") - value("e") in known
     assert value("c") - value("e") + value("rn") - value("m") in known
+
+
+def test_edge_lines_that_come_back_are_furniture(spark):
+    """A head in small letters and a foot are known by their place and by coming back; the same words inside pages stay."""
+    pages = [("d", i, f"o tesouro perante\no navio sem inverno\no tesouro perante\nda chuva do navio\nguarda sem número {i}", "", "") for i in range(1, 5)]
+    got = {x for x in found(spark, pages) if x[3] == "header"}
+    assert got == {("ocr_page", f"d:{i}", n, "header") for i in range(1, 5) for n in (1, 5)} | {x for x in got if x[2] in (2, 4)}
+    few = {x for x in found(spark, [("e", 1, "o tesouro perante\no navio\nda chuva do navio\nsem", "", ""), ("e", 2, "o tesouro perante\nda chuva\no navio\nperante", "", "")]) if x[3] == "header"}
+    assert few == set()
+
+
+def test_page_numbers_far_into_an_article(spark):
+    text = "\n".join(["o navio do inverno"] * 150 + ["40"] + ["sem o tesouro"])
+    assert ("entry", "5", 151, "pagenum") in found(spark, [], [(5, 7, text)])
+    assert ("entry", "5", 2, "pagenum") not in found(spark, [], [(5, 7, "o navio\n40\no navio")])
+
+
+def test_signs_the_language_does_not_have(spark):
+    """A sign that no known confusion names is found where the rest of the word fits."""
+    got = found(spark, [("d", 7, "o tes¢uro sem inv€rno\no navi0 da colh£ita", "", "")])
+    assert {x[2] for x in got if x[3] == "misread"} == {1, 2}
+    assert {x for x in found(spark, [("d", 7, "o x€z sem a€b", "", "")]) if x[3] == "misread"} == set()
