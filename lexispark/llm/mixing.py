@@ -1,15 +1,19 @@
 """Mixing sources to target weights, measured in tokens of a public tokenizer.
 
-Method: soft memberships. A naive Bayes classifier over hashed words, trained on all documents with a known source,
-gives the documents without one a posterior over the sources; labelled documents belong to their source. Projected
+Method: soft memberships. A naive Bayes classifier over hashed words and signs of form (punctuation, lengths of lines and
+text), fitted on a bounded sample of the documents with a known source, gives the documents without one a posterior over
+the sources; which kinds of features count is chosen on a held-out fifth of the sample. Labelled documents belong to
+their source. Projected
 gradient least squares then finds a nonnegative rate per document (its expected number of uses, capped by the source's
 repeats) such that the expected tokens of every source match the targets. Documents with equal membership share one
 rate, so labelled documents enter as one aggregate per source; documents with a soft membership are summed distributed
-in every step. Rates become whole numbers of copies by a hash of the document id.
+in every step. Rates become whole numbers of copies by a hash of the document id;
+for labelled documents the hashes are cut where their tokens add up to the rate, not merely their number.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -21,7 +25,10 @@ from pyspark.sql import functions as F
 from lexispark.functions.fold import unaccent_lower
 from lexispark.session import cut, ship_package
 
-BUCKETS = 4096
+BUCKETS = 4096  # of each kind of features: words, and signs of form
+FIT_ROWS = 50_000  # labelled documents the classifier is fitted on, about: the bound of the sample
+HELD_OUT = 5
+DRAW_BINS = 4096
 MAX_SOURCES = 1000  # sources and targets are read to the driver; more targets are an error, other sources are pooled
 OTHERS = "(other sources)"
 STEPS = 40
@@ -30,7 +37,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def with_tokens(df: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """``doc_id, source, n_tokens, text``: whole texts counted in tokens."""
+    """``doc_id, source, n_tokens, words`` of ``(doc_id, source, text)``: whole texts counted in tokens, each once; words
+    are the hashed words of documents without a source, null for others."""
     spark = df.sparkSession
     ship_package(spark)
     model = spark.sparkContext.broadcast(Path(tokenizer).read_text())  # one vocabulary file, 1.6 MB
@@ -43,43 +51,70 @@ def with_tokens(df: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             sizes = [len(e.ids) for i in range(0, len(texts), 256) for e in t.encode_batch(texts[i : i + 256], add_special_tokens=False)]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "source": batch.column("source"), "n_tokens": pa.array(sizes, pa.int64()), "text": batch.column("text")})
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "source": batch.column("source"), "n_tokens": pa.array(sizes, pa.int64()), "words": batch.column("words")})
 
-    return df.mapInArrow(count, "doc_id bigint, source string, n_tokens bigint, text string")
+    words = F.when(F.col("source").isNull(), _hashed_words(F.col("text")))
+    return df.select("doc_id", "source", "text", words.alias("words")).mapInArrow(count, "doc_id bigint, source string, n_tokens bigint, words array<int>")
 
 
 def _hashed_words(text: Column) -> Column:
-    return F.transform(F.filter(F.split(unaccent_lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+    """Buckets of a document's features: its words, then (from BUCKETS on) its signs of form."""
+    bucket = lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int")
+    words = F.transform(F.filter(F.split(unaccent_lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""), bucket)
+    lines = F.split(text, "\n")
+    signs = F.regexp_extract_all(F.regexp_replace(F.regexp_replace(text, r"\p{Ll}+", "a"), r"\d+", "9"), F.lit(r"([^\p{L}\p{N}\s].?|9)"), 1)
+    size = lambda n, name: F.concat(F.lit(name), F.floor(F.log2(n + 1) * 2).cast("string"))
+    form = F.concat(F.array(size(F.size(lines), "lines"), size(F.length(text), "chars")), F.transform(lines, lambda x: F.concat(F.lit("line"), F.floor(F.length(x) / 10).cast("string"))), signs)
+    return F.concat(words, F.transform(form, lambda x: bucket(x) + BUCKETS))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word buckets per source, summed over a whole partition before anything is sent."""
-    seen: dict[str, np.ndarray] = {}
+    """Documents and feature buckets per source, summed over a whole partition before anything is sent; bucket -1 counts
+    the documents."""
+    names: list[str] = []
+    place: dict[str, int] = {}
+    total = np.zeros((0, 2 * BUCKETS + 1), np.int64)
+    width = total.shape[1]
     for batch in batches:
         lists = batch.column("words")
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         owner = pa.compute.list_parent_indices(lists).to_numpy(zero_copy_only=False)
         source = batch.column("source").dictionary_encode()
-        code = source.indices.to_numpy(zero_copy_only=False)
-        for i, name in enumerate(source.dictionary.to_pylist()):
-            seen.setdefault(name, np.zeros(BUCKETS, np.int64))
-            seen[name] += np.bincount(flat[code[owner] == i], minlength=BUCKETS)
-    for name, c in seen.items():
+        for name in source.dictionary.to_pylist():
+            if name not in place:
+                place[name] = len(names)
+                names.append(name)
+        if len(names) > len(total):
+            total = np.vstack([total, np.zeros((len(names) - len(total), width), np.int64)])
+        code = np.array([place[n] for n in source.dictionary.to_pylist()], np.int64)[source.indices.to_numpy(zero_copy_only=False)]
+        total += np.bincount(np.r_[code[owner] * width + flat + 1, code * width], minlength=total.size).reshape(total.shape)
+    for name, c in zip(names, total):
         at = np.flatnonzero(c)
-        yield pa.record_batch({"source": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at, pa.int32()), "n": pa.array(c[at], pa.int64())})
+        yield pa.record_batch({"source": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at - 1, pa.int32()), "n": pa.array(c[at], pa.int64())})
 
 
-def posteriors(rows: DataFrame, names: list[str], tokenizer: str) -> DataFrame:
-    """Posterior over ``names`` of every document without a source: ``(doc_id, n_tokens, p)`` with p an array."""
-    labelled = rows.where(F.col("source").isin(names)).select("source", _hashed_words(F.col("text")).alias("words"))
-    counted = labelled.mapInArrow(_word_counts, "source string, bucket int, n bigint").groupBy("source", "bucket").agg(F.sum("n").alias("n")).collect()  # at most sources x BUCKETS rows
-    table = np.ones((len(names), BUCKETS))
-    for r in counted:
-        table[names.index(r["source"]), r["bucket"]] += r["n"]
-    prior = table.sum(axis=1)
-    seen = prior > BUCKETS  # a source without documents gets no membership
-    log_word, log_prior = np.log(table / prior[:, None]), np.where(seen, np.log(prior / prior.sum()), -1e9)
-    sent = rows.sparkSession.sparkContext.broadcast((log_word, log_prior))
+KINDS = ((1.0, 0.0), (0.0, 1.0), (1.0, 1.0))  # weights of words and form
+
+
+def fitted(labelled: DataFrame, names: list[str], weights: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Naive Bayes over ``(source, words)``: log feature weights and log priors of ``names``."""
+    counted = labelled.mapInArrow(_word_counts, "source string, bucket int, n bigint").groupBy("source", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most sources x buckets rows
+    table, docs = np.ones((len(names), 2 * BUCKETS)), np.zeros(len(names))
+    spot = {n: i for i, n in enumerate(names)}
+    row, at, n = np.array([spot[x] for x in counted["source"].to_pylist()], int), counted["bucket"].to_numpy(), counted["n"].to_numpy()
+    docs[row[at < 0]] = n[at < 0]
+    table[row[at >= 0], at[at >= 0]] += n[at >= 0]
+    for kind, weight in enumerate(weights):
+        part = slice(kind * BUCKETS, (kind + 1) * BUCKETS)
+        table[:, part] = weight * np.log(table[:, part] / table[:, part].sum(axis=1, keepdims=True))
+    # a source without documents gets no membership
+    return table, np.where(docs > 0, np.log(np.maximum(docs, 1) / max(docs.sum(), 1)), -1e9)
+
+
+def with_posteriors(df: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: str) -> DataFrame:
+    """``keep`` columns (a schema) of ``df`` with ``p``, the posterior over the model's sources by its column ``words``."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    columns = [c.split()[0] for c in keep.split(", ")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_given, base = sent.value
@@ -88,16 +123,41 @@ def posteriors(rows: DataFrame, names: list[str], tokenizer: str) -> DataFrame:
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             owner = pa.compute.list_parent_indices(lists).to_numpy(zero_copy_only=False)
             n = batch.num_rows
-            total = np.stack([np.bincount(owner, weights=words_given[k, flat], minlength=n) for k in range(len(base))], axis=1)
-            # words of a text are not independent: the evidence counts by its square root
-            size = np.maximum(np.bincount(owner, minlength=n), 1)
-            z = base + total / np.sqrt(size)[:, None]
+            z = base + np.stack([np.bincount(owner, weights=words_given[k, flat], minlength=n) for k in range(len(base))], axis=1)
             z = np.exp(z - z.max(axis=1, keepdims=True))
             p = z / z.sum(axis=1, keepdims=True)
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_tokens": batch.column("n_tokens"), "p": pa.array(p.tolist(), pa.list_(pa.float64()))})
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(base), pa.int32()), pa.array(p.ravel()))
+            yield pa.record_batch({**{c: batch.column(c) for c in columns}, "p": lists})
+
+    return df.select(*columns, "words").mapInArrow(score, f"{keep}, p array<double>")
+
+
+def held_out_quality(sample: DataFrame, names: list[str], weights: tuple[float, float]) -> tuple[int, float, float]:
+    """How a classifier of these features does on the fifth of ``sample`` (source, words, held) it has not seen: number of
+    documents, share whose likeliest source is theirs, mean posterior of their source."""
+    scored = with_posteriors(sample.where("held"), fitted(sample.where("NOT held").select("source", "words"), names, weights), "source string")
+    own = F.get("p", F.array_position(F.array(*[F.lit(n) for n in names]), F.col("source")).cast("int") - 1)
+    r = scored.select(own.alias("own"), F.array_max("p").alias("top")).agg(F.count("*").alias("n"), F.avg((F.col("own") == F.col("top")).cast("double")).alias("hit"), F.avg("own").alias("own")).first()
+    return r["n"], r["hit"] or 0.0, r["own"] or 0.0
 
-    unknown = with_tokens(rows.where(F.col("source").isNull()), tokenizer).select("doc_id", "n_tokens", _hashed_words(F.col("text")).alias("words"))
-    return unknown.mapInArrow(score, "doc_id bigint, n_tokens bigint, p array<double>")
+
+def source_model(rows: DataFrame, names: list[str], n_rows: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[int, float, float]]:
+    """The classifier of the sources ``names``, and its quality on held-out documents.
+
+    ``rows`` (doc_id, source, text), ``n_rows`` their number. About FIT_ROWS of them, drawn by a hash of their ids, are
+    used; the kinds of features are those with the largest mean posterior of the true source on the held-out fifth.
+    """
+    draw = lambda seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20))
+    some = rows.where(F.col("source").isin(names) & (draw("fit") < max(1, math.ceil((1 << 20) * min(1.0, FIT_ROWS / max(n_rows, 1))))))
+    sample = cut(some.select("source", _hashed_words(F.col("text")).alias("words"), (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_OUT)) == 0).alias("held")))
+    quality = {w: held_out_quality(sample, names, w) for w in KINDS}
+    best = max(KINDS, key=lambda w: quality[w][2])
+    return fitted(sample.select("source", "words"), names, best), quality[best]
+
+
+def _draw() -> Column:
+    """A number from 0 to 1 that belongs to a document."""
+    return F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
 class Mix:
@@ -107,15 +167,18 @@ class Mix:
     target are not drawn; where there are more than MAX_SOURCES sources, the smallest without a target are summed as
     one, "(other sources)". A target without documents cannot be reached and stays in the report with share 0. Documents
     without tokens are never drawn; null ids are ignored. ``total_tokens`` defaults to the largest total at which every
-    target with documents can be met.
+    target with documents can be met. ``quality`` is that of the classifier on held-out documents, see held_out_quality.
+    Building a mix runs jobs: counts, the classifier, and one per gradient step.
     """
 
+    quality: tuple[int, float, float] | None = None
+
     def __init__(self, documents: DataFrame, targets: DataFrame, total_tokens: float | None = None, tokenizer: str = TOKENIZER, key: str = "doc_id", text: str = "text", source: str = "source"):
         wanted = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeat").alias("max_repeat")).orderBy("source").limit(MAX_SOURCES + 1).collect()
         if len(wanted) > MAX_SOURCES:
             raise ValueError(f"more than {MAX_SOURCES} targets")
         rows = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(F.col("doc_id").isNotNull())
-        self.tokens = cut(with_tokens(rows, tokenizer).drop("text"))
+        self.tokens = cut(with_tokens(rows, tokenizer))
         mine = F.col("source").isNull() | F.col("source").isin([r["source"] for r in wanted])
         count = lambda df: df.groupBy("source").agg(F.count("*").alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t"))
         top = count(self.tokens).withColumn("mine", mine).orderBy(F.desc("mine"), F.desc("t"), "source").limit(len(wanted) + MAX_SOURCES + 2).collect()
@@ -135,7 +198,10 @@ class Mix:
             self.share[self.names.index(r["source"])], self.repeat[self.names.index(r["source"])] = r["target_share"] or 0.0, r["max_repeat"] or 0
         self.docs = np.array([supply.get(s, (0, 0))[0] for s in self.names], float)
         self.supply = np.array([supply.get(s, (0, 0))[1] for s in self.names], float)
-        self.soft = cut(posteriors(rows, self.names, tokenizer)) if None in supply and k else None
+        self.soft = None
+        if None in supply and k:
+            model, self.quality = source_model(rows, self.names, int(self.docs.sum()))
+            self.soft = cut(with_posteriors(self.tokens.where(F.col("source").isNull()), model, "doc_id bigint, n_tokens bigint"))
         can = (self.share > 0) & (self.supply > 0) & (self.repeat > 0)
         self.total = float(total_tokens) if total_tokens else float(min((self.supply * self.repeat / np.where(self.share > 0, self.share, 1))[can], default=0.0))
         self._fit()
@@ -172,16 +238,35 @@ class Mix:
             if done:
                 break
 
+    def _thresholds(self) -> dict[str, float]:
+        """Draws below which a source's documents get one more copy, so that their tokens add up to the fraction of its rate."""
+        part = self.rate - np.floor(self.rate)
+        known = self.tokens.where(F.col("source").isNotNull() & (F.col("n_tokens") > 0))
+        # one row a source and bin of draws, at most MAX_SOURCES x DRAW_BINS
+        bins = known.groupBy("source", F.floor(_draw() * DRAW_BINS).cast("int").alias("bin")).agg(F.sum("n_tokens").alias("t")).toArrow()
+        spot = {n: i for i, n in enumerate(self.names)}
+        held = np.zeros((len(self.names), DRAW_BINS))
+        for name, at, t in zip(bins["source"].to_pylist(), bins["bin"].to_pylist(), bins["t"].to_pylist()):
+            held[spot[name], at] = t
+        out = {}
+        for i, name in enumerate(self.names):
+            upto = np.r_[0.0, np.cumsum(held[i])]
+            want = part[i] * upto[-1]
+            at = min(int(np.searchsorted(upto, want, "right")) - 1, DRAW_BINS - 1)
+            inside = (want - upto[at]) / held[i, at] if held[i, at] else 0.0
+            out[name] = (at + min(inside, 1.0)) / DRAW_BINS
+        return out
+
     def copies(self) -> DataFrame:
         """``(doc_id, source, n_tokens, copies)`` of the documents drawn; source is null for soft memberships."""
-        rates = F.create_map(*[F.lit(x) for n, r in zip(self.names, self.rate) for x in (n, float(r))]) if self.names else F.create_map().cast("map<string,double>")
-        hard = self.tokens.where(F.col("source").isNotNull()).select("doc_id", "source", "n_tokens", F.coalesce(rates[F.col("source")], F.lit(0.0)).alias("rate"))
-        both = hard
+        numbers = lambda values: F.create_map(*[F.lit(x) for n, v in values for x in (n, float(v))]) if self.names else F.create_map().cast("map<string,double>")
+        whole, more = numbers(zip(self.names, np.floor(self.rate))), numbers(self._thresholds().items())
+        pick = lambda table: F.coalesce(table[F.col("source")], F.lit(0.0))
+        both = self.tokens.where(F.col("source").isNotNull()).select("doc_id", "source", "n_tokens", pick(whole).alias("whole"), pick(more).alias("more"))
         if self.soft is not None:
-            both = hard.unionByName(self.soft.select("doc_id", F.lit(None).cast("string").alias("source"), "n_tokens", self._soft_rate().alias("rate")))
-        draw = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        whole = F.floor("rate")
-        copies = (whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0)).cast("int")
+            rate = self.soft.select("doc_id", "n_tokens", self._soft_rate().alias("rate"))
+            both = both.unionByName(rate.select("doc_id", F.lit(None).cast("string").alias("source"), "n_tokens", F.floor("rate").cast("double").alias("whole"), (F.col("rate") - F.floor("rate")).alias("more")))
+        copies = (F.col("whole") + F.when(_draw() < F.col("more"), 1).otherwise(0)).cast("int")
         return both.select("doc_id", "source", "n_tokens", copies.alias("copies")).where((F.col("copies") > 0) & (F.col("n_tokens") > 0))
 
     def report(self) -> DataFrame:
@@ -194,7 +279,7 @@ class Mix:
             names = F.array(*[F.lit(n) for n in self.names])
             soft = drawn.where(F.col("source").isNull()).drop("source").join(member, "doc_id").select(F.get(names, F.col("i")).alias("source"), (F.col("t") * F.col("w")).alias("t"), "w", "copies")
             parts = hard.unionByName(soft)
-        sums = parts.groupBy("source").agg(F.sum("t").alias("tokens_drawn"), F.sum("w").alias("docs_drawn"), F.max("copies").alias("most_copies"))
+        sums = parts.groupBy("source").agg(F.sum("t").alias("tokens_drawn"), F.sum("w").alias("docs_drawn"), F.coalesce(F.max(F.when(F.col("w") >= 0.5, F.col("copies"))), F.lit(0)).alias("most_copies"))
         base = self.tokens.sparkSession.createDataFrame(
             [(n, int(d), int(s), float(sh), int(rp), bool(s * rp + 1e-6 >= self.total * sh and (s > 0 or sh == 0))) for n, d, s, sh, rp in zip(self.names, self.docs, self.supply, self.share, self.repeat)],
             "source string, docs_available bigint, tokens_available bigint, target_share double, max_repeat int, reachable boolean",

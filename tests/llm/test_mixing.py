@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 
@@ -67,3 +68,24 @@ def test_small_targets_and_unlabelled_documents_outlast_many_sources(spark, monk
     assert report["(other sources)"].docs_drawn < 1 and report["(other sources)"].target_share == 0
     assert mix.soft.count() == 5 and mix.copies().where("source IS NULL").count() > 0
     assert abs(report["z"].actual_share - 0.5) < 0.1
+
+
+def test_posteriors_hold_on_documents_not_seen(spark):
+    """Sources that differ in words, or only in form, are told apart on documents the classifier has not seen."""
+    rng = random.Random(2)
+    vocab = ["navio", "rio", "porto", "vento", "lei", "juiz", "neve", "casa"]
+    text = lambda words, form: form([rng.choice(words) for _ in range(rng.randint(20, 40))])
+    line = lambda w: " ".join(w) + "."
+    listed = lambda w: ";\n".join(w)
+    for made in ([("a", vocab[:4], line), ("b", vocab[4:], line)], [("a", vocab, line), ("b", vocab, listed)]):
+        rows = [(i, s, text(w, f)) for i in range(300) for s, w, f in made]
+        df = spark.createDataFrame([(i * 2 + (s == "b"), s, t) for i, s, t in rows], "doc_id bigint, source string, text string")
+        n, hit, own = mixing.source_model(df, ["a", "b"], 600)[1]
+        assert n > 50 and hit > 0.95 and own > 0.9
+
+
+def test_sample_of_labelled_documents_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FIT_ROWS", 100)
+    docs = table(spark, [("a", 3000, "navio rio porto"), ("b", 3000, "lei contrato juiz"), (None, 5, "juiz lei")])
+    mix = Mix(docs, spark.createDataFrame([("a", 0.5, 1, 0.0), ("b", 0.5, 1, 0.0)], TARGETS))
+    assert 5 <= mix.quality[0] <= 50 and mix.soft.count() == 5
