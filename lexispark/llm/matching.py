@@ -1,28 +1,36 @@
 """Matching entries of two dictionaries that share no key.
 
-Candidates come from MinHash bands over two attributes (the headword's stroke skeleton, the words of Latin quotations);
-pairs of distinct headword spellings are compared, never pairs of rows, so copies of an article add no candidates.
-Pair features are computed in SQL. A logistic classifier is trained on weak labels: quotations shared by both articles
-label pairs positive, quotations present on both sides without a common word label them negative; the quotations
-themselves are not among its features. Scores are calibrated on held-out weak labels by isotonic regression.
+Candidates come from MinHash bands over two attributes (the headword's stroke skeleton, the words of Latin quotations).
+Distinct skeletons meet in the bands, then the spellings that have them; pairs of rows are formed last, so copies of an
+article add no candidates. Pair features are computed in SQL. A logistic classifier is trained on weak labels: quotations
+shared by both articles label pairs positive, quotations present on both sides without a common word label them negative;
+the quotations themselves are not among its features. Every candidate is judged by the classifier: pairs of spellings
+are left out only where no word class and no number could lift them to the threshold. Scores are calibrated on held-out
+weak labels by isotonic regression.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispark.functions.strings import let
 from lexispark.llm.headwords import bare_form, clean_form, homograph, single_consonants, skeleton
 from lexispark.llm.survivor import MAX_MISREAD_DISTANCE, word_class
 from lexispark.operators.skew import spread_join
-from lexispark.session import cut
+from lexispark.session import cut, ship_package
 
-BANDS = 16
-BAND_ROWS = 6  # words of 80 % common trigrams meet with 99 %, words of 20 % once in a thousand
+BANDS = 24
+BAND_ROWS = 4  # words of 60 % common trigrams (one foreign letter in ten) meet with 96 %, words of 10 % twice in a thousand
 MIN_FRAME = 8
+MOST_EDITS = 12  # more edits than these count as these: a feature that far pairs do not dominate
 TRAIN_ROWS = 20_000  # weakly labelled pairs read to the driver for training: the bound of the sample
+FAR_ROWS = 2_000  # of them pairs of spellings farther apart than
+CLOSE_DISTANCE = 0.34
 THRESHOLD = 0.5
 LATIN_WORD = r"\p{L}{7,}"
 # Abbreviations of word classes in the second dictionary.
@@ -39,21 +47,52 @@ def _runs(skel: Column) -> Column:
     return x
 
 
-def _signature(text: Column) -> Column:
-    """MinHash of the character trigrams of a text, BANDS x BAND_ROWS values."""
-    grams = lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 2, F.lit(1))), lambda i: F.substring(t, i, F.lit(3)))
-    hashes = lambda gs: F.transform(F.sequence(F.lit(1), F.lit(BANDS * BAND_ROWS)), lambda s: F.array_min(F.transform(gs, lambda g: F.xxhash64(g, s))))
-    return let(let(F.concat(F.lit("^"), text, F.lit("$")), grams), hashes)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        return x ^ (x >> np.uint64(29))
+
+
+def minhash_bands(texts: list[str]) -> np.ndarray:
+    """Band keys (rows: texts) of the MinHash of character trigrams, BANDS bands of BAND_ROWS values."""
+    framed = [f"^{t}$".encode("utf-32-le", "surrogatepass") for t in texts]
+    size = np.array([len(x) // 4 for x in framed])
+    codes = np.frombuffer(b"".join(framed), np.uint32).astype(np.uint64)
+    first = np.r_[0, np.cumsum(size)]
+    at = np.arange(len(codes) - 2)
+    at = at[(np.searchsorted(first, at, "right") == np.searchsorted(first, at + 2, "right"))]
+    grams, code = np.unique((codes[at] << np.uint64(42)) ^ (codes[at + 1] << np.uint64(21)) ^ codes[at + 2], return_inverse=True)
+    k = np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        family = (_mixed(_mixed(grams)[:, None] ^ (k * np.uint64(0x9E3779B97F4A7C15))[None, :]) >> np.uint64(32)).astype(np.uint32)
+    sig = np.minimum.reduceat(family[code], np.searchsorted(at, first[:-1]), axis=0)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for r in range(BAND_ROWS):
+        key = _mixed(key ^ (sig[:, r::BAND_ROWS].astype(np.uint64) + np.uint64(r << 32)))
+    return key
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 4096):
+            some = batch.slice(lo, 4096)
+            keys = minhash_bands(some.column(1).to_pylist())
+            yield pa.record_batch({"skel": some.column(0), "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel().view(np.int64)))})
+
+
+def _skeleton_bands(skels: DataFrame) -> DataFrame:
+    """``(skel, band)`` of distinct skeletons: MinHash bands, the skeleton itself, and the letters between its strokes."""
+    runs = skels.select("skel", _runs(F.col("skel")).alias("runs")).mapInArrow(_banded, "skel string, bands array<bigint>")
+    # the letters between runs of strokes: survives a doubled letter and a misreading at once
+    frame = F.regexp_replace(F.regexp_replace("skel", r"\|+", "|"), r"([a-z])\1+", "$1")
+    framed = F.when(F.length(frame) >= MIN_FRAME, F.xxhash64(F.lit(-2), frame))
+    return runs.select("skel", F.explode(F.array_distinct(F.array_compact(F.concat("bands", F.array(F.xxhash64(F.lit(-1), "skel"), framed))))).alias("band"))
 
 
-def _bands(runs: Column, skel: Column, quotes: Column) -> Column:
+def _cited_bands(skel: Column, quotes: Column) -> Column:
     least = lambda seed: F.array_min(F.transform(quotes, lambda q: F.xxhash64(q, F.lit(seed))))
     cited = [F.when(F.size(quotes) >= 3, F.xxhash64(F.lit(100 + s), least(s), least(s + 50), F.substring(skel, 1, 2))) for s in range(2)]
-    banded = let(_signature(runs), lambda sig: F.array(*[F.xxhash64(F.lit(b), *[F.get(sig, F.lit(b * BAND_ROWS + r)) for r in range(BAND_ROWS)]) for b in range(BANDS)]))
-    # the letters between runs of strokes: survives a doubled letter and a misreading at once
-    frame = F.regexp_replace(F.regexp_replace(skel, r"\|+", "|"), r"([a-z])\1+", "$1")
-    framed = F.when(F.length(frame) >= MIN_FRAME, F.xxhash64(F.lit(-2), frame))
-    return F.array_distinct(F.array_compact(F.concat(banded, F.array(F.xxhash64(F.lit(-1), skel), framed, *cited))))
+    return F.array_distinct(F.array_compact(F.array(*cited)))
 
 
 def _words(text: Column) -> Column:
@@ -101,27 +140,30 @@ def candidate_forms(left: DataFrame, right: DataFrame) -> DataFrame:
     Every spelling is banded twice, as it stands and with doubled consonants written once.
     """
 
-    def banded(side: DataFrame, name: str) -> DataFrame:
-        both = side.select("form", "quotes", F.explode(F.array_distinct(F.array("form", single_consonants(F.col("form"))))).alias("spelt"))
-        skel = both.select("form", "quotes", skeleton(F.col("spelt")).alias("skel")).distinct()
-        runs = skel.select("form", "quotes", "skel", _runs(F.col("skel")).alias("runs"))
-        return runs.select(F.col("form").alias(name), F.explode(_bands(F.col("runs"), F.col("skel"), F.col("quotes"))).alias("band")).distinct()
+    def spellings(side: DataFrame) -> DataFrame:
+        both = side.select("form", F.explode(F.array_distinct(F.array("form", single_consonants(F.col("form"))))).alias("spelt"))
+        return cut(both.select("form", skeleton(F.col("spelt")).alias("skel")).where("skel != ''").distinct())
 
-    pairs = banded(left, "form").join(banded(right, "ls_form"), "band").select("form", "ls_form").distinct()
+    def cited(side: DataFrame, name: str) -> DataFrame:
+        return side.where(F.size("quotes") >= 3).select(F.col("form").alias(name), F.explode(_cited_bands(skeleton(F.col("form")), F.col("quotes"))).alias("band")).distinct()
+
+    ship_package(left.sparkSession)
+    a, b = spellings(left), spellings(right)
+    met = _skeleton_bands(a.select("skel").distinct()).join(_skeleton_bands(b.select("skel").distinct()).withColumnRenamed("skel", "ls_skel"), "band").select("skel", "ls_skel").distinct()
+    near = met.join(a, "skel").join(b.select(F.col("skel").alias("ls_skel"), F.col("form").alias("ls_form")), "ls_skel").select("form", "ls_form")
+    pairs = near.unionByName(cited(left, "form").join(cited(right, "ls_form"), "band").select("form", "ls_form")).distinct()
     keyed = lambda c: [_runs(skeleton(F.col(c))).alias(f"{c}_a"), _runs(skeleton(single_consonants(F.col(c)))).alias(f"{c}_b")]
-    # spellings more than two misreadings apart are other words, whatever their strokes
     edits = F.least(F.levenshtein("form", "ls_form"), F.levenshtein(single_consonants(F.col("form")), single_consonants(F.col("ls_form"))))
-    keys = pairs.withColumn("edits", edits).where(F.col("edits") <= MAX_MISREAD_DISTANCE).select("form", "ls_form", "edits", *keyed("form"), *keyed("ls_form"))
-    far = lambda x, y: F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y))
+    keys = pairs.select("form", "ls_form", edits.alias("edits"), *keyed("form"), *keyed("ls_form"))
+    far = lambda x, y: F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y), F.lit(1))
     tail = lambda x, y: F.levenshtein(F.substring(x, -5, 5), F.substring(y, -5, 5)) / 5.0
     a, b, c, d = (F.col(x) for x in ("form_a", "ls_form_a", "form_b", "ls_form_b"))
-    out = keys.select("form", "ls_form", ((a == b) | (c == d)).cast("double").alias("same_skeleton"), F.least(far(a, b), far(c, d)).alias("distance"), F.least(tail(a, b), tail(c, d)).alias("tail_distance"), (F.col("edits") / MAX_MISREAD_DISTANCE).alias("edits"))
-    return out.where("distance <= 0.34")
+    return keys.select("form", "ls_form", ((a == b) | (c == d)).cast("double").alias("same_skeleton"), F.least(far(a, b), far(c, d)).alias("distance"), F.least(tail(a, b), tail(c, d)).alias("tail_distance"), (F.least(F.col("edits"), F.lit(MOST_EDITS)) / MAX_MISREAD_DISTANCE).alias("edits"))
 
 
-def pair_features(left: DataFrame, right: DataFrame) -> DataFrame:
+def pair_features(left: DataFrame, right: DataFrame, forms: DataFrame | None = None) -> DataFrame:
     """All candidate pairs of articles with features and the weak label (null where nothing labels the pair)."""
-    forms = candidate_forms(left, right)
+    forms = candidate_forms(left, right) if forms is None else forms
     r = right.select(F.col("ls_id"), F.col("form").alias("ls_form"), F.col("number").alias("ls_number"), F.col("cls").alias("ls_cls"), F.col("guess").alias("ls_guess"), F.col("quotes").alias("ls_quotes"))
     # the forms an article may match, as one row a form: a form many articles share is spread
     mine = forms.groupBy("form").agg(F.collect_list(F.struct("ls_form", *FORM_FEATURES)).alias("near"))
@@ -139,6 +181,19 @@ def pair_features(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def possible_forms(forms: DataFrame, w: np.ndarray, threshold: float) -> DataFrame:
+    """Pairs of spellings that some word classes and numbers lift to the threshold; no match is lost.
+
+    Of the flags of word class, guessed class and number at most one each holds, so their largest weights bound them.
+    """
+    weight = dict(zip(FEATURES, w[:-1].tolist()))
+    most = sum(max(0.0, *(weight[n] for n in FEATURES if n.startswith(group))) for group in ("class", "guess", "number"))
+    z = F.lit(float(w[-1]) + most)
+    for name in FORM_FEATURES:
+        z = z + F.col(name) * F.lit(weight[name])
+    return forms.where(z >= math.log(threshold / (1 - threshold)) - 1e-4)
+
+
 def train_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1.0) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last weight is the intercept. Without both labels: None-like
     prior weights that trust the skeleton and distrust every conflict."""
@@ -178,11 +233,19 @@ def matches(left_table: DataFrame, right_table: DataFrame, threshold: float = TH
 
     score is the classifier's probability, confidence the calibrated one; pairs with a score of ``threshold`` or more
     are matches. Null fields count as unknown, never as equal. Copies of an article match each on their own. Empty
-    tables give no rows; without weak labels of both kinds fixed prior weights are used.
+    tables give no rows; without weak labels of both kinds fixed prior weights are used. Building the result runs jobs:
+    candidates are formed and the classifier is trained at once.
     """
-    pairs = cut(pair_features(cut(left_side(left_table)), cut(right_side(right_table))))
-    labelled = pairs.where(F.col("label").isNotNull()).withColumn("draw", F.xxhash64("entry_id", "ls_id"))
-    sample = labelled.orderBy("draw").limit(TRAIN_ROWS).select(*FEATURES, "label").toPandas()
+    left, right = cut(left_side(left_table)), cut(right_side(right_table))
+    forms = cut(candidate_forms(left, right))
+    cited = lambda side: side.where(F.size("quotes") >= 2)
+    labelled = pair_features(cited(left), cited(right), forms).where(F.col("label").isNotNull()).withColumn("draw", F.xxhash64("entry_id", "ls_id"))
+    # distant spellings became candidates by their quotations, so shared quotations would be a circular label for them:
+    # of those only the negative ones are used
+    close = (F.col("distance") <= CLOSE_DISTANCE) & (F.col("edits") <= 1.0)
+    labelled = cut(labelled.withColumn("close", close))
+    drawn = lambda df, n: df.orderBy("draw").limit(n).select(*FEATURES, "label", "draw")
+    sample = drawn(labelled.where("close"), TRAIN_ROWS - FAR_ROWS).unionByName(drawn(labelled.where("NOT close AND label = 0"), FAR_ROWS)).toPandas().sort_values("draw")
     x, y = sample[list(FEATURES)].to_numpy(float), sample["label"].to_numpy(float)
     held = np.arange(len(y)) % 5 == 0
     w = train_logistic(x[~held], y[~held])
@@ -194,5 +257,6 @@ def matches(left_table: DataFrame, right_table: DataFrame, threshold: float = TH
     confidence = F.lit(steps[-1][1]) if steps else F.col("score")
     for upper, value in reversed(steps[:-1]):
         confidence = F.when(F.col("score") <= upper, F.lit(value)).otherwise(confidence)
+    pairs = pair_features(left, right, possible_forms(forms, w, threshold))
     scored = pairs.select("entry_id", "ls_id", probability.alias("score")).where(F.col("score") >= threshold)
     return scored.select("entry_id", "ls_id", "score", F.round(confidence, 6).alias("confidence"))

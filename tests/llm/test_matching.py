@@ -4,7 +4,7 @@ import random
 import numpy as np
 
 from lexispark.llm.headwords import bare_form, clean_form, homograph, skeleton
-from lexispark.llm.matching import isotonic, left_side, matches, pair_features, right_side, train_logistic
+from lexispark.llm.matching import FEATURES, candidate_forms, isotonic, left_side, matches, pair_features, possible_forms, right_side, train_logistic
 from pyspark.sql import functions as F
 
 LEFT = "entry_id bigint, lemma string, homograph_no int, pos string, verb_class string, decl_class string, adj_class string, morph_render string, head_raw string, definicao string, form string, number string"
@@ -85,3 +85,33 @@ def test_classifier_and_calibration():
     steps = isotonic(p, y[1500:])
     assert [s for s, _ in steps] == sorted(s for s, _ in steps)
     assert all(a[1] <= b[1] + 1e-9 for a, b in zip(steps, steps[1:]))
+
+
+def misread(word, rng):
+    swaps = [("n", "u"), ("m", "rn"), ("rn", "m"), ("c", "e"), ("e", "c"), ("b", "h"), ("d", "cl"), ("t", "f"), ("l", "i"), ("i", "l"), ("u", "ii")]
+    fits = [(a, b) for a, b in swaps if a in word]
+    a, b = rng.choice(fits)
+    at = rng.choice([i for i in range(len(word)) if word.startswith(a, i)])
+    return word[:at] + b + word[at + len(a) :]
+
+
+def test_blocking_meets_misread_spellings(spark):
+    """Candidates against all pairs: nearly every spelling with one or two misreadings meets its word."""
+    rng = random.Random(12)
+    words = sorted({"".join(rng.choice(SYLLABLES) for _ in range(rng.randint(3, 4))) + rng.choice(["us", "a", "um", "ere"]) for _ in range(300)})
+    once, twice = [(misread(w, rng), w) for w in words], [(misread(misread(w, rng), rng), w) for w in words]
+    side = lambda forms: spark.createDataFrame([(f, []) for f in forms], "form string, quotes array<string>")
+    got = {(r.form, r.ls_form) for r in candidate_forms(side([f for f, _ in once + twice]), side(words)).collect()}
+    assert sum(p in got for p in once) >= 0.94 * len(once)
+    assert sum(p in got for p in twice) >= 0.9 * len(twice)
+    assert len(got) < 0.1 * 600 * len(words)
+
+
+def test_pairs_left_out_before_rows_are_formed_could_not_match(spark):
+    left, right, _ = tables(40)
+    a, b = left_side(spark.createDataFrame(left, LEFT)), right_side(spark.createDataFrame(right, RIGHT))
+    forms = candidate_forms(a, b).cache()
+    w = train_logistic(np.zeros((0, len(FEATURES))), np.zeros(0))
+    kept = possible_forms(forms, w, 0.5)
+    score = lambda df: {(r.entry_id, r.ls_id) for r in pair_features(a, b, df).collect() if sum(r[n] * v for n, v in zip(FEATURES, w)) + w[-1] >= 0}
+    assert kept.count() < forms.count() and score(kept) == score(forms) != set()
