@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from lexispark.session import cut, ship_package
 
-# Abbreviations that open the grammar of an entry, and endings of headword lines.
-ABBREVIATIONS = ("s.", "adj.", "v.", "adv.", "prep.", "conj.", "interj.", "pron.", "num.", "indecl.", "subst.")
+# Abbreviations of entries, and endings of headword lines.
+ABBREVIATIONS = (
+    "abl.", "abs.", "absl.", "abrev.", "acus.", "adj.", "adv.", "cf.", "comp.", "conj.", "dat.", "dem.", "dep.", "dim.", "distrib.", "f.", "freq.", "fut.", "gen.", "impf.", "impess.", "indecl.",
+    "inf.", "interj.", "interr.", "intr.", "loc.", "m.", "n.", "nom.", "num.", "ord.", "part.", "perf.", "pass.", "pes.", "pl.", "prep.", "prés.", "pr.", "pron.", "prev.", "reflex.", "sg.",
+    "sent.", "sinc.", "subs.", "subj.", "superl.", "tr.", "v.", "voc.", " = ",
+)
+GRAMMAR = ("s.", "adj.", "v.", "adv.", "prep.", "conj.", "interj.", "pron.", "num.", "indecl.", "subst.")
 ENDINGS = ("-ae", "-i", "-is", "-us", "-ei", "-a", "-um", "-e", "-are", "-ere", "-ire", "-onis", "-tatis")
 RUNNING_HEAD = r"^(\p{Lu}[\p{Lu}\p{M}]+) +[—–-] +(\d+) +[—–-] +(\p{Lu}[\p{Lu}\p{M}]+)$"
 HEAD_LINE = r"^[^\s].{0,40}?\s*,\s*(?:[^\n]*?\s)?(?:s|adj|v|adv|prep|conj|interj|pron|num|indecl|subst)\."
@@ -59,6 +64,64 @@ def mend_lines(text: Column) -> Column:
     return text
 
 
+def abbreviation_run(text: Column) -> Column:
+    """The abbreviations a text begins with, lower case, up to the first word that is none."""
+    known = F.array(*[F.lit(a) for a in ABBREVIATIONS])
+    words = F.split(F.lower(_strip(text)), r"[,\s]+")
+    stop = F.array_position(F.transform(words, lambda w: F.array_contains(known, w)), False)
+    return F.when(stop > 0, F.slice(words, 1, (stop - 1).cast("int"))).otherwise(words)
+
+
+def headword_list(line: Column) -> Column:
+    """Headwords of a line that names several: what stands before the first dash or abbreviation, parted by commas.
+
+    Only where there are several and all are plain small letters; any other line gives what stands there as one.
+    """
+    bare = _strip(F.regexp_replace(_strip(F.regexp_replace(line, r"^\d+\.\s*", "")), r"^\d+\)\.\s*", ""))
+    signs = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
+    block = _strip(F.regexp_replace(F.regexp_replace(bare, rf"(?s)\b(?:{signs})\b.*$", ""), r"(?s)\s+—\s+.*$", ""))
+    words = F.filter(F.transform(F.split(block, ","), _strip), lambda w: w != "")
+    several = (F.size(words) > 1) & F.forall(words, lambda w: w.rlike("^[a-z]{1,30}$"))
+    return F.when(several, words).otherwise(F.array(block))
+
+
+HEAD_WORD = r"[A-Z]?[a-zA-ZāēīōūȳăĕĭŏŭçâêîôûãõÁÉÍÓÚÂÊÎÔÛÃÕÇ\-]+"
+
+
+def simple_entries(text: Column) -> Column:
+    """Entries of a text by lines that begin with a headword and a comma: (number, lema, formas, definicao).
+
+    formas end at the first full stop, the definition before the next such line; texts without one give an empty array.
+    """
+    opens = rf"(?m)^(?=\s*(?:\d+\.\s*)?{HEAD_WORD}(?:\s*\([^)\n]+\))?,\s)"
+    parts = F.split(F.regexp_replace(text, opens, "\x01"), "\x01")
+    shape = rf"(?s)^\s*(\d+\.)?\s*({HEAD_WORD}(?:\s*\([^)]+\))?),\s*(.*?)\.\s+(.*)$"
+    own = F.filter(parts, lambda p: F.concat(p, F.lit("\n")).rlike(shape))
+    get = lambda p, i: _strip(F.regexp_extract(F.concat(p, F.lit("\n")), shape, i))
+    return F.transform(own, lambda p: F.struct(get(p, 1).alias("number"), get(p, 2).alias("lema"), get(p, 3).alias("formas"), F.replace(get(p, 4), F.lit("\n"), F.lit(" ")).alias("definicao")))
+
+
+def chunk_headwords(chunks: DataFrame, key: str, text: str, known: DataFrame, cutoff: float = 0.7, n: int = 3) -> DataFrame:
+    """Headwords a chunk of text speaks of: ``(key, headword)``.
+
+    The words before the comma in the line after a rule (and in the first line) are certain; those of other lines count
+    through their close matches among the ``known`` headwords (one column), if one of the certain ones has that initial.
+    """
+    from lexispark.operators.fuzzy import close_matches
+
+    lines = chunks.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
+    lines = lines.withColumn("rule", F.startswith("line", F.lit("-" * 39)))
+    head = F.filter(F.split(_strip(F.split_part(F.regexp_replace("line", r"^\d+\.\s*", ""), F.lit(","), F.lit(1))), r"\s+"), lambda w: w != "")
+    before = Window.partitionBy("key").orderBy("at")  # the lines of one chunk
+    spoken = lines.withColumn("fixed", F.coalesce(F.lag("rule").over(before), F.lit(True))).where("NOT rule").select("key", "fixed", F.explode(head).alias("word"))
+    fixed = spoken.where("fixed").select("key", F.col("word").alias("headword"))
+    near = close_matches(spoken.where("NOT fixed"), "word", known.toDF("w"), "w", n, cutoff).select(F.col("q").alias("word"), F.col("w").alias("headword"))
+    found = spoken.where("NOT fixed").join(near, "word").select("key", "headword")
+    initials = fixed.select("key", F.substring("headword", 1, 1).alias("i")).distinct()
+    every = fixed.unionByName(found).distinct().withColumn("i", F.substring("headword", 1, 1))
+    return every.join(initials, ["key", "i"], "left_semi").select("key", "headword")
+
+
 def candidates(df: DataFrame, doc: str, text: str) -> DataFrame:
     """Candidate entries in order: (doc, pos, candidate); what stands before the first headword line is dropped."""
     marked = F.regexp_replace(F.col(text), rf"(?im)(?={HEAD_LINE})", "\x01")
@@ -82,7 +145,7 @@ def merge_candidates(parts: list[tuple[str, bool]], window: str = "") -> tuple[l
         head = _bare(text.split(",")[0].split(" ")[0].strip("*-0123456789. "))
         opening = _bare(text[:50])
         words = opening.replace(",", " ").split()
-        grammar = any(f" {a}" in f" {opening}" for a in ABBREVIATIONS) or any(e in words for e in ENDINGS)
+        grammar = any(f" {a}" in f" {opening}" for a in GRAMMAR) or any(e in words for e in ENDINGS)
         opens = False
         if head and head.isalpha() and (known or grammar):
             initial = head[0]

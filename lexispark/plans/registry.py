@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexispark.plans import assembly, core_problems, extensions, lexicon
+from lexispark.plans import assembly, core_problems, extensions, lexicon, lookups
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (lexicon, assembly, extensions, core_problems)
+MODULES = (lexicon, assembly, lookups, extensions, core_problems)
 
 
 def core_queries() -> dict[str, Query]:
