@@ -8,6 +8,8 @@ them by vectorised ``take``. No Python loop runs over records.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -166,7 +168,7 @@ def _items(t: Tokens, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return item, owner, position
 
 
-def flatten_batch(batch: pa.RecordBatch, spec: TreeSpec) -> pa.Table:
+def flatten_batch(batch: pa.RecordBatch, spec: TreeSpec, bodies: bool = True) -> pa.Table:
     """Flatten one batch with columns ``rec_key`` and ``doc`` (no nulls) into node rows."""
     docs = batch.column("doc").cast(pa.large_string())
     docs = pa.concat_arrays([docs])
@@ -184,9 +186,11 @@ def flatten_batch(batch: pa.RecordBatch, spec: TreeSpec) -> pa.Table:
         wrapped[top[t.kind[top] == 0x5B]] = True
         record = np.concatenate([top[t.kind[top] == 0x7B], np.flatnonzero(wrapped[t.parent] & (t.kind == 0x7B) & (t.parent >= 0))])
         def emit(kind: str, item: np.ndarray, path: pa.Array, above: pa.Array, depth: int, position: np.ndarray) -> None:
-            sizes = np.concatenate([[0], np.cumsum(t.end[item] - t.start[item])]).astype(np.int64)
-            body = np.repeat(t.start[item] - sizes[:-1], t.end[item] - t.start[item]) + np.arange(sizes[-1])
-            slices = pa.LargeStringArray.from_buffers(len(item), pa.py_buffer(sizes), pa.py_buffer(buf[body].tobytes()))
+            slices = pa.nulls(len(item), pa.large_string())
+            if bodies:
+                sizes = np.concatenate([[0], np.cumsum(t.end[item] - t.start[item])]).astype(np.int64)
+                body = np.repeat(t.start[item] - sizes[:-1], t.end[item] - t.start[item]) + np.arange(sizes[-1])
+                slices = pa.LargeStringArray.from_buffers(len(item), pa.py_buffer(sizes), pa.py_buffer(buf[body].tobytes()))
             keys = batch.column("rec_key").take(pa.array(t.row[item]))
             n = len(item)
             out.append(pa.table({"rec_key": keys, "node_kind": pa.array([kind]).take(pa.array(np.zeros(n, np.int64))), "node_path": path, "parent_path": above, "depth": pa.array(np.full(n, depth, np.int32)), "position": pa.array(position.astype(np.int32)), "body": slices.cast(pa.string())}))
@@ -232,21 +236,46 @@ def unwrap(c, rounds: int = 2):
     return c
 
 
-def flatten_tree(df: DataFrame, key: str, doc: str, spec: TreeSpec) -> DataFrame:
+def unwrap_all(texts: pa.Array) -> pa.Array:
+    """Documents that are still wrapped after the rounds of ``unwrap``, taken out however often they are wrapped."""
+    wrapped = np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, r'^\s*["`]'), False).to_numpy(zero_copy_only=False))
+    if not len(wrapped):
+        return texts
+    out = texts.to_pylist()
+    for i in wrapped.tolist():
+        t = out[i]
+        while True:
+            inner = re.sub(r"^\s*```[A-Za-z]*\s*|\s*```\s*$", "", t).strip()
+            if inner.startswith('"') and inner.endswith('"'):
+                try:
+                    inner = json.loads(inner)
+                except ValueError:
+                    pass
+            if inner == t:
+                break
+            t = inner
+        out[i] = t
+    return pa.array(out, pa.string())
+
+
+def flatten_tree(df: DataFrame, key: str, doc: str, spec: TreeSpec, bodies: bool = True) -> DataFrame:
     """Flat node rows of the JSON documents in column ``doc``.
 
     One row per item of a list named in ``spec.roots`` (record level), ``spec.children`` (inside a node, any depth) or
     ``spec.leaves`` (examples of a node). ``node_path`` holds the 1-based positions from the top, ``parent_path`` the
-    path of the node above, ``body`` the JSON text of the node. A lone object or text where a list is usual counts as
+    path of the node above, ``body`` the JSON text of the node with all below it (null without ``bodies``). A lone object or text where a list is usual counts as
     a list of one; null and empty text hold no node. Null, empty, plain-text and unreadable (cut) documents give no
     rows; equal rows delivered twice are flattened once; other columns of ``df`` are ignored whatever their names.
     """
     ship_package(df.sparkSession)
     source = df.select(F.col(key).cast("string").alias("rec_key"), unwrap(F.col(doc)).alias("doc"))
-    source = source.where(F.col("doc").rlike(r"^[\{\[]") & F.col("rec_key").isNotNull())
+    source = source.where(F.col("doc").rlike(r'^[\{\["`]') & F.col("rec_key").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from flatten_batch(batch, spec).combine_chunks().to_batches()
+            texts = unwrap_all(batch.column(1))
+            some = pc.fill_null(pc.match_substring_regex(texts, r"^[\{\[]"), False)
+            batch = pa.RecordBatch.from_arrays([batch.column(0).filter(some), texts.filter(some)], ["rec_key", "doc"])
+            yield from flatten_batch(batch, spec, bodies).combine_chunks().to_batches()
 
     return source.mapInArrow(run, NODE_SCHEMA)

@@ -67,5 +67,27 @@ def markdown(df: DataFrame, order: list[str], head: str, label: str, body: str,
     return h.select("rn", F.when(F.col("is_heading"), F.concat(F.lit("## "), F.col("letter"), F.lit("\n\n"), line)).otherwise(line).alias("text"))
 
 
+def export_header(df: DataFrame, title: str, conf: Column, stamp: str) -> DataFrame:
+    """Header lines of an export ``(rn, text)``: title, number of entries, entries by confidence, time; rn is negative."""
+    one = df.agg(F.count("*").alias("n"), *[F.count_if(conf == c).alias(c) for c in ("high", "med", "low")])
+    lines = F.array(
+        F.lit(f"# {title}"), F.concat(F.lit("**Total de entradas:** "), F.col("n").cast("string")),
+        F.concat(F.lit("**Confiança:** high "), F.col("high").cast("string"), F.lit(", med "), F.col("med").cast("string"), F.lit(", low "), F.col("low").cast("string")), F.lit(f"**Exportado em:** {stamp}"), F.lit("---"),
+    )
+    return one.select(F.posexplode(lines).alias("i", "text")).select((F.col("i") - 5).cast("bigint").alias("rn"), "text")
+
+
+def unified(sources: dict[str, DataFrame]) -> DataFrame:
+    """All headwords of several dictionaries in one list ``(rn, text)``, case ignored: a headword with the text of every
+    dictionary that has it, in the order of the sources. Each source has columns lemma and body."""
+    every = None
+    for i, (name, df) in enumerate(sources.items()):
+        part = df.where(F.col("lemma").isNotNull()).groupBy("lemma").agg(F.array_sort(F.collect_set(F.coalesce("body", F.lit("")))).alias("b")).select("lemma", F.lit(i).alias("i"), F.concat(F.lit(f"- *{name}*: "), F.array_join("b", " / ")).alias("line"))
+        every = part if every is None else every.unionByName(part)
+    g = every.groupBy("lemma").agg(F.array_sort(F.collect_list(F.struct("i", "line"))).alias("x"))
+    rn = numbered(g.withColumn("__low", F.lower("lemma")), ["__low", "lemma"])
+    return rn.select("rn", F.concat(F.lit("**"), F.col("lemma"), F.lit("**\n"), F.array_join(F.transform("x", lambda x: x["line"]), "\n")).alias("text"))
+
+
 def first_per_group(df: DataFrame, group: list[str], order: list[Column], k: int = 1) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("__rn") <= k).drop("__rn")

@@ -37,9 +37,15 @@ def examples_search(spark: SparkSession, d: str) -> DataFrame:
     return dictionary.search_examples(_examples(spark, d), fonte="cald", obra="or", limit=50).select("entry_id", F.col("n").cast("bigint").alias("n"), "fonte", "obra", "loc")
 
 
-@query()
+_PAIR = "len(list_filter(range(1, len(t)), lambda i: t[i] = '{0}' AND t[i + 1] = '{1}'))"
+_IDF = "CASE WHEN ln((c - d{0} + 0.5) / (d{0} + 0.5)) <= 0 THEN 1e-6 ELSE ln((c - d{0} + 0.5) / (d{0} + 0.5)) END"
+
+
+@query(f"""WITH x AS (SELECT entry_id, n, raw_ref, list_filter(regexp_split_to_array(lower(strip_accents(raw_ref)), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t FROM ({_EXAMPLES}) WHERE fonte IS NOT NULL AND regexp_matches(loc, '[0-9]')),
+f AS (SELECT entry_id, n, raw_ref, len(t) AS size, {_PAIR.format('talv', 'hist')} AS f0, {_PAIR.format('cald', 'or')} AS f1 FROM x), s AS (SELECT count(*) AS c, avg(size) AS mean, count_if(f0 > 0) AS d0, count_if(f1 > 0) AS d1 FROM f)
+SELECT entry_id, n, raw_ref, round(0 - {' - '.join(f"({_IDF.format(i)}) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * size / mean))" for i in range(2))}, 6) AS score FROM f, s WHERE f0 > 0 OR f1 > 0 ORDER BY score, entry_id, n LIMIT 100""")
 def examples_fulltext(spark: SparkSession, d: str) -> DataFrame:
-    return dictionary.search_examples(_examples(spark, d), '"talv hist" OR "cald or"', status="ok", least=0.5, limit=100)
+    return dictionary.search_examples(_examples(spark, d), '"talv hist" OR "cald or"', status="ok", least=0.5, limit=100).select("entry_id", F.col("n").cast("bigint").alias("n"), "raw_ref", "score")
 
 
 @query(f"SELECT e.id, coalesce(x.refs, '') AS refs FROM entry e LEFT JOIN (SELECT entry_id, string_agg(raw_ref, '; ' ORDER BY n) AS refs FROM ({_EXAMPLES}) GROUP BY 1) x ON x.entry_id = e.id")
@@ -136,7 +142,23 @@ def type_filter_or_all(spark: SparkSession, d: str) -> DataFrame:
     return dictionary.narrowed(e, "grp", F.startswith("morph_render", F.lit("s."))).select("grp", "entry_id")
 
 
-@query()
+_W = "trim(regexp_replace(regexp_replace(translate(lower(strip_accents({0})), 'уаеорсхіѕυαονıſ–—‐‑−’‘', 'yaeopcxisuaouis-----'''''), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s-]', '', 'g'), '\\s+', ' ', 'g'))"
+_SW = (
+    "[{0}, replace({0}, 'o', 'u'), replace({0}, 'u', 'o'), replace({0}, 'rn', 'm'), replace({0}, 'm', 'rn'), replace({0}, 'cl', 'd'), replace({0}, 'd', 'cl'), "
+    "replace({0}, 'æ', 'ae'), replace({0}, 'œ', 'oe'), replace({0}, 'j', 'i'), replace({0}, 'v', 'u'), replace({0}, 'ſ', 's')]"
+)
+_BG = "list_distinct(list_transform(range(1, greatest(length({0}) - 1, 1) + 1), lambda i: substr({0}, i, 2)))"
+
+
+@query(f"""WITH own AS (SELECT entry_id AS key, {_W.format('lemma_sort')} AS word FROM v2_entry), known AS (SELECT DISTINCT {_W.format('lemma')} AS word FROM ls_entries), other AS (SELECT DISTINCT {_W.format('forma')} AS word FROM lemma),
+open AS (SELECT * FROM own o WHERE word <> '' AND NOT EXISTS (SELECT 1 FROM known k WHERE k.word = o.word) AND NOT EXISTS (SELECT 1 FROM other k WHERE k.word = o.word)), words AS (SELECT DISTINCT word FROM open),
+seeds AS (SELECT word, word AS s FROM words UNION SELECT word, CASE WHEN starts_with(word, p || '-') THEN p || substr(word, length(p) + 2) ELSE p || '-' || substr(word, length(p) + 1) END
+  FROM words, (SELECT unnest(['ab', 'ad', 'con', 'de', 'dis', 'ex', 'in', 'inter', 'ob', 'per', 'post', 'prae', 'pro', 're', 'sub', 'super', 'trans']) AS p) WHERE starts_with(word, p) AND length(word) > length(p)),
+once AS (SELECT DISTINCT word, unnest({_SW.format('s')}) AS v FROM seeds), twice AS (SELECT DISTINCT word, unnest({_SW.format('v')}) AS v FROM once), met AS (SELECT DISTINCT t.word, k.word AS match FROM twice t JOIN known k ON k.word = t.v WHERE k.word <> ''),
+sc AS (SELECT word, match, round(len(list_intersect({_BG.format('word')}, {_BG.format('match')}))::DOUBLE / len(list_distinct({_BG.format('word')} || {_BG.format('match')})), 6) AS ratio, levenshtein(word, match)::INTEGER AS distance FROM met),
+b AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY ratio DESC, distance, match) AS k FROM sc)
+SELECT o.key, o.word AS lemma, b.match AS suggestion, b.ratio, b.distance, CASE WHEN b.ratio >= 0.85 OR x.word IS NOT NULL THEN 'high' ELSE 'med' END AS conf, CASE WHEN x.word IS NOT NULL THEN 'variant+second' ELSE 'variant' END AS reason
+FROM open o JOIN b ON b.word = o.word AND b.k = 1 AND b.ratio >= 0.58 LEFT JOIN other x ON x.word = b.match""")
 def suggest_fixes(spark: SparkSession, d: str) -> DataFrame:
     return dictionary.suggest_fixes(load(spark, d, "v2_entry"), "entry_id", "lemma_sort", load(spark, d, "ls_entries"), "lemma", load(spark, d, "lemma"), "forma")
 
@@ -171,7 +193,9 @@ def vector_norms(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "embeddings").select("vec_id", "label", F.round(vector.norm(F.col("embedding")), 4).alias("norm"))
 
 
-@query()
+@query("""WITH q AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 100 = 0), c AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, q.label, c.vec_id AS hit_id, list_cosine_similarity(q.e, c.e) AS s FROM q, c WHERE q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, hit_id) AS rank FROM s) SELECT query_id, label, hit_id, rank::INTEGER AS rank, round(s, 4) AS score FROM r WHERE rank <= 5""")
 def vector_links(spark: SparkSession, d: str) -> DataFrame:
     e = load(spark, d, "embeddings")
     q = e.where("vec_id % 100 = 0")

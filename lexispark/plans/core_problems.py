@@ -14,21 +14,21 @@ ARTICLE_TREE = TreeSpec(("sentidos",), ("sentidos", "subsentidos", "sub"), ("exe
 LEXICON_TREE = TreeSpec(("sense",), ("sense",), ("cit",))
 
 
-def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = flatten_tree(load(spark, sf_dir, "v2_entry"), "entry_id", "raw_json", ARTICLE_TREE)
+def _nodes(spark: SparkSession, sf_dir: str, bodies: bool) -> DataFrame:
+    entries = flatten_tree(load(spark, sf_dir, "v2_entry"), "entry_id", "raw_json", ARTICLE_TREE, bodies)
     # rows of ls_entries may be delivered twice, identical in every column
     lexicon = load(spark, sf_dir, "ls_entries").where(F.col("definition").rlike(r'^\s*[\{\["`]')).select("id", "definition").distinct()
-    other = flatten_tree(lexicon, "id", "definition", LEXICON_TREE)
+    other = flatten_tree(lexicon, "id", "definition", LEXICON_TREE, bodies)
     return entries.withColumn("tab", F.lit("v2_entry")).unionByName(other.withColumn("tab", F.lit("ls_entries")))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nodes(spark, sf_dir).select("tab", "rec_key", "node_kind", "node_path")
+    return _nodes(spark, sf_dir, False).select("tab", "rec_key", "node_kind", "node_path")
 
 
 def p2_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat tables: gloss of senses, quotation of examples, linked to the node above and to the record."""
-    n = _nodes(spark, sf_dir)
+    n = _nodes(spark, sf_dir, True)
     is_text = F.col("body").startswith('"')
     text = F.get(F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), "array<string>"), 0)
     pick = lambda *names: F.coalesce(*[F.get_json_object("body", f"$.{x}") for x in names])
@@ -118,9 +118,15 @@ s(tab, rec_key, path, j) AS (
     FROM (SELECT tab, rec_key, path, unnest([json_extract(j, '$.sentidos'), json_extract(j, '$.subsentidos'), json_extract(j, '$.sub'), json_extract(j, '$.sense')]) AS x FROM s WHERE json_type(j) = 'OBJECT') s))),
 e AS (SELECT tab, rec_key, path, CASE json_type(x) WHEN 'ARRAY' THEN x::JSON[] WHEN 'OBJECT' THEN [x] WHEN 'VARCHAR' THEN CASE WHEN x::VARCHAR = '""' THEN [] ELSE [x] END ELSE [] END AS a
   FROM (SELECT tab, rec_key, path, unnest([json_extract(j, '$.exemplos'), json_extract(j, '$.ex'), json_extract(j, '$.cit')]) AS x FROM s WHERE json_type(j) = 'OBJECT'))
-SELECT tab, rec_key, 'sense' AS node_kind, path AS node_path FROM s
-UNION ALL SELECT tab, rec_key, 'example', path || '#' || i FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e)
 """
+_NODE_LIST = """SELECT tab, rec_key, 'sense' AS node_kind, path AS node_path FROM s
+UNION ALL SELECT tab, rec_key, 'example', path || '#' || i FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e)"""
+_NODE_ROWS = """, n AS (SELECT tab, rec_key, 'sense' AS node_kind, path AS node_path, CASE WHEN contains(path, '.') THEN regexp_replace(path, '\\.[0-9]+$', '') END AS parent_path, len(string_split(path, '.'))::INTEGER AS depth, string_split(path, '.')[-1]::INTEGER AS position, j FROM s
+UNION ALL SELECT tab, rec_key, 'example', path || '#' || i, path, len(string_split(path, '.'))::INTEGER, i::INTEGER, a[i] FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e)),
+o AS (SELECT *, json_type(j) = 'OBJECT' AS obj, CASE WHEN json_type(j) = 'VARCHAR' THEN json_extract_string(j, '$') END AS said FROM n)
+SELECT tab, rec_key, node_kind, node_path, parent_path, depth, position, CASE WHEN obj THEN json_extract_string(j, '$.n') END AS label,
+CASE WHEN NOT obj THEN said WHEN node_kind = 'sense' THEN coalesce(json_extract_string(j, '$.glosa'), json_extract_string(j, '$.definicao'), json_extract_string(j, '$.def'), json_extract_string(j, '$.gloss')) ELSE coalesce(json_extract_string(j, '$.lat'), json_extract_string(j, '$.quote')) END AS text,
+CASE WHEN obj THEN json_extract_string(j, '$.trad') END AS translation FROM o"""
 
 _TREES = """
 WITH RECURSIVE n AS (SELECT DISTINCT sense_id, parent_id FROM v2_sense), top AS (SELECT n.sense_id FROM n LEFT JOIN n p ON p.sense_id = n.parent_id WHERE p.sense_id IS NULL),
@@ -134,7 +140,8 @@ f AS (SELECT sense_id, root_id, depth, path FROM t UNION ALL SELECT s, root_id,
 """
 
 ORACLE = {
-    "p2_found": _NODES,
+    "p2_found": _NODES + _NODE_LIST,
+    "p2_rows": _NODES + _NODE_ROWS,
     "p6_found": _TREES + "SELECT sense_id, root_id, depth FROM f",
     "p6_hierarchy": _TREES + """, b AS (SELECT a.sense_id, count(*) AS n FROM t a JOIN t d ON starts_with(d.path, a.path || '/') AND a.root_id = d.root_id GROUP BY 1)
 SELECT f.sense_id, f.root_id, f.depth, f.path, CASE WHEN f.depth > 0 THEN coalesce(b.n, 0) END AS n_below FROM f LEFT JOIN b ON b.sense_id = f.sense_id""",

@@ -95,9 +95,18 @@ def fts_snippet(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", search.snippet(F.col("text"), ["herança"]).alias("snippet"))
 
 
-@query()
+_FIELD_TOKENS = ", ".join(f"{TOKENS.format(c)} AS {n}" for c, n in (("lemas", "tl"), ("definicao", "td"), ("morfologia", "tm"), ("notas", "tn"), ("raw_text", "tr")))
+_PHRASE = "len(list_filter(range(1, len({0}) + 1), lambda i: {0}[i] = 'relativo' AND {0}[i + 1] = 'ao' AND {0}[i + 2] = 'mar'))"
+
+
+@query(f"""WITH e AS (SELECT e.*, coalesce(l.lemas, '') AS lemas FROM entry e LEFT JOIN (SELECT entry_id, string_agg(forma, ' / ' ORDER BY id) AS lemas FROM lemma WHERE entry_id IS NOT NULL GROUP BY 1) l ON l.entry_id = e.id),
+t AS (SELECT id, {_FIELD_TOKENS} FROM e), c AS (SELECT id, len(tl) + len(td) + len(tm) + len(tn) + len(tr) AS size, len(list_filter(tl || td || tm || tn || tr, lambda x: x = 'navio')) AS f0, len(list_filter(tm, lambda x: x = 'adj')) AS f1,
+ {' + '.join(_PHRASE.format(n) for n in ('tl', 'td', 'tm', 'tn', 'tr'))} AS f2 FROM t), s AS (SELECT count(*) AS n, avg(size) AS mean, count_if(f0 > 0) AS d0, count_if(f1 > 0) AS d1, count_if(f2 > 0) AS d2 FROM c)
+SELECT id, round(0 - {" - ".join(f"(CASE WHEN ln((n - d{i} + 0.5) / (d{i} + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - d{i} + 0.5) / (d{i} + 0.5)) END) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * size / mean))" for i in range(3))}, 6) AS score
+FROM c, s WHERE f0 > 0 OR (f1 > 0 AND f2 > 0) ORDER BY 2, 1 LIMIT 50""")
 def fts_entry_search(spark: SparkSession, d: str) -> DataFrame:
-    return search.search_entries(load(spark, d, "entry"), load(spark, d, "lemma"), 'navio OR (f_morf : adj "relativo ao mar*")', limit=50, index=search.entry_index(load(spark, d, "entry"), load(spark, d, "lemma"), f"{d}/entry"))
+    index = search.entry_index(load(spark, d, "entry"), load(spark, d, "lemma"), f"{d}/entry")
+    return search.search_entries(load(spark, d, "entry"), load(spark, d, "lemma"), 'navio OR (f_morf : adj "relativo ao mar*")', limit=50, index=index).select("id", "score")
 
 
 @query(f"""WITH t AS (SELECT id, unnest({TOKENS.format('definicao')}) AS term FROM entry)
@@ -439,7 +448,10 @@ def flatten_redirects(spark: SparkSession, d: str) -> DataFrame:
     return publish.flatten_items(nested, "items", "doc").select(F.col("item.entry_id").alias("entry_id"), "id")
 
 
-@query()
+@query("""WITH h AS (SELECT lemma_sort, morph_render, definicao, lower(trim(conf)) AS conf, row_number() OVER w AS rn, CASE WHEN regexp_matches(upper(substr(trim(strip_accents(lemma_sort)), 1, 1)), '^[A-Z]$') THEN upper(substr(trim(strip_accents(lemma_sort)), 1, 1)) ELSE '#' END AS letter FROM v2_entry
+ WINDOW w AS (ORDER BY lemma_sort NULLS FIRST, entry_id)), g AS (SELECT *, lag(letter) OVER (ORDER BY rn) AS before FROM h),
+t AS (SELECT rn, letter, before, concat_ws(' ', '**' || lemma_sort || '**', CASE WHEN morph_render <> '' THEN '*' || morph_render || '*' END, CASE conf WHEN 'high' THEN '●' WHEN 'med' THEN '◐' WHEN 'low' THEN '○' END, definicao) AS line FROM g)
+SELECT rn, CASE WHEN before IS NULL OR before <> letter THEN '## ' || letter || E'\\n\\n' || line ELSE line END AS text FROM t""")
 def markdown_export(spark: SparkSession, d: str) -> DataFrame:
     e = load(spark, d, "v2_entry").select("entry_id", "lemma_sort", "morph_render", "definicao", "conf")
     return publish.markdown(e, ["lemma_sort", "entry_id"], "lemma_sort", "morph_render", "definicao", F.lower(F.trim("conf")))

@@ -268,4 +268,18 @@ def first_entries(spark: SparkSession, d: str) -> DataFrame:
     return entry_source(load(spark, d, "entry"), load(spark, d, "lemma")).orderBy("id").limit(10).select("id", "lemas")
 
 
+@query("""WITH c AS (SELECT count(*) AS n, count_if(lower(trim(conf)) = 'high') AS h, count_if(lower(trim(conf)) = 'med') AS m, count_if(lower(trim(conf)) = 'low') AS l FROM v2_entry)
+SELECT unnest([-5, -4, -3, -2, -1])::BIGINT AS rn, unnest(['# Retificado', '**Total de entradas:** ' || n, '**Confiança:** high ' || h || ', med ' || m || ', low ' || l, '**Exportado em:** 2024-01-01', '---']) AS text FROM c""")
+def export_header(spark: SparkSession, d: str) -> DataFrame:
+    return publish.export_header(load(spark, d, "v2_entry"), "Retificado", F.lower(F.trim("conf")), "2024-01-01")
+
+
+@query("""WITH s AS (SELECT lemma_sort AS lemma, 0 AS i, '- *retificado*: ' || array_to_string(list_sort(list(DISTINCT coalesce(definicao, ''))), ' / ') AS line FROM v2_entry WHERE lemma_sort IS NOT NULL GROUP BY 1
+UNION ALL SELECT lemma, 1, '- *ls*: ' || array_to_string(list_sort(list(DISTINCT coalesce(definition, ''))), ' / ') FROM ls_entries WHERE lemma IS NOT NULL GROUP BY 1),
+g AS (SELECT lemma, '**' || lemma || E'**\\n' || string_agg(line, E'\\n' ORDER BY i) AS text FROM s GROUP BY 1) SELECT row_number() OVER (ORDER BY lower(lemma), lemma) AS rn, text FROM g""".replace("\\\\", "\\"))
+def unified_export(spark: SparkSession, d: str) -> DataFrame:
+    a = load(spark, d, "v2_entry").select(F.col("lemma_sort").alias("lemma"), F.col("definicao").alias("body"))
+    return publish.unified({"retificado": a, "ls": load(spark, d, "ls_entries").select("lemma", F.col("definition").alias("body"))})
+
+
 QUERIES, ORACLE = Q, SQL

@@ -77,6 +77,29 @@ def release(mark: int = 0) -> None:
 atexit.register(release)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file through Hadoop: a path of any file system the cluster knows."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Read one small file through Hadoop; None where there is none."""
+    if not path_exists(spark, path):
+        return None
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark._jvm.org.apache.commons.io.IOUtils.toString(target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target), "UTF-8")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package's modules travel by value inside Python functions sent to executors.
 

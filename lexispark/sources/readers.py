@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import csv
 import json
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lexispark.session import path_exists, read_text
+
 ITEM = "struct<lemas:array<string>,morfologia:string,morph_extra:array<string>,definicao:string,exemplos:array<string>,notas:string,conf:string,needs_review:int,redirect_only:int,morph_out_of_vocab:int,raw_json:string>"
 PAGE_SCHEMA = f"doc_name string, page_num int, raw_text string, extracted_text string, normalized_text array<{ITEM}>"
 
@@ -24,11 +25,12 @@ def volumes(spark: SparkSession, catalog: list[dict], base: str) -> DataFrame:
     """Pages of all volumes of a catalog (id, title, source_json), with volume_id and title; a missing file is an error."""
     out = None
     for v in catalog:
-        options = [Path(base, v["source_json"]), Path(base).parent / v["source_json"], Path(v["source_json"])]
-        found = next((p for p in options if p.exists()), None)
+        above = base.rstrip("/").rpartition("/")[0] or "."
+        options = [f"{base}/{v['source_json']}", f"{above}/{v['source_json']}", v["source_json"]]
+        found = next((p for p in options if path_exists(spark, p)), None)
         if found is None:
             raise FileNotFoundError(v["source_json"])
-        part = pages_json(spark, str(found)).withColumn("volume_id", F.lit(v["id"])).withColumn("title", F.lit(v.get("title")))
+        part = pages_json(spark, found).withColumn("volume_id", F.lit(v["id"])).withColumn("title", F.lit(v.get("title")))
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("the catalog is empty")
@@ -44,17 +46,21 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
 
 
 def shards(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Rows of the shard files an index.json lists, in page, shard and line order."""
-    index = json.loads(Path(folder, "index.json").read_text())
-    files = [str(Path(folder, s["file"])) for s in index["shards"]]
-    rows = spark.read.schema(schema).json(files).withColumn("__file", F.input_file_name()).withColumn("__line", F.monotonically_increasing_id())
-    return rows.orderBy("page_num", "__file", "__line").drop("__file", "__line")
+    """Rows of the shard files an index.json lists, in page, shard and line order.
+
+    A row's place is the offset of its block in the file and its number among the rows read from there.
+    """
+    index = json.loads(read_text(spark, f"{folder}/index.json") or '{"shards": []}')
+    files = [f"{folder}/{s['file']}" for s in index["shards"]]
+    if not files:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).json(files).select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line"))
+    return rows.orderBy("page_num", "__file", "__block", "__line").drop("__file", "__block", "__line")
 
 
 def sniff_delimiter(path: str, options: str = ",;|\t") -> str:
-    """Delimiter of a text file, judged by its first 64 KB."""
-    with open(path, newline="", encoding="utf-8") as f:
-        head = f.read(1 << 16)
+    """Delimiter of a text file, judged by its first lines."""
+    head = "\n".join(r[0] for r in SparkSession.active().read.text(path).limit(200).collect())[: 1 << 16]
     try:
         return csv.Sniffer().sniff(head, options).delimiter
     except csv.Error:
@@ -176,3 +182,8 @@ def sqlite_table(spark: SparkSession, path: str, table: str, partitions: int = 4
     ship_package(spark)
     spark.dataSource.register(SqliteSource)
     return spark.read.format("sqlite_file").option("path", path).option("table", table).option("partitions", str(partitions)).load()
+
+
+def vector_index(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored vector index; ``vector_id`` is the place of a row."""
+    return spark.read.parquet(folder)

@@ -75,3 +75,16 @@ def test_very_deep_and_very_long(spark):
     got = flatten_tree(spark.createDataFrame([("d", deep, "", ""), ("l", long, "", "")], SCHEMA), "rec_key", "doc", SPEC)
     counts = {r.rec_key: r["count"] for r in got.groupBy("rec_key").count().collect()}
     assert counts == {"d": 201, "l": 3}
+
+
+def test_documents_wrapped_any_number_of_times(spark):
+    doc = json.dumps({"sentidos": ["um", {"glosa": "dois", "ex": "x"}]})
+    texts = [doc]
+    for _ in range(5):
+        doc = "```json\n" + json.dumps(doc) + "\n```" if len(texts) % 2 else json.dumps(doc)
+        texts.append(doc)
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)] + [("p", '"only text"'), ("q", '"'), ("r", "```")], "rec_key string, doc string")
+    got = {}
+    for r in flatten_tree(df, "rec_key", "doc", SPEC).collect():
+        got.setdefault(r.rec_key, set()).add((r.node_kind, r.node_path))
+    assert got == {str(i): {("sense", "1"), ("sense", "2"), ("example", "2#1")} for i in range(6)}
