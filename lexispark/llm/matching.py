@@ -31,6 +31,7 @@ MOST_EDITS = 12  # more edits than these count as these: a feature that far pair
 TRAIN_ROWS = 20_000  # weakly labelled pairs read to the driver for training: the bound of the sample
 FAR_ROWS = 2_000  # of them pairs of spellings farther apart than
 CLOSE_DISTANCE = 0.34
+FAR_FORMS = 400_000  # distant pairs of spellings looked at for training, about
 THRESHOLD = 0.5
 LATIN_WORD = r"\p{L}{7,}"
 # Abbreviations of word classes in the second dictionary.
@@ -140,25 +141,35 @@ def candidate_forms(left: DataFrame, right: DataFrame) -> DataFrame:
     Every spelling is banded twice, as it stands and with doubled consonants written once.
     """
 
+    def keyed(side: DataFrame, *more: str) -> DataFrame:
+        """What pairs of spellings are compared by, made once a spelling."""
+        single = single_consonants(F.col("form"))
+        return side.select("form", *more, single.alias("single"), _runs(skeleton(F.col("form"))).alias("runs"), _runs(skeleton(single)).alias("single_runs"))
+
     def spellings(side: DataFrame) -> DataFrame:
-        both = side.select("form", F.explode(F.array_distinct(F.array("form", single_consonants(F.col("form"))))).alias("spelt"))
-        return cut(both.select("form", skeleton(F.col("spelt")).alias("skel")).where("skel != ''").distinct())
+        every = keyed(side.select("form").distinct())
+        return cut(every.select("*", F.explode(F.array_distinct(F.array(skeleton(F.col("form")), skeleton(F.col("single"))))).alias("skel")).where("skel != ''"))
+
+    def cited(side: DataFrame) -> DataFrame:
+        rows = keyed(side.where(F.size("quotes") >= 3), "quotes")
+        return rows.select("form", "single", "runs", "single_runs", F.explode(_cited_bands(skeleton(F.col("form")), F.col("quotes"))).alias("band")).distinct()
+
+    def other(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"ls_{c}") if c in ("form", "single", "runs", "single_runs") else F.col(c) for c in df.columns])
 
-    def cited(side: DataFrame, name: str) -> DataFrame:
-        return side.where(F.size("quotes") >= 3).select(F.col("form").alias(name), F.explode(_cited_bands(skeleton(F.col("form")), F.col("quotes"))).alias("band")).distinct()
+    def compared(pairs: DataFrame) -> DataFrame:
+        far = lambda x, y: F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y), F.lit(1))
+        tail = lambda x, y: F.levenshtein(F.substring(x, -5, 5), F.substring(y, -5, 5)) / 5.0
+        edits = F.least(F.levenshtein("form", "ls_form"), F.levenshtein("single", "ls_single"), F.lit(MOST_EDITS)) / MAX_MISREAD_DISTANCE
+        a, b, c, d = (F.col(x) for x in ("runs", "ls_runs", "single_runs", "ls_single_runs"))
+        return pairs.select("form", "ls_form", ((a == b) | (c == d)).cast("double").alias("same_skeleton"), F.least(far(a, b), far(c, d)).alias("distance"), F.least(tail(a, b), tail(c, d)).alias("tail_distance"), edits.alias("edits"))
 
     ship_package(left.sparkSession)
     a, b = spellings(left), spellings(right)
-    met = _skeleton_bands(a.select("skel").distinct()).join(_skeleton_bands(b.select("skel").distinct()).withColumnRenamed("skel", "ls_skel"), "band").select("skel", "ls_skel").distinct()
-    near = met.join(a, "skel").join(b.select(F.col("skel").alias("ls_skel"), F.col("form").alias("ls_form")), "ls_skel").select("form", "ls_form")
-    pairs = near.unionByName(cited(left, "form").join(cited(right, "ls_form"), "band").select("form", "ls_form")).distinct()
-    keyed = lambda c: [_runs(skeleton(F.col(c))).alias(f"{c}_a"), _runs(skeleton(single_consonants(F.col(c)))).alias(f"{c}_b")]
-    edits = F.least(F.levenshtein("form", "ls_form"), F.levenshtein(single_consonants(F.col("form")), single_consonants(F.col("ls_form"))))
-    keys = pairs.select("form", "ls_form", edits.alias("edits"), *keyed("form"), *keyed("ls_form"))
-    far = lambda x, y: F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y), F.lit(1))
-    tail = lambda x, y: F.levenshtein(F.substring(x, -5, 5), F.substring(y, -5, 5)) / 5.0
-    a, b, c, d = (F.col(x) for x in ("form_a", "ls_form_a", "form_b", "ls_form_b"))
-    return keys.select("form", "ls_form", ((a == b) | (c == d)).cast("double").alias("same_skeleton"), F.least(far(a, b), far(c, d)).alias("distance"), F.least(tail(a, b), tail(c, d)).alias("tail_distance"), (F.least(F.col("edits"), F.lit(MOST_EDITS)) / MAX_MISREAD_DISTANCE).alias("edits"))
+    # skeletons travel as hashes until the pairs are known
+    met = _skeleton_bands(a.select("skel").distinct()).select(F.xxhash64("skel").alias("s"), "band").join(_skeleton_bands(b.select("skel").distinct()).select(F.xxhash64("skel").alias("r"), "band"), "band").select("s", "r").distinct()
+    near = met.join(a.withColumn("s", F.xxhash64("skel")).drop("skel"), "s").join(other(b.withColumn("r", F.xxhash64("skel")).drop("skel")), "r")
+    return compared(near).unionByName(compared(cited(left).join(other(cited(right)), "band"))).distinct()
 
 
 def pair_features(left: DataFrame, right: DataFrame, forms: DataFrame | None = None) -> DataFrame:
@@ -239,10 +250,12 @@ def matches(left_table: DataFrame, right_table: DataFrame, threshold: float = TH
     left, right = cut(left_side(left_table)), cut(right_side(right_table))
     forms = cut(candidate_forms(left, right))
     cited = lambda side: side.where(F.size("quotes") >= 2)
-    labelled = pair_features(cited(left), cited(right), forms).where(F.col("label").isNotNull()).withColumn("draw", F.xxhash64("entry_id", "ls_id"))
     # distant spellings became candidates by their quotations, so shared quotations would be a circular label for them:
-    # of those only the negative ones are used
+    # of those only negative ones are used, out of a part of them
     close = (F.col("distance") <= CLOSE_DISTANCE) & (F.col("edits") <= 1.0)
+    part = max(1, forms.count() // FAR_FORMS)
+    taught = forms.where(close | (F.pmod(F.xxhash64("form", "ls_form"), F.lit(part)) == 0))
+    labelled = pair_features(cited(left), cited(right), taught).where(F.col("label").isNotNull()).withColumn("draw", F.xxhash64("entry_id", "ls_id"))
     labelled = cut(labelled.withColumn("close", close))
     drawn = lambda df, n: df.orderBy("draw").limit(n).select(*FEATURES, "label", "draw")
     sample = drawn(labelled.where("close"), TRAIN_ROWS - FAR_ROWS).unionByName(drawn(labelled.where("NOT close AND label = 0"), FAR_ROWS)).toPandas().sort_values("draw")
