@@ -115,7 +115,9 @@ def _consistent_sql(text: str) -> str:
     return f"nfc_normalize(array_to_string(list_transform(string_split({x}, ' '), lambda w: {word}), ' '))"
 
 
+_FORMS = """t AS (SELECT 'v2_entry' AS tab, entry_id::VARCHAR AS rec_key, lemma AS x FROM v2_entry UNION ALL SELECT 'v2_form', form_id::VARCHAR, form FROM v2_form
+UNION ALL SELECT 'ls_entries', id, unnest(CAST(json(orths) AS VARCHAR[])) FROM ls_entries)"""
 ORACLE = {
-    "p4_found": f"""WITH t AS (SELECT 'v2_entry' AS tab, entry_id::VARCHAR AS rec_key, lemma AS x FROM v2_entry UNION ALL SELECT 'v2_form', form_id::VARCHAR, form FROM v2_form
-UNION ALL SELECT 'ls_entries', id, unnest(CAST(json(orths) AS VARCHAR[])) FROM ls_entries) SELECT DISTINCT tab, rec_key FROM t WHERE x IS NOT NULL AND x <> {_consistent_sql("x")}""",
+    "p4_found": f"WITH {_FORMS} SELECT DISTINCT tab, rec_key FROM t WHERE x IS NOT NULL AND x <> {_consistent_sql('x')}",
+    "p4_spellings": f"WITH {_FORMS}, c AS (SELECT DISTINCT x AS text, {_consistent_sql('x')} AS consistent FROM t WHERE x IS NOT NULL) SELECT text, consistent FROM c WHERE text <> consistent",
 }
