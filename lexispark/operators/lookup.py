@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexispark.operators.skew import spread_join
+
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -31,7 +33,7 @@ def proofs(entries: DataFrame, key: str, sources: dict[str, DataFrame]) -> DataF
     """
     found = union_all([s.toDF("__k").where(F.col("__k").isNotNull()).distinct().withColumn("__w", F.lit(n)) for n, s in sources.items()])
     sets = found.groupBy("__k").agg(F.array_sort(F.collect_set("__w")).alias("__set"))
-    out = entries.join(sets, entries[key] == sets["__k"], "left").drop("__k")
+    out = spread_join(entries, sets.withColumnRenamed("__k", key), key, "left")
     n = F.size(F.coalesce("__set", F.array().cast("array<string>")))
     return out.withColumn("found_count", n).withColumn("found_where", F.array_join(F.coalesce("__set", F.array().cast("array<string>")), ",")).withColumn("consensus_note", F.when(n >= 2, "strong").when(n == 1, "weak").otherwise("none")).drop("__set")
 
@@ -47,6 +49,21 @@ def capped(df: DataFrame, group: list[str], order: list[Column], cap: int) -> Da
     return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("__rn") <= cap).drop("__rn")
 
 
+def first_matches(left: DataFrame, left_key: str, right: DataFrame, right_key: str, pairs: list[tuple[str, str]], cap: int) -> DataFrame:
+    """At most ``cap`` rows of ``right`` per row of ``left`` where any of the column pairs is equal: ``(left_key, right_key)``,
+    the smallest right keys.
+
+    No more than ``cap`` rows of a key are joined at all, so a key that a large part of the rows has costs no more than
+    any other.
+    """
+    found = None
+    for a, b in pairs:
+        few = capped(right.where(F.col(b).isNotNull()).select(F.col(b).alias(a), right_key).distinct(), [a], [F.col(right_key)], cap)
+        met = left.select(left_key, a).join(few, a).select(left_key, right_key)
+        found = met if found is None else found.unionByName(met)
+    return capped(found.distinct(), [left_key], [F.col(right_key)], cap)
+
+
 def best_by_tier(tiers: list[DataFrame], group: str, order: list[str]) -> DataFrame:
     """Cascading lookup: the first tier that answers wins, within a tier the smallest of ``order``.
 

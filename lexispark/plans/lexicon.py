@@ -282,8 +282,7 @@ def orphans_anti(spark: SparkSession, d: str) -> DataFrame:
 r AS (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY form_id) AS rn FROM u) SELECT entry_id, form_id FROM r WHERE rn <= 5""")
 def evidence_lookup(spark: SparkSession, d: str) -> DataFrame:
     e, f = load(spark, d, "v2_entry").select(F.col("entry_id"), "lemma_sort", "lemma"), load(spark, d, "v2_form").select("form_id", "form_norm", "form")
-    j = lookup.either_key_join(e, f, [("lemma_sort", "form_norm"), ("lemma", "form")]).select("entry_id", "form_id").distinct()
-    return lookup.capped(j, ["entry_id"], [F.col("form_id")], 5)
+    return lookup.first_matches(e, "entry_id", f, "form_id", [("lemma_sort", "form_norm"), ("lemma", "form")], 5)
 
 
 @query("""SELECT id, entry_id, tier FROM (SELECT l.id, e.entry_id, e.tier, row_number() OVER (PARTITION BY l.id ORDER BY e.tier, e.needs_review, e.morph_out_of_vocab, e.entry_id) AS rn FROM (SELECT DISTINCT id, lemma FROM ls_entries) l

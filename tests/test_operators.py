@@ -37,6 +37,15 @@ def test_unique_keys_and_proofs(spark):
     assert lookup.require_columns(left, {"key": ["lemma", "K"]}) == {"key": "k"}
 
 
+def test_first_matches_equal_a_capped_join(spark):
+    rng = random.Random(6)
+    left = spark.createDataFrame([(i, rng.choice(["a", "b", None, "c"]), rng.choice(["x", "y", None])) for i in range(30)], "i int, s string, l string")
+    right = spark.createDataFrame([(j, rng.choice(["a", "a", "a", "b", None]), rng.choice(["x", "z", None])) for j in range(60)], "j int, n string, f string")
+    whole = lookup.either_key_join(left, right, [("s", "n"), ("l", "f")]).select("i", "j").distinct()
+    want = {tuple(r) for r in lookup.capped(whole, ["i"], [F.col("j")], 4).collect()}
+    assert {tuple(r) for r in lookup.first_matches(left, "i", right, "j", [("s", "n"), ("l", "f")], 4).collect()} == want and want
+
+
 def test_tiers_take_the_first_answer(spark):
     t0 = spark.createDataFrame([(1, 1, 10)], "g int, o int, v int")
     t1 = spark.createDataFrame([(1, 0, 20), (2, 5, 30), (2, 4, 40)], "g int, o int, v int")
