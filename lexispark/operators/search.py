@@ -310,12 +310,32 @@ def write_index(df: DataFrame, key: str, columns: list[str], folder: str) -> Non
     several files), and the smallest and largest term of every file and row group keep queries from reading others. Rows
     with a null key are not indexed; a key delivered twice is indexed twice.
     """
+    spread, rows = _index_rows(df, key, columns)
+    _store_index(spread, rows, folder)
+
+
+def _index_rows(df: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     row = df.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), *[tokens(F.col(c)).alias(c) for c in columns])
     sized = row.withColumn("size", sum((F.size(c) for c in columns), F.lit(0)))
     parts = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("terms")) for c in columns])
     spread = sized.select("doc", "size", F.explode(parts).alias("p")).select("doc", "size", "p.col", F.posexplode("p.terms").alias("pos", "term"))
-    spread.select("term", "doc", "col", "pos", "size").repartitionByRange("term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/postings")
-    sized.agg(F.count("*").alias("n_rows"), F.avg("size").alias("mean_size")).write.mode("overwrite").parquet(f"{folder}/stats")
+    return spread.select("term", "doc", "col", "pos", "size"), sized.select("doc", "size")
+
+
+def _store_index(spread: DataFrame, rows: DataFrame, folder: str) -> None:
+    spread.repartitionByRange("term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/postings")
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/rows")
+    stored = rows.sparkSession.read.parquet(f"{folder}/rows")
+    stored.agg(F.count("*").alias("n_rows"), F.avg("size").alias("mean_size")).write.mode("overwrite").parquet(f"{folder}/stats")
+
+
+def update_index(spark: SparkSession, folder: str, changed: DataFrame, deleted: DataFrame, key: str, columns: list[str], target: str) -> None:
+    """A new version of the index in ``folder``, written to ``target``: rows of ``changed`` are inserted or replace those
+    with their key, keys of ``deleted`` (one column) are gone. The old version stays readable meanwhile."""
+    gone = changed.select(F.col(key).alias("doc")).unionByName(deleted.toDF("doc")).where("doc IS NOT NULL").distinct()
+    spread, rows = _index_rows(changed, key, columns)
+    kept = lambda name: spark.read.parquet(f"{folder}/{name}").join(gone, "doc", "left_anti")
+    _store_index(kept("postings").select("term", "doc", "col", "pos", "size").unionByName(spread), kept("rows").select("doc", "size").unionByName(rows), target)
 
 
 def open_index(spark: SparkSession, folder: str, columns: list[str]) -> Index:

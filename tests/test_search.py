@@ -4,7 +4,7 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from lexispark.operators.search import open_index, parse_query, postings, search, search_index, snippet, tokens, write_index
+from lexispark.operators.search import open_index, parse_query, postings, search, search_index, snippet, tokens, update_index, write_index
 
 ROWS = [(1, "O navio do rio, e o Navio.", "mar"), (2, "Porto e navio: o rio leva o navio ao porto.", None), (3, "A cerimônia da neve", "navio"), (4, None, None), (5, "navios navegam; rio", "rio"), (6, "", "x")]
 
@@ -62,3 +62,14 @@ def test_tokens_postings_and_snippet(spark, docs):
     got = spark.range(1).select(snippet(F.lit(text), ["cerimonia"])).first()[0]
     assert got.startswith("…w30") and got.endswith("[Cerimônia] fim")
     assert spark.range(1).select(snippet(F.lit(None).cast("string"), ["x"])).first()[0] == ""
+
+
+def test_updated_index_equals_a_new_one(spark, docs, tmp_path):
+    write_index(docs, "id", ["a", "b"], f"{tmp_path}/old")
+    changed = spark.createDataFrame([(2, "neve e navio", None), (9, "rio navio navio", "mar"), (3, None, None)], "id int, a string, b string")
+    deleted = spark.createDataFrame([(5,), (77,)], "id int")
+    update_index(spark, f"{tmp_path}/old", changed, deleted, "id", ["a", "b"], f"{tmp_path}/new")
+    now = docs.where("id NOT IN (2, 3, 5)").unionByName(changed)
+    for query in ("navio", "rio OR neve", "nav* NOT mar"):
+        got = {(r.doc, r.score) for r in search_index(open_index(spark, f"{tmp_path}/new", ["a", "b"]), query).collect()}
+        assert got == {(r.id, r.score) for r in search(now, query, ["a", "b"], ["id"]).collect()}
