@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispark.functions.fold import unaccent_lower
+from lexispark.functions.fold import accent_table
 from lexispark.functions.strings import let
 from lexispark.operators.skew import spread_join
 from lexispark.session import cut, ship_package
@@ -70,7 +70,8 @@ def _unmarked(body: Column) -> Column:
 
 def _copy_form(body: Column) -> Column:
     """Form in which copies are compared: letters and digits without case and accents, no mark of a copy in front."""
-    return F.regexp_replace(unaccent_lower(_unmarked(body)), r"[^\p{L}\p{N}]+", "")
+    source, target = accent_table()
+    return F.lower(F.translate(F.regexp_replace(_unmarked(body), r"[^\p{L}\p{N}]+", ""), source, target))
 
 
 def _starts(form: Column) -> Column:
@@ -131,7 +132,7 @@ def break_off(text: str, longer: str, letters: int) -> str:
     the longer one lacks is complete: another sentence that begins alike."""
     at = seen = 0
     while at < len(longer) and seen < letters:
-        seen += (unicodedata.category(longer[at])[0] in "LN") + (longer[at] in "ßẞ")
+        seen += unicodedata.category(longer[at])[0] in "LN"
         at += 1
     while at < len(longer) and unicodedata.combining(longer[at]):
         at += 1
