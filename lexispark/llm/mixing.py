@@ -26,7 +26,7 @@ from lexispark.functions.fold import unaccent_lower
 from lexispark.session import cut, ship_package
 
 BUCKETS = 4096  # of each kind of features: words, and signs of form
-FIT_ROWS = 50_000  # labelled documents the classifier is fitted on, about: the bound of the sample
+FIT_ROWS = 20_000  # labelled documents the classifier is fitted on, about: the bound of the sample
 HELD_OUT = 5
 DRAW_BINS = 4096
 MAX_SOURCES = 1000  # sources and targets are read to the driver; more targets are an error, other sources are pooled
