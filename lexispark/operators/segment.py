@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexispark.operators.skew import spread_join
 from lexispark.session import cut, ship_package
 
 # Abbreviations of entries, and endings of headword lines.
@@ -15,8 +18,7 @@ ABBREVIATIONS = (
     "inf.", "interj.", "interr.", "intr.", "loc.", "m.", "n.", "nom.", "num.", "ord.", "part.", "perf.", "pass.", "pes.", "pl.", "prep.", "prés.", "pr.", "pron.", "prev.", "reflex.", "sg.",
     "sent.", "sinc.", "subs.", "subj.", "superl.", "tr.", "v.", "voc.", " = ",
 )
-GRAMMAR = ("s.", "adj.", "v.", "adv.", "prep.", "conj.", "interj.", "pron.", "num.", "indecl.", "subst.")
-ENDINGS = ("-ae", "-i", "-is", "-us", "-ei", "-a", "-um", "-e", "-are", "-ere", "-ire", "-onis", "-tatis")
+ENDINGS = ("ae", "i", "is", "us", "ei", "are", "ere", "ire", "atus", "itus")
 RUNNING_HEAD = r"^(\p{Lu}[\p{Lu}\p{M}]+) +[—–-] +(\d+) +[—–-] +(\p{Lu}[\p{Lu}\p{M}]+)$"
 HEAD_LINE = r"^[^\s].{0,40}?\s*,\s*(?:[^\n]*?\s)?(?:s|adj|v|adv|prep|conj|interj|pron|num|indecl|subst)\."
 WINDOW = 5
@@ -133,24 +135,43 @@ def _bare(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", text.lower()) if unicodedata.category(c) != "Mn")
 
 
-def merge_candidates(parts: list[tuple[str, bool]], window: str = "") -> tuple[list[tuple[bool, str]], str]:
-    """Merge an ordered list of (candidate, headword known): pieces (opens an entry, text) and the window after them.
+def _head_word(text: str) -> str:
+    """First word of a candidate's headword, without the number in front."""
+    line = re.sub(r"^\d+\)?\.\s*", "", text.lstrip().split("\n", 1)[0].strip())
+    words = line.split(",", 1)[0].split()
+    return _bare(words[0]) if words else ""
+
+
+def _shows_grammar(text: str) -> bool:
+    """Whether a candidate begins with an abbreviation or an ending in its first 50 letters."""
+    opening = _bare(text[:50]).strip()
+    return any(_bare(a) in opening for a in ABBREVIATIONS) or not set(re.split(r"[ ,.]+", opening)).isdisjoint(ENDINGS)
+
+
+def merge_candidates(parts: list[tuple[str, bool, bool]], window: str = "") -> tuple[list[tuple[bool, str]], str]:
+    """Merge an ordered list of (candidate, headword known, headword behind 'i.' or 'l.' known): pieces (opens an entry,
+    text) and the window after them.
 
-    A candidate opens an entry when its headword's initial fits the last WINDOW initials: one of them, or a letter next
-    to one of them. Unknown headwords do so only when the line shows grammar. Everything else continues the entry
-    before. What came before matters only through ``window``, the last initials.
+    A candidate continues the entry before when it begins with no letter or with 'daí:', shows no grammar, or its first
+    word is an abbreviation. An 'i.' or 'l.' before a known headword is a misread number and left out. Any other opens
+    an entry when its initial fits the last WINDOW initials: one of them, a letter next to one of them, or x after v
+    (there is no w). Initials of known headwords always join the window, those of others only when they open an entry;
+    the first known headword always opens one. What came before matters only through ``window``.
     """
+    signs = {_bare(a) for a in ABBREVIATIONS}
     pieces: list[tuple[bool, list[str]]] = []
-    for text, known in parts:
-        head = _bare(text.split(",")[0].split(" ")[0].strip("*-0123456789. "))
-        opening = _bare(text[:50])
-        words = opening.replace(",", " ").split()
-        grammar = any(f" {a}" in f" {opening}" for a in GRAMMAR) or any(e in words for e in ENDINGS)
+    for text, known, known_behind in parts:
+        head = _head_word(text)
+        if head in ("i.", "l.") and known_behind:
+            text = text.lstrip()[2:].lstrip()
+            head, known = _head_word(text), True
         opens = False
-        if head and head.isalpha() and (known or grammar):
+        if head and head[0].isalpha() and head != "dai:" and head not in signs and _shows_grammar(text):
             initial = head[0]
-            opens = not window or any(abs(ord(initial) - ord(w)) <= 1 for w in window) or ("v" in window and initial == "x")
-            if opens or known:
+            if known and not window:
+                window = initial
+            opens = any(abs(ord(initial) - ord(w)) <= 1 for w in window) or ("v" in window and initial == "x")
+            if known or opens:
                 window = (window + initial)[-WINDOW:]
         if opens or not pieces:
             pieces.append((opens, [text]))
@@ -173,9 +194,13 @@ def segment(pages: DataFrame, doc: str, page: str, text: str, known: DataFrame,
     usable = pages.where(F.col(text).isNotNull() & F.col(doc).isNotNull() & F.col(page).isNotNull()).dropDuplicates([doc, page])
     clean = usable.select(F.col(doc).alias("doc"), F.col(page).cast("int").alias("page"), body.alias("body"))
     c = clean.select("doc", "page", F.posexplode(F.split(F.regexp_replace("body", rf"(?im)(?={HEAD_LINE})", "\x01"), "\x01")).alias("pos", "candidate")).where(F.trim("candidate") != "")
-    head = F.lower(F.regexp_extract("candidate", r"^\s*([\p{L}\p{M}]+)", 1))
-    k = known.select(F.lower("headword").alias("h")).distinct().withColumn("known", F.lit(True))
-    c = c.withColumn("h", head).join(k, "h", "left").select("doc", F.floor(F.col("page") / chunk_pages).cast("int").alias("chunk"), "page", "pos", "candidate", F.coalesce("known", F.lit(False)).alias("known"))
+    head = F.lower(F.regexp_extract("candidate", r"^\s*(?:\d+\)?\.\s*)?([\p{L}\p{M}]+)", 1))
+    behind = F.lower(F.regexp_extract("candidate", r"^\s*[ilIL]\.\s*([\p{L}\p{M}]+)", 1))
+    words = known.select(F.lower("headword").alias("h")).where("h != ''").distinct()
+    flag = lambda name, column: words.select(F.col("h").alias(column), F.lit(True).alias(name))
+    c = c.withColumn("h", head).withColumn("b", F.nullif(behind, F.lit(""))).join(flag("known", "h"), "h", "left")
+    c = spread_join(c, flag("known_behind", "b"), "b")
+    c = c.select("doc", F.floor(F.col("page") / chunk_pages).cast("int").alias("chunk"), "page", "pos", "candidate", F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("known_behind", F.lit(False)).alias("known_behind"))
     c = cut(c)
     order = Window.partitionBy("doc").orderBy("chunk")  # one short row a chunk
     starts = c.select("doc", "chunk").distinct().withColumn("start", F.lit(""))
@@ -183,7 +208,7 @@ def segment(pages: DataFrame, doc: str, page: str, text: str, known: DataFrame,
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["page", "pos"])
-        made, ends = merge_candidates(list(zip(pdf["candidate"].str.strip(), pdf["known"])), pdf["start"].iloc[0])
+        made, ends = merge_candidates(list(zip(pdf["candidate"].str.strip(), pdf["known"], pdf["known_behind"])), pdf["start"].iloc[0])
         n = len(made)
         return pd.DataFrame({"doc": [pdf["doc"].iloc[0]] * n, "chunk": [int(pdf["chunk"].iloc[0])] * n, "start": [pdf["start"].iloc[0]] * n, "place": range(n), "opens": [o for o, _ in made], "entry": [t for _, t in made], "ends": [ends] * n})
 

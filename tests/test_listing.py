@@ -93,3 +93,23 @@ def test_unified_export(spark):
     b = spark.createDataFrame([("Abc", "one"), ("Abc", "two"), ("zz", "three")], "lemma string, body string")
     got = [r.text for r in publish.unified({"pt": a, "en": b}).orderBy("rn").collect()]
     assert got == ["**Abc**\n- *pt*: um\n- *en*: one / two", "**abd**\n- *pt*: ", "**zz**\n- *en*: three"]
+
+
+def test_candidates_merge_in_order():
+    """Worked by hand: window of initials, unknown words, misread numbers, abbreviations, lines without grammar."""
+    c = [("resto sem nada", False, False), ("abeo, is, v.", True, False), ("zonu, us, s. m.", False, False), ("abies, ae, s. f.", False, False), ("navis, is, s. f.", True, False), ("l. abrumpo, v.", False, True), ("adj. masc. x, n.", False, False), ("daí: v. n.", False, False), ("naufragus, adj. x", False, False), ("acer, puro texto longo", True, False)]
+    pieces, window = segment.merge_candidates(c)
+    assert pieces == [
+        (False, "resto sem nada"), (True, "abeo, is, v.\nzonu, us, s. m."), (True, "abies, ae, s. f.\nnavis, is, s. f."), (True, "abrumpo, v.\nadj. masc. x, n.\ndaí: v. n."), (True, "naufragus, adj. x\nacer, puro texto longo"),
+    ]
+    assert window == "aanan"
+    for at in range(len(c)):
+        first, carried = segment.merge_candidates(c[:at])
+        rest, end = segment.merge_candidates(c[at:], carried)
+        joined = [t for _, t in first]
+        for opens, t in rest:
+            if opens or not joined:
+                joined.append(t)
+            else:
+                joined[-1] += "\n" + t
+        assert joined == [t for _, t in pieces] and end == window
