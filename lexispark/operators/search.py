@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexispark.functions.fold import fold
 from lexispark.functions.strings import let
-from lexispark.session import shared_folder
+from lexispark.session import path_exists, shared_folder
 
 K1, B = 1.2, 0.75
 
@@ -349,7 +349,7 @@ def index_of(df: DataFrame, key: str, columns: list[str], name: str) -> Index:
     """The index of a table under ``name``, written to the shared folder when it is first asked for in a session."""
     spark = df.sparkSession
     at = (spark.sparkContext.applicationId, name, key, *columns)
-    if at not in _OPEN:
+    if at not in _OPEN or not path_exists(spark, f"{_OPEN[at]}/stats"):
         folder = shared_folder(spark)
         write_index(df, key, columns, folder)
         _OPEN[at] = folder

@@ -4,7 +4,8 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from lexispark.operators.search import open_index, parse_query, postings, search, search_index, snippet, tokens, update_index, write_index
+from lexispark import session
+from lexispark.operators.search import index_of, open_index, parse_query, postings, search, search_index, snippet, tokens, update_index, write_index
 
 ROWS = [(1, "O navio do rio, e o Navio.", "mar"), (2, "Porto e navio: o rio leva o navio ao porto.", None), (3, "A cerimônia da neve", "navio"), (4, None, None), (5, "navios navegam; rio", "rio"), (6, "", "x")]
 
@@ -73,3 +74,12 @@ def test_updated_index_equals_a_new_one(spark, docs, tmp_path):
     for query in ("navio", "rio OR neve", "nav* NOT mar"):
         got = {(r.doc, r.score) for r in search_index(open_index(spark, f"{tmp_path}/new", ["a", "b"]), query).collect()}
         assert got == {(r.id, r.score) for r in search(now, query, ["a", "b"], ["id"]).collect()}
+
+
+def test_index_of_a_table_is_kept_for_the_session_and_made_again_when_gone(docs):
+    with session.intermediates():
+        first = index_of(docs, "id", ["a"], "docs")
+        assert index_of(docs, "id", ["a"], "docs").postings.inputFiles() == first.postings.inputFiles()
+        assert search_index(first, "navio").count() == 2
+    again = index_of(docs, "id", ["a"], "docs")
+    assert search_index(again, "navio").count() == 2 and again.postings.inputFiles() != first.postings.inputFiles()
